@@ -1,0 +1,7 @@
+"""Streaming.
+
+The pipeline is a daily batch over dated snapshots; it has no stream source,
+watermark, event-time window or streaming state, so nothing is built here.
+The daily folders are read with partition pruning (sources.feeds), and each
+run publishes a new immutable snapshot version (sources.sinks).
+"""
