@@ -216,9 +216,15 @@ class SparkMLScorer:
         from pyspark.ml.feature import IDF, CountVectorizerModel
         from pyspark.ml.functions import vector_to_array
 
+        from followrec.session import scratch_path
+        from followrec.sources.sinks import cut_lineage
+
         _, padded = model_input(clean, params)
         data = padded.select(*WEEK_KEY, F.transform(
             F.filter("sequence", lambda x: x > 0), lambda x: x.cast("string")).alias("terms"))
+        # Fitting passes over the data several times (IDF, then the optimizer):
+        # materialize the model input once in the shared checkpoint folder.
+        data = cut_lineage(spark, data, scratch_path(spark, "model-input"))
         # The term space is the index range itself, fixed by vocab_size.
         cv = CountVectorizerModel.from_vocabulary(
             [str(i) for i in range(1, params.vocab_size)], inputCol="terms", outputCol="tf")
