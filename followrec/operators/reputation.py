@@ -146,10 +146,13 @@ def encode_sequences(clean: DataFrame, vocab: DataFrame) -> DataFrame:
     """
     v = F.broadcast(vocab.select("token", "token_index"))
     known = message_tokens(clean).join(v, "token")
-    known = known.withColumn(
-        "k", F.row_number().over(Window.partitionBy("msg_id").orderBy("pos")) - 1)
-    per_msg = (known.groupBy(*WEEK_KEY, "created_date", "msg_id")
-               .agg(F.count(F.lit(1)).alias("n_known")))
+    # Both the token ranks and the per-message counts come from one window by
+    # msg_id, so the two branches below share that exchange.
+    by_msg = Window.partitionBy("msg_id")
+    known = (known.withColumn("k", F.row_number().over(by_msg.orderBy("pos")) - 1)
+             .withColumn("n_known", F.count(F.lit(1)).over(by_msg)))
+    per_msg = known.filter(F.col("k") == 0).select(
+        *WEEK_KEY, "created_date", "msg_id", "n_known")
     before = (Window.partitionBy(*WEEK_KEY).orderBy("created_date", "msg_id")
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = (per_msg
@@ -181,8 +184,24 @@ def pad_sequences(encoded: DataFrame, weeks: DataFrame, params: Params) -> DataF
                     .otherwise(seq).alias("sequence")))
 
 
-def model_input(clean: DataFrame, params: Params):
-    """(vocabulary, padded sequences of every observed user-week)."""
+def materialize_clean(spark: SparkSession, clean: DataFrame) -> DataFrame:
+    """Cleaned text of the binned messages, written once to the shared folder."""
+    from followrec.session import scratch_path
+    from followrec.sources.sinks import cut_lineage
+
+    cols = binned(clean).select(*WEEK_KEY, "created_date", "msg_id", "clean_body", "recommended")
+    return cut_lineage(spark, cols, scratch_path(spark, "clean-text"))
+
+
+def model_input(clean: DataFrame, params: Params, spark: SparkSession | None = None):
+    """(vocabulary, padded sequences of every observed user-week).
+
+    With `spark`, the cleaned text of the binned messages is written once to
+    the shared checkpoint folder first: vocabulary, encoding and padding then
+    read it instead of re-running the regex cleaning in every branch.
+    """
+    if spark is not None:
+        clean = materialize_clean(spark, clean)
     vocab = token_vocabulary(clean, params)
     padded = pad_sequences(encode_sequences(clean, vocab), user_weeks(clean), params)
     return vocab, padded
@@ -219,7 +238,7 @@ class SparkMLScorer:
         from followrec.session import scratch_path
         from followrec.sources.sinks import cut_lineage
 
-        _, padded = model_input(clean, params)
+        _, padded = model_input(clean, params, spark)
         data = padded.select(*WEEK_KEY, F.transform(
             F.filter("sequence", lambda x: x > 0), lambda x: x.cast("string")).alias("terms"))
         # Fitting passes over the data several times (IDF, then the optimizer):
@@ -247,7 +266,7 @@ def batch_model_scorer(predict: Callable, batch_size: int = 1024) -> Scorer:
     """
 
     def score(spark: SparkSession, clean: DataFrame, params: Params) -> DataFrame:
-        _, padded = model_input(clean, params)
+        _, padded = model_input(clean, params, spark)
 
         def run(batches):
             import numpy as np

@@ -383,7 +383,7 @@ def token_vocabulary(spark, sf_dir):
 
 @query("encode_sequences")
 def encode_sequences(spark, sf_dir):
-    c = _clean(spark, sf_dir)
+    c = rp.materialize_clean(spark, _clean(spark, sf_dir))
     return rp.encode_sequences(c, rp.token_vocabulary(c, P)).withColumn(
         "token_index", F.col("token_index").cast("bigint"))
 
@@ -391,7 +391,7 @@ def encode_sequences(spark, sf_dir):
 @query("pad_sequences")
 def pad_sequences(spark, sf_dir):
     c = _clean(spark, sf_dir)
-    _, padded = rp.model_input(c, P)
+    _, padded = rp.model_input(c, P, spark)
     return padded.select("user_id", "week_idx", "n_tokens",
                          F.array_join(F.transform("sequence", lambda x: x.cast("string")), ",")
                          .alias("sequence"))

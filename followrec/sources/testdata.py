@@ -31,6 +31,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Spread an under-split scan over the available cores.
+
+    Each test table is one parquet file with a single row group, which Spark
+    cannot split: all work before the first shuffle would run as one task.
+    Only then are rows redistributed (round robin); a scan that already has
+    at least `defaultParallelism` splits (any large input) is left alone.
+    Filters and column pruning still reach the scan below the redistribution.
+    Used for documents, whose per-row work (five regex passes over long
+    texts) dominates; the light engagement scans are not worth a shuffle.
+    """
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def events_with_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select("event_id", "ts", "user_id", "event_type",
@@ -65,7 +82,7 @@ def map_feeds(spark: SparkSession, sf_dir: str) -> Feeds:
 
 def map_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages in the JSON layout: user_id, msg_id, body, created_at, recommended, links."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = spread(spark, table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("recommended"))
     d = F.col("doc_id")
     created = F.date_add(F.lit(MESSAGE_ANCHOR), F.pmod(d, F.lit(MESSAGE_DAYS)).cast("int"))
