@@ -50,9 +50,13 @@ def exclude_self(df: DataFrame) -> DataFrame:
 
 
 def exclude_followed(df: DataFrame, follow: DataFrame) -> DataFrame:
-    """Drop (user, rec) pairs the user already follows (any time, all follows)."""
+    """Drop (user, rec) pairs the user already follows (any time, all follows).
+
+    Repeated follows of one pair are collapsed first (partial aggregation
+    map-side), so a hot pair never reaches the join as a long run of rows.
+    """
     f = follow.select(F.col("user_id").alias("_fu"),
-                      F.col("engaged_with_user_id").alias("_fr"))
+                      F.col("engaged_with_user_id").alias("_fr")).distinct()
     return df.join(f, (df["user_id"] == f["_fu"]) & (df["rec_id"] == f["_fr"]),
                    "left_anti")
 

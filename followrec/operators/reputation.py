@@ -28,6 +28,7 @@ from followrec.functions import (
     week_bin,
     week_bounds,
 )
+from followrec.operators.prefix import grouped_exclusive_sum
 from followrec.params import Params
 
 WEEK_KEY = ["user_id", "week_idx"]
@@ -136,13 +137,15 @@ def token_vocabulary(clean: DataFrame, params: Params) -> DataFrame:
     return top.withColumn("token_index", F.row_number().over(w))
 
 
-def encode_sequences(clean: DataFrame, vocab: DataFrame) -> DataFrame:
+def encode_sequences(clean: DataFrame, vocab: DataFrame,
+                     spark: SparkSession | None = None) -> DataFrame:
     """Known words of each user-week as index sequence, long form.
 
     Output: user_id, week_idx, seq_pos (0-based over the week's concatenated
     text), token_index, week_total (known words in the week). Unknown words
     are dropped. Token rows are ranked within their message; only one row per
-    message goes through the per-week running sum that places messages.
+    message goes through the per-week running sum that places messages. With
+    `spark`, the message offsets are staged in the shared checkpoint folder.
     """
     v = F.broadcast(vocab.select("token", "token_index"))
     known = message_tokens(clean).join(v, "token")
@@ -153,12 +156,15 @@ def encode_sequences(clean: DataFrame, vocab: DataFrame) -> DataFrame:
              .withColumn("n_known", F.count(F.lit(1)).over(by_msg)))
     per_msg = known.filter(F.col("k") == 0).select(
         *WEEK_KEY, "created_date", "msg_id", "n_known")
-    before = (Window.partitionBy(*WEEK_KEY).orderBy("created_date", "msg_id")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    placed = (per_msg
-              .withColumn("offset", F.coalesce(F.sum("n_known").over(before), F.lit(0)))
-              .withColumn("week_total", F.sum("n_known").over(Window.partitionBy(*WEEK_KEY)))
-              .select("msg_id", "offset", "week_total"))
+    # Messages are placed by a running sum inside their week that stays
+    # balanced even when one user-week holds a large share of all messages.
+    stage = None
+    if spark is not None:
+        from followrec.session import scratch_path
+        stage = scratch_path(spark, "msg-offsets")
+    placed = grouped_exclusive_sum(
+        per_msg, WEEK_KEY, ["created_date", "msg_id"], "n_known", "offset", "week_total",
+        stage_path=stage).select("msg_id", "offset", "week_total")
     return (known.join(placed, "msg_id")
             .select(*WEEK_KEY, (F.col("offset") + F.col("k")).cast("long").alias("seq_pos"),
                     "token_index", "week_total"))
@@ -203,7 +209,7 @@ def model_input(clean: DataFrame, params: Params, spark: SparkSession | None = N
     if spark is not None:
         clean = materialize_clean(spark, clean)
     vocab = token_vocabulary(clean, params)
-    padded = pad_sequences(encode_sequences(clean, vocab), user_weeks(clean), params)
+    padded = pad_sequences(encode_sequences(clean, vocab, spark), user_weeks(clean), params)
     return vocab, padded
 
 

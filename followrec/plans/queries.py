@@ -384,7 +384,7 @@ def token_vocabulary(spark, sf_dir):
 @query("encode_sequences")
 def encode_sequences(spark, sf_dir):
     c = rp.materialize_clean(spark, _clean(spark, sf_dir))
-    return rp.encode_sequences(c, rp.token_vocabulary(c, P)).withColumn(
+    return rp.encode_sequences(c, rp.token_vocabulary(c, P), spark).withColumn(
         "token_index", F.col("token_index").cast("bigint"))
 
 
