@@ -4,10 +4,14 @@ A window `sum(...) over (partition by g order by o)` runs each group in one
 task. Here rows are range-partitioned by (g, o) instead, so a hot group is
 cut into contiguous slices spread over many tasks:
 
-1. each task sums its slice in order (one pass, Arrow batches),
+1. each task sums its slice in order (one pass over Arrow batches),
 2. the per-slice totals (one row per partition) give each slice's offset,
 3. slice offset + local sum = running sum over the global (g, o) order,
 4. minus the group's first value = running sum inside the group.
+
+The split costs a sampling pass and a Python pass, so it is only taken when
+the largest group, measured by one aggregate, exceeds a bound; bounded
+groups use the plain window.
 """
 
 from __future__ import annotations
@@ -17,16 +21,49 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 
+# Groups up to this many rows are summed by a plain window (one task per
+# group is fine when the group is bounded); a larger one is split.
+MAX_GROUP_ROWS = 1_000_000
+
+
+def largest_group(df: DataFrame, group_cols) -> int:
+    """Row count of the largest group (one scalar to the driver)."""
+    r = df.groupBy(*group_cols).count().agg(F.max("count")).first()
+    return int(r[0] or 0)
+
+
 def grouped_exclusive_sum(df: DataFrame, group_cols, order_cols, value_col: str,
                           out_col: str, total_col: str, num_partitions: int | None = None,
-                          stage_path: str | None = None) -> DataFrame:
+                          stage_path: str | None = None,
+                          max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Adds `out_col` = sum of `value_col` over earlier rows of the same group
     (in `order_cols` order, which must make rows unique) and `total_col` = the
     group's total. `value_col` must be a non-negative integer.
 
-    With `stage_path`, the per-row local sums are written there once (the
-    three consumers below then read the same rows).
+    The largest group is measured first; when it has at most `max_group_rows`
+    rows a window does the work, otherwise the rows are range-partitioned
+    (`max_group_rows=None` always splits). With `stage_path`, the per-row
+    local sums are written there once and the consumers read the same rows.
     """
+    if max_group_rows is not None and largest_group(df, group_cols) <= max_group_rows:
+        return window_exclusive_sum(df, group_cols, order_cols, value_col, out_col, total_col)
+    return split_exclusive_sum(df, group_cols, order_cols, value_col, out_col, total_col,
+                               num_partitions, stage_path)
+
+
+def window_exclusive_sum(df: DataFrame, group_cols, order_cols, value_col: str,
+                         out_col: str, total_col: str) -> DataFrame:
+    before = (Window.partitionBy(*group_cols).orderBy(*order_cols)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    return (df.withColumn(out_col, F.coalesce(F.sum(value_col).over(before), F.lit(0))
+                          .cast("long"))
+            .withColumn(total_col, F.sum(value_col).over(Window.partitionBy(*group_cols))
+                        .cast("long")))
+
+
+def split_exclusive_sum(df: DataFrame, group_cols, order_cols, value_col: str,
+                        out_col: str, total_col: str, num_partitions: int | None = None,
+                        stage_path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     keys = list(group_cols) + list(order_cols)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -154,14 +154,18 @@ def encode_sequences(clean: DataFrame, vocab: DataFrame,
     by_msg = Window.partitionBy("msg_id")
     known = (known.withColumn("k", F.row_number().over(by_msg.orderBy("pos")) - 1)
              .withColumn("n_known", F.count(F.lit(1)).over(by_msg)))
-    per_msg = known.filter(F.col("k") == 0).select(
-        *WEEK_KEY, "created_date", "msg_id", "n_known")
-    # Messages are placed by a running sum inside their week that stays
-    # balanced even when one user-week holds a large share of all messages.
     stage = None
     if spark is not None:
+        # Known tokens feed two branches (message offsets, final placement)
+        # and the range partitioning samples its input: write them once.
         from followrec.session import scratch_path
+        from followrec.sources.sinks import cut_lineage
+        known = cut_lineage(spark, known, scratch_path(spark, "known-tokens"))
         stage = scratch_path(spark, "msg-offsets")
+    per_msg = known.filter(F.col("k") == 0).select(
+        *WEEK_KEY, "created_date", "msg_id", "n_known")
+    # Messages are placed by a running sum inside their week that stays
+    # balanced even when one user-week holds a large share of all messages.
     placed = grouped_exclusive_sum(
         per_msg, WEEK_KEY, ["created_date", "msg_id"], "n_known", "offset", "week_total",
         stage_path=stage).select("msg_id", "offset", "week_total")

@@ -13,9 +13,10 @@ def test_matches_window_with_hot_group(spark, tmp_path):
     rows = [(0 if i % 3 else rnd.randrange(1, 50), rnd.randrange(5), i, rnd.randrange(0, 7))
             for i in range(3000)]  # group 0 holds two thirds of the rows
     df = spark.createDataFrame(rows, "g long, day int, id long, v long")
-    for stage in (None, str(tmp_path / "stage")):
+    for stage, bound in ((None, None), (str(tmp_path / "stage"), None), (None, 10**6)):
         got = grouped_exclusive_sum(df, ["g"], ["day", "id"], "v", "before", "total",
-                                    num_partitions=16, stage_path=stage)
+                                    num_partitions=16, stage_path=stage,
+                                    max_group_rows=bound)
         w = Window.partitionBy("g").orderBy("day", "id")
         want = df.select(
             "id",
