@@ -10,8 +10,8 @@ stage, not the whole day.
 
 from __future__ import annotations
 
+import logging
 import time
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -82,16 +82,28 @@ def publish(spark: SparkSession, batches: dict, publish_root: str, params: Param
     return paths
 
 
+LOG = logging.getLogger("followrec")
+
+
 def run_daily(spark: SparkSession, feeds: Feeds, messages: DataFrame, params: Params,
-              publish_root: str, scorer: rp.Scorer = rp.label_share_scorer) -> DataFrame:
+              publish_root: str, scorer: rp.Scorer = rp.label_share_scorer,
+              stage_counts: dict | None = None) -> DataFrame:
     """X4: compute, publish and check one day; returns the check report.
 
-    Raises DataQualityError when a check fails (after publishing, like the
-    reference's last task), ValueError on a duplicate key before publishing.
+    Stage row counts are observed while the stages run and logged (and put
+    into `stage_counts` when a dict is given). Raises DataQualityError when a
+    check fails (after publishing, like the reference's last task), ValueError
+    on a duplicate key before publishing.
     """
     prepare(spark)
     stage_dir = scratch_path(spark, f"run-{params.as_of:%Y%m%d}")
-    batches, _, _ = daily_batches(spark, feeds, messages, params, scorer, stage_dir)
+    batches, _, obs = daily_batches(spark, feeds, messages, params, scorer, stage_dir,
+                                    observe=True)
+    for name, o in obs.items():
+        rows = o.get.get("rows")
+        LOG.info("stage %s: %s rows", name, rows)
+        if stage_counts is not None:
+            stage_counts[name] = rows
     paths = publish(spark, batches, publish_root, params)
     published = {n: spark.read.parquet(p) for n, p in paths.items()}
     return dq.run_checks(spark, dq.standard_checks(published, params))

@@ -109,8 +109,10 @@ def test_daily_run_publishes_versions(spark, tmp_path):
     p = Params(lookback_days=20)
     r1 = run_daily(spark, feeds, msgs, p.shifted(-1), root)
     assert all(r.passed for r in r1.collect())
-    r2 = run_daily(spark, feeds, msgs, p, root)
+    counts = {}
+    r2 = run_daily(spark, feeds, msgs, p, root, stage_counts=counts)
     assert all(r.passed for r in r2.collect())
+    assert counts["closest"] == 415 and counts["scores"] == 100
     assert len(sk.committed_versions(spark, f"{root}/closest_connections")) == 2
     cc = sk.read_latest(spark, f"{root}/closest_connections",
                         tb.table_schema("closest_connections"))
