@@ -1,9 +1,9 @@
 """Step 1: closest connections by time-decayed engagement.
 
 Plan shape: four feed scans (the lookback bound is pushed into each) -> union
--> anti join on suspended targets (AQE broadcasts it when the runtime size is
-small, sort-merge otherwise) -> partial+final hash aggregate per
-(user, target) -> per-user top-k window (Catalyst adds a partial
+-> partial+final hash aggregate per (user, target) -> anti join on suspended
+targets (broadcast when the planner or AQE measures it small, sort-merge
+otherwise) -> per-user top-k window (Catalyst adds a partial
 WindowGroupLimit before the exchange, so a user with huge fan-out ships at most
 k rows per map task).
 """
@@ -117,8 +117,13 @@ def closest_lists(top: DataFrame) -> DataFrame:
 
 
 def closest_connections(feeds: Feeds, params: Params) -> DataFrame:
-    """X1: ranked closest connections (long, with rank, sum_rem and w8)."""
+    """X1: ranked closest connections (long, with rank, sum_rem and w8).
+
+    Suspended targets are removed from the aggregated pairs rather than from
+    the raw engagements: the predicate depends on the target only, so the
+    result is the same, and when the suspended ids are too many to broadcast
+    the anti join shuffles the pair table instead of every engagement.
+    """
     eng = union_engagements(feeds, params)
-    valid = drop_suspended_targets(eng, feeds.user)
-    weighted = weighted_engagements(valid, params)
-    return top_closest(engagement_strength(weighted, params), params)
+    pairs = engagement_strength(weighted_engagements(eng, params), params)
+    return top_closest(drop_suspended_targets(pairs, feeds.user), params)
