@@ -240,7 +240,7 @@ class SparkMLScorer:
     reg_param: float = 0.01
 
     def __call__(self, spark: SparkSession, clean: DataFrame, params: Params) -> DataFrame:
-        from pyspark.ml import Pipeline
+        from pyspark.ml import Pipeline, PipelineModel
         from pyspark.ml.classification import LogisticRegression
         from pyspark.ml.feature import IDF, CountVectorizerModel
         from pyspark.ml.functions import vector_to_array
@@ -262,7 +262,12 @@ class SparkMLScorer:
             LogisticRegression(featuresCol="features", labelCol="label",
                                maxIter=self.max_iter, regParam=self.reg_param)])
         train = data.join(training_weeks(clean), WEEK_KEY)
-        model = pipe.fit(train)
+        # The fitted model is saved to the shared folder and loaded back: the
+        # scoring then uses the persisted model (a loaded model carries no
+        # training summary, which would hold a reference to the session).
+        path = scratch_path(spark, "text-model")
+        pipe.fit(train).write().overwrite().save(path)
+        model = PipelineModel.load(path)
         return (model.transform(data)
                 .select(*WEEK_KEY,
                         vector_to_array("probability")[1].alias("probability")))
