@@ -1,9 +1,9 @@
 """Declarative data-quality checks.
 
-A check is (name, query, expected scalar). `run_checks` evaluates each one
-(a one-row aggregate, so only a scalar reaches the driver), fails on an empty
-result or a mismatch and stops at the first failure; `check_report` gives the
-same checks as one lazy DataFrame.
+A check is (name, query, expected scalar). `run_checks` evaluates all of
+them in one job (only one value per check reaches the driver), then fails on
+the first empty result or mismatch, in order; `check_report` gives the same
+checks as one lazy DataFrame.
 """
 
 from __future__ import annotations
@@ -36,25 +36,48 @@ def _frame(spark: SparkSession, q: Query) -> DataFrame:
 
 
 def run_checks(spark: SparkSession, checks, raise_on_fail: bool = True) -> DataFrame:
-    """Evaluate checks in order; returns check_name, actual, expected, passed."""
+    """Evaluate checks; returns check_name, actual, expected, passed.
+
+    All checks run in one job: each contributes the first column of its first
+    row (a union of one-row branches, so only #checks values reach the
+    driver). They are then judged in order and the first empty result or
+    mismatch raises.
+    """
+    checks = list(checks)
+    parts = []
+    for i, c in enumerate(checks):
+        f = _frame(spark, c.query)
+        parts.append(f.limit(1).select(F.lit(i).alias("_i"),
+                                       F.col(f.columns[0]).cast("string").alias("_v")))
+    got = {}
+    if parts:
+        u = parts[0]
+        for p in parts[1:]:
+            u = u.unionByName(p)
+        got = {r["_i"]: r["_v"] for r in u.collect()}
     rows = []
-    for c in checks:
-        got = _frame(spark, c.query).take(1)
-        if not got or len(got[0]) < 1:
+    for i, c in enumerate(checks):
+        if i not in got:
             if raise_on_fail:
                 raise DataQualityError(f"check {c.name} returned no results")
             rows.append((c.name, None, str(c.expected), False))
             continue
-        actual = got[0][0]
-        ok = actual == c.expected
+        actual = got[i]
+        ok = actual is not None and _same(actual, c.expected)
         if not ok and raise_on_fail:
-            raise DataQualityError(
-                f"check {c.name}: got {actual}, expected {c.expected}")
-        rows.append((c.name, None if actual is None else str(actual), str(c.expected), ok))
+            raise DataQualityError(f"check {c.name}: got {actual}, expected {c.expected}")
+        rows.append((c.name, actual, str(c.expected), ok))
     return spark.createDataFrame(
         rows, "check_name string, actual string, expected string, passed boolean")
 
 
+def _same(actual_text: str, expected) -> bool:
+    try:
+        return type(expected)(actual_text) == expected
+    except (TypeError, ValueError):
+        return actual_text == str(expected)
+
+
 def null_key_count(df: DataFrame, keys) -> DataFrame:
     cond = F.lit(False)
     for k in keys:

@@ -89,8 +89,9 @@ def scan_user(spark, sf_dir):
 
 @query("scan_scores")
 def scan_scores(spark, sf_dir):
-    """Scores written as CSV with header and read back."""
-    path = sk.write_csv(_scores(spark, sf_dir), scratch_path(spark, "score.csv"))
+    """Scores written as CSV with header (sorted by user) and read back."""
+    path = sk.write_csv(_scores(spark, sf_dir).orderBy("user_id"),
+                        scratch_path(spark, "score.csv"))
     return fd.read_scores(spark, path)
 
 
@@ -157,7 +158,8 @@ def load_staging(spark, sf_dir):
     long = cl.closest_long(_closest(spark, sf_dir)).withColumnRenamed(
         "engaged_with_user_id", "closest_connection")
     path = sk.write_csv(long, scratch_path(spark, "closest_connections_data.csv"))
-    return sk.load_staging(spark, path, "closest_connections")
+    sk.load_staging(spark, path, "closest_connections", view_name="tt_closest_connections")
+    return spark.table("tt_closest_connections")
 
 
 # ---------------------------------------------------------------- step 1

@@ -41,16 +41,20 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
 
 
 def load_staging(spark: SparkSession, path: str, table: str,
-                 header: bool = True) -> DataFrame:
+                 header: bool = True, view_name: str | None = None) -> DataFrame:
     """Bulk-load a CSV into the typed staging layout of `table`.
 
     FAILFAST makes a malformed value fail the load (like a typed COPY); every
-    column is NOT NULL.
+    column is NOT NULL. With `view_name` the staging table is also registered
+    as a session temp view (nothing to create or drop on disk).
     """
     schema = STAGING_SCHEMAS[table]
     df = (spark.read.schema(schema).option("header", header)
           .option("mode", "FAILFAST").csv(path))
-    return require_not_null(df, schema.fieldNames(), f"staging {table}")
+    df = require_not_null(df, schema.fieldNames(), f"staging {table}")
+    if view_name:
+        df.createOrReplaceTempView(view_name)
+    return df
 
 
 def _fs(spark: SparkSession, path: str):
