@@ -24,13 +24,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
     tests) a private temporary folder is created and registered.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: only the configuration is visible
+        sc = None
+    if sc is not None:
+        root = sc.getCheckpointDir() or root
     if not root:
         root = tempfile.mkdtemp(prefix="followrec-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
-    elif not sc.getCheckpointDir():
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
+    elif sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

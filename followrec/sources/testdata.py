@@ -42,10 +42,12 @@ def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     Used for documents, whose per-row work (five regex passes over long
     texts) dominates; the light engagement scans are not worth a shuffle.
     """
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave the scan as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def events_with_target(spark: SparkSession, sf_dir: str) -> DataFrame:
