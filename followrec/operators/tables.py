@@ -79,11 +79,28 @@ def expire(table: DataFrame, params: Params) -> DataFrame:
     return table.filter(~F.coalesce(F.col("updated_at") < cutoff, F.lit(False)))
 
 
+def checked_batch(batch: DataFrame, keys, values, what: str) -> DataFrame:
+    """The batch with a duplicate key failing the job, inside the plan.
+
+    One row per key (its count travels along); a key held twice raises when
+    the plan runs, so the write that consumes it never commits. The result is
+    hash-partitioned by the key, which the upsert's join then reuses: the
+    check costs neither an extra job nor an extra shuffle.
+    """
+    agg = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                   *[F.first(v).alias(v) for v in values])
+    ok = F.when(F.col("_n") > 1,
+                F.raise_error(F.lit(f"{what}: duplicate key in upsert batch"))
+                ).otherwise(F.lit(True))
+    return agg.filter(ok).drop("_n")
+
+
 def publish_table(name: str, target: DataFrame, staged: DataFrame, params: Params,
                   check_keys: bool = True) -> DataFrame:
-    """Upsert + expiry of one table; raises on a duplicate key in the batch."""
+    """Upsert + expiry of one table; a duplicate key in the batch fails the
+    job that evaluates it (before anything is written)."""
     keys, values = TABLES[name]
     batch = to_batch(name, staged)
     if check_keys:
-        assert_unique_keys(batch, keys, name)
+        batch = checked_batch(batch, keys, values, name)
     return expire(upsert(target, batch, keys, values, params), params)

@@ -55,7 +55,10 @@ def test_duplicate_key_in_batch_raises(spark):
     t = target(spark, [])
     b = batch(spark, [(1, 2, "0.9"), (1, 2, "0.8")])
     with pytest.raises(ValueError, match="duplicate key"):
-        tb.publish_table("closest_connections", t, b, P)
+        tb.assert_unique_keys(tb.to_batch("closest_connections", b),
+                              ["user_id", "closest_connection"], "closest_connections")
+    with pytest.raises(Exception, match="duplicate key in upsert batch"):
+        tb.publish_table("closest_connections", t, b, P).collect()
 
 
 def test_check_runner(spark):
