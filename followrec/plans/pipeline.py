@@ -5,13 +5,15 @@ Stage outputs that are read more than once (closest connections feed both
 sides of the self join and the publish; the ranked candidates feed both the
 recommendations and the reasons) are written once to the shared checkpoint
 folder and read back. That cuts lineage, so a lost executor re-runs one
-stage, not the whole day.
+stage, not the whole day. Independent work (closest connections and scores;
+the three table publishes) is submitted as concurrent jobs.
 """
 
 from __future__ import annotations
 
 import logging
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -59,8 +61,10 @@ def daily_batches(spark: SparkSession, feeds: Feeds, messages: DataFrame, params
     closest = track("closest", cl.closest_connections(feeds, params))
     scores = track("scores", rp.reputation_scores(spark, messages, params, scorer))
     if stage_dir:
-        closest = cut_lineage(spark, closest, f"{stage_dir}/closest")
-        scores = cut_lineage(spark, scores, f"{stage_dir}/scores")
+        # independent branches: materialized as concurrent jobs
+        closest, scores = concurrently(
+            lambda: cut_lineage(spark, closest, f"{stage_dir}/closest"),
+            lambda: cut_lineage(spark, scores, f"{stage_dir}/scores"))
     top = rc.keep_high_scores(
         rc.ranked_candidates(closest, feeds.follow, feeds.user, params), scores, params)
     top = track("recommendations", top)
@@ -73,13 +77,22 @@ def daily_batches(spark: SparkSession, feeds: Feeds, messages: DataFrame, params
 def publish(spark: SparkSession, batches: dict, publish_root: str, params: Params) -> dict:
     """Upsert + expire each table into a new snapshot version; returns paths."""
     version = f"{params.as_of:%Y%m%dT%H%M%S}-{time.time_ns()}"
-    paths = {}
-    for name, staged in batches.items():
+
+    def one(name: str, staged: DataFrame) -> str:
         root = f"{publish_root.rstrip('/')}/{name}"
         target = read_latest(spark, root, tb.table_schema(name))
         out = tb.publish_table(name, target, staged, params)
-        paths[name] = write_snapshot(out, root, version)
-    return paths
+        return write_snapshot(out, root, version)
+
+    names = list(batches)
+    written = concurrently(*[lambda n=n: one(n, batches[n]) for n in names])
+    return dict(zip(names, written))
+
+
+def concurrently(*thunks):
+    """Run independent Spark actions as concurrent jobs; results in order."""
+    with ThreadPoolExecutor(max_workers=len(thunks)) as pool:
+        return [f.result() for f in [pool.submit(t) for t in thunks]]
 
 
 LOG = logging.getLogger("followrec")
