@@ -67,14 +67,24 @@ def binned(msgs: DataFrame) -> DataFrame:
 def weekly_text(clean: DataFrame, params: Params) -> DataFrame:
     """Cleaned body and link texts of a user-week, blank-joined in message order.
 
-    Order key is (created date, message id). This is the user-week document
-    itself, so the group's texts are concatenated into one value.
+    Order key is (created date, message id). Messages are placed by a running
+    sum of their text length (split across tasks when a week is hot) and the
+    week is emitted in consecutive parts of at most `text_part_chars`
+    characters plus one message: an ordinary week is one row with part 0, a
+    huge week several rows whose texts, joined with a blank in part order,
+    are the week's text. Every collect is bounded by the part size.
     """
+    msgs = binned(clean).withColumn(
+        "_len", (F.length("clean_body") + F.length("clean_link_desc") + 2).cast("long"))
+    placed = grouped_exclusive_sum(msgs, WEEK_KEY, ["created_date", "msg_id"], "_len",
+                                   "_before", "_week_chars")
+    part = F.floor(F.col("_before") / F.lit(params.text_part_chars)).cast("int")
     m = F.sort_array(F.collect_list(F.struct(
         "created_date", "msg_id", "clean_body", "clean_link_desc")))
-    out = (binned(clean).groupBy(*WEEK_KEY)
+    out = (placed.withColumn("part", part)
+           .groupBy(*WEEK_KEY, "part")
            .agg(m.alias("m"), F.count(F.lit(1)).alias("n_messages"))
-           .select(*WEEK_KEY, "n_messages",
+           .select(*WEEK_KEY, "part", "n_messages",
                    F.array_join(F.transform("m", lambda x: x["clean_body"]), " ")
                    .alias("clean_body"),
                    F.array_join(F.transform("m", lambda x: x["clean_link_desc"]), " ")

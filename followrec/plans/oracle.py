@@ -322,13 +322,17 @@ QUALIFY ROW_NUMBER() OVER (PARTITION BY feed ORDER BY user_id, engaged_with_user
     q["link_description"] = msgs + "SELECT user_id, msg_id, link_desc FROM msgb"
     q["clean_text"] = msgs + "SELECT msg_id, clean_body, clean_link_desc FROM msgc"
     q["weekly_text"] = msgs + (
-        "SELECT user_id, week_idx, COUNT(*) AS n_messages, "
+        "SELECT user_id, week_idx, part, COUNT(*) AS n_messages, "
         f"CAST(DATE '{p.anchor_date:%Y-%m-%d}' + (week_idx * {p.bin_days} + 1) AS DATE) AS week_start, "
         f"CAST(DATE '{p.anchor_date:%Y-%m-%d}' + (week_idx * {p.bin_days} + {p.bin_days}) AS DATE) "
         "AS week_end, "
         "string_agg(clean_body, ' ' ORDER BY created_date, msg_id) AS clean_body, "
         "string_agg(clean_link_desc, ' ' ORDER BY created_date, msg_id) AS clean_link_desc "
-        "FROM msgc WHERE week_idx IS NOT NULL GROUP BY user_id, week_idx")
+        "FROM (SELECT *, CAST(COALESCE(SUM(length(clean_body) + length(clean_link_desc) + 2) "
+        "OVER (PARTITION BY user_id, week_idx ORDER BY created_date, msg_id "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
+        f"// {p.text_part_chars} AS INTEGER) AS part FROM msgc WHERE week_idx IS NOT NULL) "
+        "GROUP BY user_id, week_idx, part")
     q["weekly_class"] = msgs + "SELECT user_id, week_idx, probability, pred_class FROM cls"
     q["reputation_score"] = msgs + "SELECT user_id, pred FROM score"
     q["token_vocabulary"] = tm + "SELECT token, n, token_index FROM vocab"

@@ -75,6 +75,10 @@ def test_weekly_text_and_scores(spark):
     assert wt[(1, 0)].clean_body == "first second msg"
     assert wt[(1, 0)].week_start == date(2018, 9, 10)
     assert wt[(1, 0)].week_end == date(2018, 9, 16)
+    assert {r.part for r in wt.values()} == {0}
+    # a week longer than the part size comes out as ordered, whole parts
+    parts = rp.weekly_text(clean, P.with_(text_part_chars=5)).filter("week_idx = 0").collect()
+    assert sorted((r.part, r.clean_body) for r in parts) == [(0, "first"), (1, "second msg")]
     scores = dict(rp.reputation_scores(spark, msgs, P).collect())
     # week 0: share 1.0 -> 1; week 1: share 0.0 -> 0; user 2 has no binned week
     assert scores == {1: 0.5}
