@@ -46,6 +46,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/followrec-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
+                 target_partition_bytes: int = 128 * 1024 * 1024) -> dict:
+    """Suggested settings for a run over `input_bytes` of feeds and messages.
+
+    Shuffle partitions start high enough that each holds about the target
+    size even before any reduction (AQE coalesces them afterwards), never
+    below the cluster's total cores; scans are split at the same size; skewed
+    partitions (5x the median and above 256 MiB) are split by AQE. These are
+    for building the cluster session; the library never overrides them.
+    """
+    cores = executor_cores * executors
+    parts = max(cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "followrec") -> SparkSession:
     """Session used by bench and tests (a cluster brings its own)."""
