@@ -50,14 +50,18 @@ def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
                  target_partition_bytes: int = 128 * 1024 * 1024) -> dict:
     """Suggested settings for a run over `input_bytes` of feeds and messages.
 
-    Shuffle partitions start high enough that each holds about the target
-    size even before any reduction (AQE coalesces them afterwards), never
-    below the cluster's total cores; scans are split at the same size; skewed
-    partitions (5x the median and above 256 MiB) are split by AQE. These are
-    for building the cluster session; the library never overrides them.
+    Shuffles carry pruned, filtered and partially aggregated rows, taken here
+    as an eighth of the input; shuffle partitions start so each holds about
+    the target size (AQE coalesces them at run time), at least twice the
+    cores and at most 50,000 (beyond that the map x reduce block count, not
+    the partition size, dominates). Scans are split at the target size;
+    skewed partitions (5x the median and above 256 MiB) are split by AQE.
+    These are for building the cluster session; the library never overrides
+    them.
     """
     cores = executor_cores * executors
-    parts = max(cores, -(-input_bytes // target_partition_bytes))
+    shuffle_bytes = input_bytes // 8
+    parts = min(50_000, max(2 * cores, -(-shuffle_bytes // target_partition_bytes)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
