@@ -76,9 +76,17 @@ def decay_weight(weighted: DataFrame, params: Params) -> DataFrame:
 
 def engagement_strength(weighted: DataFrame, params: Params) -> DataFrame:
     """Sum of decayed weight per (user, target): sum_rem exact, w8 rounded."""
+    return with_w8(pair_sums(weighted), params)
+
+
+def pair_sums(weighted: DataFrame) -> DataFrame:
     return (weighted.groupBy("user_id", "engaged_with_user_id")
-            .agg(F.sum("rem").alias("sum_rem"), F.count(F.lit(1)).alias("n_engagements"))
-            .withColumn("w8", round8("sum_rem", params.lookback_seconds)))
+            .agg(F.sum("rem").alias("sum_rem"), F.count(F.lit(1)).alias("n_engagements")))
+
+
+def with_w8(df: DataFrame, params: Params) -> DataFrame:
+    """The 8-decimal weight of the exact sum, as w8 = weight x 10^8."""
+    return df.withColumn("w8", round8("sum_rem", params.lookback_seconds))
 
 
 def rank_window(partition_col: str, order_col: str, tie_col: str):
@@ -125,5 +133,8 @@ def closest_connections(feeds: Feeds, params: Params) -> DataFrame:
     the anti join shuffles the pair table instead of every engagement.
     """
     eng = union_engagements(feeds, params)
-    pairs = engagement_strength(weighted_engagements(eng, params), params)
-    return top_closest(drop_suspended_targets(pairs, feeds.user), params)
+    pairs = pair_sums(weighted_engagements(eng, params))
+    # w8 is derived after the window, so every consumer of this plan (both
+    # sides of the self join) has the same plan below the window's exchange
+    # and Spark computes that shuffle once.
+    return with_w8(top_closest(drop_suspended_targets(pairs, feeds.user), params), params)

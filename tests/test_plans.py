@@ -67,3 +67,13 @@ def test_only_vocabulary_is_broadcast_in_encoding(spark, sort_merge):
 def test_follows_collapsed_before_shuffle(spark, sort_merge):
     p = plan(REGISTRY["final_recommendations"](spark, SF)).split("\n\n")[0]
     assert "SortMergeJoin LeftAnti" in p and "HashAggregate" in p
+
+
+def test_self_join_sides_share_the_closest_shuffle(spark, sort_merge):
+    df = REGISTRY["final_recommendations"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in final
+    # the right side of the self join reads the left side's window-input shuffle
+    reused = [line for line in final.splitlines() if "ReusedExchange" in line]
+    assert any("engaged_with_user_id" in line and "sum_rem" in line for line in reused)
