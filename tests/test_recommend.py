@@ -87,3 +87,20 @@ def test_properties_on_generated_graph(spark):
                          F.aggregate("reasons", F.lit(0).cast("long"),
                                      lambda a, r: a + r["w8"]).alias("s"))
     assert sums.filter("s != sum_w8").count() == 0
+
+
+def test_second_hop_ranks_on_8_decimal_weights(spark):
+    # L = 1200 days: 1 s of age is below 1e-8 of weight. 2 -> 9 has rem 1001,
+    # 2 -> 10 rem 1000: step 1 ranks 9 first, but both publish 0.00000965,
+    # so step 3 sees a tie and '10' wins as text.
+    p = P.with_(lookback_days=1200, n_rec=1)
+    L = p.lookback_seconds
+    f = make_feeds(spark, reply=[
+        (1, 2, TS),
+        (2, 9, AS_OF - timedelta(seconds=L - 1001)),
+        (2, 10, AS_OF - timedelta(seconds=L - 1000))])
+    top = {r.engaged_with_user_id: (r["rank"], r.w8)
+           for r in cl.closest_connections(f, p).filter("user_id = 2").collect()}
+    assert top == {9: (1, 965), 10: (2, 965)}
+    recs, _ = recs_of(spark, f, [(9, 0.9), (10, 0.9)], p)
+    assert [r.rec_id for r in recs.collect()] == [10]
