@@ -213,57 +213,74 @@ def materialize_clean(spark: SparkSession, clean: DataFrame) -> DataFrame:
     return cut_lineage(spark, cols, scratch_path(spark, "clean-text"))
 
 
-def model_input(clean: DataFrame, params: Params, spark: SparkSession | None = None):
-    """(vocabulary, padded sequences of every observed user-week).
-
-    With `spark`, the cleaned text of the binned messages is written once to
-    the shared checkpoint folder first: vocabulary, encoding and padding then
-    read it instead of re-running the regex cleaning in every branch.
+def model_input(clean: DataFrame, params: Params, spark: SparkSession | None = None,
+                vocab: DataFrame | None = None, train: DataFrame | None = None):
+    """(vocabulary, padded sequences of every observed user-week of `clean`).
+
+    The vocabulary is `vocab` when given, else fitted on the labelled weeks
+    of `train` (default: `clean` itself). With `spark`, the cleaned text of
+    the binned messages is written once to the shared checkpoint folder
+    first: vocabulary, encoding and padding then read it instead of re-running
+    the regex cleaning in every branch.
     """
     if spark is not None:
         clean = materialize_clean(spark, clean)
-    vocab = token_vocabulary(clean, params)
+        if train is not None:
+            train = materialize_clean(spark, train)
+    if vocab is None:
+        vocab = token_vocabulary(train if train is not None else clean, params)
     padded = pad_sequences(encode_sequences(clean, vocab, spark), user_weeks(clean), params)
     return vocab, padded
 
 
 # ---------------------------------------------------------------- scorers
-Scorer = Callable[[SparkSession, DataFrame, Params], DataFrame]
+# A scorer maps cleaned messages (and optional cleaned training messages) to
+# (user_id, week_idx, probability) for every observed user-week.
+Scorer = Callable[..., DataFrame]
 
 
-def label_share_scorer(spark: SparkSession, clean: DataFrame, params: Params) -> DataFrame:
+def label_share_scorer(spark: SparkSession, clean: DataFrame, params: Params,
+                       train: DataFrame | None = None) -> DataFrame:
     """Probability of a user-week = share of its labelled messages marked
     recommended (null when none is labelled). A transparent stand-in model."""
     return user_weeks(clean).select(*WEEK_KEY, F.col("label_share").alias("probability"))
 
 
+def _terms(padded: DataFrame) -> DataFrame:
+    return padded.select(*WEEK_KEY, F.transform(
+        F.filter("sequence", lambda x: x > 0), lambda x: x.cast("string")).alias("terms"))
+
+
 @dataclass
 class SparkMLScorer:
     """Bag-of-words logistic regression over the padded model input.
 
     Features: counts of the word indexes of the padded sequence (the same
     tail of the week the sequence model sees), IDF-weighted. Fitted on the
-    labelled weeks, applied to all weeks.
+    labelled weeks of the training messages (default: the scored messages),
+    applied to all weeks. With `model_path`, a model saved there earlier
+    (pipeline + vocabulary) is loaded and only scoring runs; otherwise the
+    fitted model is saved there (or to the checkpoint folder).
     """
 
     max_iter: int = 50
     reg_param: float = 0.01
+    model_path: str | None = None
 
-    def __call__(self, spark: SparkSession, clean: DataFrame, params: Params) -> DataFrame:
-        from pyspark.ml import Pipeline, PipelineModel
+    def fit(self, spark: SparkSession, train: DataFrame, params: Params, path: str) -> str:
+        """Fit vocabulary + pipeline on cleaned training messages; save to `path`."""
+        from pyspark.ml import Pipeline
         from pyspark.ml.classification import LogisticRegression
         from pyspark.ml.feature import IDF, CountVectorizerModel
-        from pyspark.ml.functions import vector_to_array
 
         from followrec.session import scratch_path
         from followrec.sources.sinks import cut_lineage
 
-        _, padded = model_input(clean, params, spark)
-        data = padded.select(*WEEK_KEY, F.transform(
-            F.filter("sequence", lambda x: x > 0), lambda x: x.cast("string")).alias("terms"))
+        vocab, padded = model_input(train, params, spark)
         # Fitting passes over the data several times (IDF, then the optimizer):
         # materialize the model input once in the shared checkpoint folder.
-        data = cut_lineage(spark, data, scratch_path(spark, "model-input"))
+        data = cut_lineage(spark, _terms(padded).join(training_weeks(train), WEEK_KEY),
+                           scratch_path(spark, "model-input"))
         # The term space is the index range itself, fixed by vocab_size.
         cv = CountVectorizerModel.from_vocabulary(
             [str(i) for i in range(1, params.vocab_size)], inputCol="terms", outputCol="tf")
@@ -271,14 +288,29 @@ class SparkMLScorer:
             cv, IDF(inputCol="tf", outputCol="features"),
             LogisticRegression(featuresCol="features", labelCol="label",
                                maxIter=self.max_iter, regParam=self.reg_param)])
-        train = data.join(training_weeks(clean), WEEK_KEY)
-        # The fitted model is saved to the shared folder and loaded back: the
-        # scoring then uses the persisted model (a loaded model carries no
-        # training summary, which would hold a reference to the session).
-        path = scratch_path(spark, "text-model")
-        pipe.fit(train).write().overwrite().save(path)
-        model = PipelineModel.load(path)
-        return (model.transform(data)
+        pipe.fit(data).write().overwrite().save(f"{path}/pipeline")
+        vocab.select("token", "n", "token_index").write.mode("overwrite").parquet(
+            f"{path}/vocabulary")
+        return path
+
+    def __call__(self, spark: SparkSession, clean: DataFrame, params: Params,
+                 train: DataFrame | None = None) -> DataFrame:
+        from pyspark.ml import PipelineModel
+        from pyspark.ml.functions import vector_to_array
+
+        from followrec.session import scratch_path
+        from followrec.sources.sinks import path_exists
+
+        path = self.model_path
+        if path is None or not path_exists(spark, f"{path}/pipeline"):
+            path = self.fit(spark, train if train is not None else clean, params,
+                            path or scratch_path(spark, "text-model"))
+        # Scoring always uses the persisted model (a freshly fitted one also
+        # carries its training summary, which holds a reference to the session).
+        model = PipelineModel.load(f"{path}/pipeline")
+        vocab = spark.read.parquet(f"{path}/vocabulary")
+        _, padded = model_input(clean, params, spark, vocab=vocab)
+        return (model.transform(_terms(padded))
                 .select(*WEEK_KEY,
                         vector_to_array("probability")[1].alias("probability")))
 
@@ -287,11 +319,13 @@ def batch_model_scorer(predict: Callable, batch_size: int = 1024) -> Scorer:
     """Wrap any batch model `predict(np.ndarray[n, seq_len]) -> probabilities`.
 
     Runs inside the executors through Arrow batches (mapInPandas); the model is
-    called on at most `batch_size` padded sequences at a time.
+    called on at most `batch_size` padded sequences at a time. The vocabulary
+    is fitted on the training messages (default: the scored messages).
     """
 
-    def score(spark: SparkSession, clean: DataFrame, params: Params) -> DataFrame:
-        _, padded = model_input(clean, params, spark)
+    def score(spark: SparkSession, clean: DataFrame, params: Params,
+              train: DataFrame | None = None) -> DataFrame:
+        _, padded = model_input(clean, params, spark, train=train)
 
         def run(batches):
             import numpy as np
@@ -311,8 +345,13 @@ def batch_model_scorer(predict: Callable, batch_size: int = 1024) -> Scorer:
 
 
 def reputation_scores(spark: SparkSession, messages: DataFrame, params: Params,
-                      scorer: Scorer = label_share_scorer) -> DataFrame:
-    """X2: user_id, pred."""
+                      scorer: Scorer = label_share_scorer,
+                      training_messages: DataFrame | None = None) -> DataFrame:
+    """X2: user_id, pred. `training_messages` (labelled) fit the vocabulary and
+    model when given; otherwise the labelled weeks of `messages` do."""
     clean = clean_messages(message_frame(messages, params))
-    probs = scorer(spark, clean, params)
+    train = None
+    if training_messages is not None:
+        train = clean_messages(message_frame(training_messages, params))
+    probs = scorer(spark, clean, params, train=train)
     return reputation_score(weekly_class(probs, params))

@@ -42,7 +42,7 @@ def published_batches(closest: DataFrame, recs: DataFrame, reasons: DataFrame) -
 
 def daily_batches(spark: SparkSession, feeds: Feeds, messages: DataFrame, params: Params,
                   scorer: rp.Scorer = rp.label_share_scorer, stage_dir: str | None = None,
-                  observe: bool = False):
+                  observe: bool = False, training_messages: DataFrame | None = None):
     """Compute the day's three batches (lazy unless `stage_dir` is given).
 
     With `stage_dir`, closest connections, scores and ranked candidates are
@@ -59,7 +59,8 @@ def daily_batches(spark: SparkSession, feeds: Feeds, messages: DataFrame, params
         return df.observe(o, F.count(F.lit(1)).alias("rows"))
 
     closest = track("closest", cl.closest_connections(feeds, params))
-    scores = track("scores", rp.reputation_scores(spark, messages, params, scorer))
+    scores = track("scores", rp.reputation_scores(spark, messages, params, scorer,
+                                                  training_messages))
     if stage_dir:
         # independent branches: materialized as concurrent jobs
         closest, scores = concurrently(
@@ -100,7 +101,8 @@ LOG = logging.getLogger("followrec")
 
 def run_daily(spark: SparkSession, feeds: Feeds, messages: DataFrame, params: Params,
               publish_root: str, scorer: rp.Scorer = rp.label_share_scorer,
-              stage_counts: dict | None = None) -> DataFrame:
+              stage_counts: dict | None = None,
+              training_messages: DataFrame | None = None) -> DataFrame:
     """X4: compute, publish and check one day; returns the check report.
 
     Stage row counts are observed while the stages run and logged (and put
@@ -111,7 +113,7 @@ def run_daily(spark: SparkSession, feeds: Feeds, messages: DataFrame, params: Pa
     prepare(spark)
     stage_dir = scratch_path(spark, f"run-{params.as_of:%Y%m%d}")
     batches, _, obs = daily_batches(spark, feeds, messages, params, scorer, stage_dir,
-                                    observe=True)
+                                    observe=True, training_messages=training_messages)
     for name, o in obs.items():
         rows = o.get.get("rows")
         LOG.info("stage %s: %s rows", name, rows)

@@ -63,6 +63,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
 def committed_versions(spark: SparkSession, table_root: str) -> list[str]:
     """Committed snapshot versions of a table, oldest first."""
     fs, root = _fs(spark, table_root)

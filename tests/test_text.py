@@ -133,3 +133,17 @@ def test_spark_ml_scorer_probabilities(spark):
     assert all(got[u] > 0.5 for u in range(0, 40, 2))
     assert all(got[u] < 0.5 for u in range(1, 40, 2))
     assert F  # keep import used
+
+
+def test_separate_training_messages_and_saved_model(spark, tmp_path):
+    p = P.with_(vocab_size=50, seq_len=10)
+    train = _messages(spark, [(u, u, 1 + u % 50, "gain profit" if u % 2 == 0 else "scam junk",
+                                int(u % 2 == 0)) for u in range(40)])
+    test = _messages(spark, [(100, 1000, 3, "profit gain gain", None),
+                             (101, 1001, 3, "junk scam", None), (102, 1002, 3, "unseen", None)])
+    scorer = rp.SparkMLScorer(max_iter=20, model_path=str(tmp_path / "model"))
+    scores = dict(rp.reputation_scores(spark, test, p, scorer, training_messages=train).collect())
+    assert scores[100] == 1.0 and scores[101] == 0.0 and set(scores) == {100, 101, 102}
+    # a second run loads the saved model and vocabulary instead of fitting
+    again = dict(rp.reputation_scores(spark, test, p, scorer).collect())
+    assert again == scores
