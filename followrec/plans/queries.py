@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followrec.functions import epoch_seconds, fixed8_text, parse_ts_text, weight_decimal
+from followrec.functions import epoch_seconds, parse_ts_text, weight_decimal
 from followrec.operators import closest as cl
 from followrec.operators import quality as dq
 from followrec.operators import recommend as rc

@@ -147,3 +147,11 @@ def test_separate_training_messages_and_saved_model(spark, tmp_path):
     # a second run loads the saved model and vocabulary instead of fitting
     again = dict(rp.reputation_scores(spark, test, p, scorer).collect())
     assert again == scores
+
+
+def test_notebook_bin_variant(spark):
+    # the exploration notebook bins from 2015-12-08 up to day 189
+    p = P.with_(anchor_date=date(2015, 12, 8), max_day=189)
+    df = spark.createDataFrame([(d,) for d in (0, 1, 189, 190)], "d int")
+    got = [r[0] for r in df.select(week_bin("d", p.bin_days, p.max_day)).collect()]
+    assert got == [None, 0, 26, None]
