@@ -26,7 +26,8 @@ from followrec.operators import tables as tb
 from followrec.params import Params
 from followrec.session import prepare, scratch_path
 from followrec.sources.feeds import Feeds
-from followrec.sources.sinks import cut_lineage, read_latest, write_snapshot
+from followrec.sources.feeds import daily_folder
+from followrec.sources.sinks import cut_lineage, read_latest, write_csv, write_snapshot
 
 
 def published_batches(closest: DataFrame, recs: DataFrame, reasons: DataFrame) -> dict:
@@ -72,7 +73,27 @@ def daily_batches(spark: SparkSession, feeds: Feeds, messages: DataFrame, params
     if stage_dir:
         top = cut_lineage(spark, top, f"{stage_dir}/top")
     batches = published_batches(closest, rc.rec_rows(top), rc.explode_reasons(top))
-    return batches, scores, obs
+    return batches, scores, obs, {"closest": closest, "top": top}
+
+
+def write_daily_outputs(stages: dict, scores: DataFrame, root: str, params: Params) -> str:
+    """The day's files in the reference's layouts, CSV with header, under
+    root/yyyyMMdd: closest lists (wide), closest data (long), scores (sorted
+    by user), recommendations and their reasons (after the score filter)."""
+    folder = daily_folder(root, params.as_of)
+    top = stages["top"]
+    reasons = rc.explode_reasons(top)
+    files = {
+        "closest_connections.csv": cl.closest_lists(stages["closest"]),
+        "closest_connections_data.csv": cl.closest_long(stages["closest"]),
+        "score.csv": scores.orderBy("user_id"),
+        "user_rec.csv": top.select("user_id", F.col("rec_id").alias("user_rec")),
+        "user_rec_reasons.csv": reasons.select(
+            "user_id", F.col("rec_id").alias("user_rec"),
+            F.col("reason_id").alias("reason"), "weight"),
+    }
+    concurrently(*[lambda n=n, df=df: write_csv(df, f"{folder}/{n}") for n, df in files.items()])
+    return folder
 
 
 def publish(spark: SparkSession, batches: dict, publish_root: str, params: Params) -> dict:
@@ -102,18 +123,23 @@ LOG = logging.getLogger("followrec")
 def run_daily(spark: SparkSession, feeds: Feeds, messages: DataFrame, params: Params,
               publish_root: str, scorer: rp.Scorer = rp.label_share_scorer,
               stage_counts: dict | None = None,
-              training_messages: DataFrame | None = None) -> DataFrame:
+              training_messages: DataFrame | None = None,
+              outputs_root: str | None = None) -> DataFrame:
     """X4: compute, publish and check one day; returns the check report.
 
     Stage row counts are observed while the stages run and logged (and put
-    into `stage_counts` when a dict is given). Raises DataQualityError when a
+    into `stage_counts` when a dict is given). With `outputs_root`, the day's
+    CSV files are also written in the reference's layouts. Raises DataQualityError when a
     check fails (after publishing, like the reference's last task), ValueError
     on a duplicate key before publishing.
     """
     prepare(spark)
     stage_dir = scratch_path(spark, f"run-{params.as_of:%Y%m%d}")
-    batches, _, obs = daily_batches(spark, feeds, messages, params, scorer, stage_dir,
-                                    observe=True, training_messages=training_messages)
+    batches, scores, obs, stages = daily_batches(
+        spark, feeds, messages, params, scorer, stage_dir, observe=True,
+        training_messages=training_messages)
+    if outputs_root:
+        write_daily_outputs(stages, scores, outputs_root, params)
     for name, o in obs.items():
         rows = o.get.get("rows")
         LOG.info("stage %s: %s rows", name, rows)

@@ -415,10 +415,10 @@ PUBLISH = P.with_(lookback_days=20)
 def _tables(spark, sf_dir, p=PUBLISH):
     """Yesterday's published tables (+ 3-day-old leftovers) and today's batches."""
     feeds, msgs = _feeds(spark, sf_dir), td.map_messages(spark, sf_dir)
-    today, _, _ = daily_batches(spark, feeds, msgs, p)
+    today = daily_batches(spark, feeds, msgs, p)[0]
     y, o = p.shifted(-1), p.shifted(-3)
-    yb, _, _ = daily_batches(spark, feeds, msgs, y)
-    ob, _, _ = daily_batches(spark, feeds, msgs, o)
+    yb = daily_batches(spark, feeds, msgs, y)[0]
+    ob = daily_batches(spark, feeds, msgs, o)[0]
     out = {}
     for name, (keys, vals) in tb.TABLES.items():
         ty = tb.ts_literal(y.as_of)

@@ -113,9 +113,17 @@ def test_daily_run_publishes_versions(spark, tmp_path):
     r1 = run_daily(spark, feeds, msgs, p.shifted(-1), root)
     assert all(r.passed for r in r1.collect())
     counts = {}
-    r2 = run_daily(spark, feeds, msgs, p, root, stage_counts=counts)
+    out = str(tmp_path / "graph_data")
+    r2 = run_daily(spark, feeds, msgs, p, root, stage_counts=counts, outputs_root=out)
     assert all(r.passed for r in r2.collect())
     assert counts["closest"] == 415 and counts["scores"] == 100
+    day = fd.daily_folder(out, p.as_of)
+    lists = fd.parse_closest_lists(fd.read_closest_lists(spark, f"{day}/closest_connections.csv"))
+    assert lists.count() == 415
+    assert fd.read_scores(spark, f"{day}/score.csv").count() == 100
+    reasons = spark.read.option("header", True).csv(f"{day}/user_rec_reasons.csv")
+    assert reasons.columns == ["user_id", "user_rec", "reason", "weight"]
+    assert reasons.count() == 128
     assert len(sk.committed_versions(spark, f"{root}/closest_connections")) == 2
     cc = sk.read_latest(spark, f"{root}/closest_connections",
                         tb.table_schema("closest_connections"))
