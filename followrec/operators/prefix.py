@@ -7,7 +7,9 @@ cut into contiguous slices spread over many tasks:
 1. each task sums its slice in order (one pass over Arrow batches),
 2. the per-slice totals (one row per partition) give each slice's offset,
 3. slice offset + local sum = running sum over the global (g, o) order,
-4. minus the group's first value = running sum inside the group.
+4. minus the group's first value = running sum inside the group; group
+   starts and totals come from a per-(slice, group) table, so no step is
+   keyed by a hot group alone.
 
 The split costs a sampling pass and a Python pass, so it is only taken when
 the largest group, measured by one aggregate, exceeds a bound; bounded
@@ -92,8 +94,15 @@ def split_exclusive_sum(df: DataFrame, group_cols, order_cols, value_col: str,
                             .cast("long").alias("_off"))
     placed = (local.join(F.broadcast(offsets), "_slice")
               .withColumn("_global", F.col("_local") + F.col("_off")))
-    starts = placed.groupBy(*group_cols).agg(F.min("_global").alias("_start"),
-                                             F.sum(value_col).cast("long").alias(total_col))
-    return (placed.join(starts, list(group_cols))
+    # Group starts and totals, keyed by (slice, group): a hot group has one
+    # row per slice it spans here, and the join back never meets a key
+    # larger than one slice.
+    per_slice = placed.groupBy("_slice", *group_cols).agg(
+        F.min("_global").alias("_smin"), F.sum(value_col).alias("_ssum"))
+    g = Window.partitionBy(*group_cols)
+    starts = per_slice.select("_slice", *group_cols,
+                              F.min("_smin").over(g).alias("_start"),
+                              F.sum("_ssum").over(g).cast("long").alias(total_col))
+    return (placed.join(starts, ["_slice", *group_cols])
             .withColumn(out_col, (F.col("_global") - F.col("_start")).cast("long"))
             .drop("_slice", "_local", "_off", "_global", "_start"))

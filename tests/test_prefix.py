@@ -26,3 +26,21 @@ def test_matches_window_with_hot_group(spark, tmp_path):
         a = sorted(tuple(r) for r in got.select("id", "before", "total").collect())
         b = sorted(tuple(r) for r in want.collect())
         assert a == b
+
+
+def test_split_path_keeps_hot_group_spread(spark):
+    rows = [(0 if i % 3 else i % 50 + 1, i % 5, i, 1) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g long, day int, id long, v long")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    old_b = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = grouped_exclusive_sum(df, ["g"], ["day", "id"], "v", "before", "total",
+                                    num_partitions=16, max_group_rows=None)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 0.5 * sum(sizes)    # group 0 holds two thirds of the rows
+        assert out.filter("g = 0").agg(F.max("before")).first()[0] == 3999
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_b)
