@@ -48,10 +48,15 @@ def suspended_users(user: DataFrame) -> DataFrame:
 
 
 def drop_suspended_targets(engagements: DataFrame, user: DataFrame) -> DataFrame:
-    """Engagements whose target is not suspended (left anti join)."""
-    s = suspended_users(user).withColumnRenamed("user_id", "_suspended_id")
-    return engagements.join(
-        s, engagements["engaged_with_user_id"] == s["_suspended_id"], "left_anti")
+    """Rows whose target is not suspended (left anti join).
+
+    The suspended ids are not de-duplicated here (repeats cannot change an
+    anti join), so both join inputs are plain shuffles and AQE can split a
+    target engaged with by a large share of users.
+    """
+    s = (user.filter(F.col("suspended") == 1)
+         .select(F.col("user_id").alias("engaged_with_user_id")))
+    return engagements.join(s, ["engaged_with_user_id"], "left_anti")
 
 
 def weighted_engagements(engagements: DataFrame, params: Params) -> DataFrame:

@@ -1,8 +1,8 @@
 """Step 3: friends-of-friends recommendations and the reasons behind them.
 
 Plan shape: closest (top-k per user, so at most k*k paths per user) joined to
-itself on (intermediary, salt) (sort-merge; a popular intermediary is salted
-over many tasks, see second_degree_paths) ->
+itself on the intermediary (sort-merge; a popular intermediary is salted
+over many tasks, see operators.skew) ->
 self filter -> one aggregate per (user, candidate) that carries the sum and
 the bounded (<= k) reason list -> anti join on follows (co-partitioned on
 (user, candidate), so only the follows move) -> per-user top-n window ->
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from followrec.functions import fixed8_text, weight_decimal
 from followrec.operators.closest import rank_window, suspended_users
+from followrec.operators.skew import HOT_ROWS, MAX_HOT_KEYS, SALT_BUCKETS, salted_join
 from followrec.params import Params
 
 
@@ -29,26 +30,9 @@ def active_sources(closest: DataFrame, user: DataFrame) -> DataFrame:
     return closest.join(s, closest["user_id"] == s["_suspended_id"], "left_anti")
 
 
-# Hot intermediaries of the self join: keys reached from more than
-# HOT_FANIN users are split over SALT_BUCKETS tasks; at most MAX_HOT_KEYS of
-# them (the most reached first), so the hot-key table has a fixed bound and is
-# broadcast. Execution knobs only: results do not depend on them.
-HOT_FANIN = 100_000
-MAX_HOT_KEYS = 10_000
-SALT_BUCKETS = 64
-
-
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_FANIN,
-             max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """Keys holding more than `min_rows` rows, at most `max_keys` of them."""
-    return (df.groupBy(key).count().filter(F.col("count") > min_rows)
-            .orderBy(F.col("count").desc(), F.col(key).asc()).limit(max_keys)
-            .select(key, F.lit(True).alias("_hot")))
-
-
-def second_degree_paths(active: DataFrame, hot_fanin: int = HOT_FANIN,
+def second_degree_paths(active: DataFrame, hot_rows: int = HOT_ROWS,
                         max_hot_keys: int = MAX_HOT_KEYS,
-                        salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+                        buckets: int = SALT_BUCKETS) -> DataFrame:
     """user -> reason -> rec paths.
 
     Keeps the rank of user -> reason (the reasons' order) and the weight of
@@ -56,25 +40,18 @@ def second_degree_paths(active: DataFrame, hot_fanin: int = HOT_FANIN,
     Output: user_id, reason_id, reason_rank, rec_id, w8.
 
     Skew: the right side holds at most k rows per intermediary, the left side
-    one row per user reaching it, so a popular intermediary is a hot key. Its
-    left rows are spread over `salt_buckets` salts (hash of the user) and its
-    (at most k) right rows are copied once per salt; other keys use salt 0.
-    The join on (intermediary, salt) then never puts a hot key in one task.
+    one row per user reaching it, so a popular intermediary is a hot key: its
+    left rows are salted by user over `buckets` tasks and its at most k right
+    rows copied once per salt (operators.skew). The join on (intermediary,
+    salt) also gets its own shuffles on both sides.
     """
     hop1 = active.select("user_id",
                          F.col("engaged_with_user_id").alias("reason_id"),
                          F.col("rank").alias("reason_rank"))
     hop2 = active.select(F.col("user_id").alias("reason_id"),
                          F.col("engaged_with_user_id").alias("rec_id"), "w8")
-    hot = F.broadcast(hot_keys(hop1, "reason_id", hot_fanin, max_hot_keys))
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    left = hop1.join(hot, "reason_id", "left").withColumn(
-        "_salt", F.when(is_hot, F.pmod(F.xxhash64("user_id"), F.lit(salt_buckets)))
-        .otherwise(F.lit(0)).cast("int")).drop("_hot")
-    right = hop2.join(hot, "reason_id", "left").withColumn(
-        "_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-                           .otherwise(F.array(F.lit(0))))).drop("_hot")
-    return left.join(right, ["reason_id", "_salt"]).select(
+    return salted_join(hop1, hop2, ["reason_id"], "inner", ["user_id"],
+                       hot_rows, max_hot_keys, buckets).select(
         "user_id", "reason_id", "reason_rank", "rec_id", "w8")
 
 
@@ -139,9 +116,10 @@ def high_scores(scores: DataFrame, params: Params) -> DataFrame:
 
 
 def keep_high_scores(recs: DataFrame, scores: DataFrame, params: Params) -> DataFrame:
-    """Candidates with a score strictly above min_score; no score, no rec."""
-    h = high_scores(scores, params).select(F.col("user_id").alias("_hid"))
-    return recs.join(h, recs["rec_id"] == h["_hid"], "left_semi")
+    """Candidates with a score strictly above min_score; no score, no rec.
+    (A candidate recommended to a large share of users is a hot key.)"""
+    h = high_scores(scores, params).select(F.col("user_id").alias("rec_id"))
+    return salted_join(recs, h, ["rec_id"], "left_semi", ["user_id"])
 
 
 def explode_reasons(top: DataFrame) -> DataFrame:

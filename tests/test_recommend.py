@@ -106,7 +106,7 @@ def test_second_hop_ranks_on_8_decimal_weights(spark):
     assert [r.rec_id for r in recs.collect()] == [10]
 
 
-def test_hot_intermediary_is_salted(spark):
+def test_hot_intermediary_is_spread(spark):
     # every user reaches intermediary 7; 7 has 40 targets: all paths share a key
     rows = [(u, 7, TS) for u in range(1, 3001)] + [(7, 10_000 + i, TS) for i in range(40)]
     f = make_feeds(spark, reply=rows)
@@ -117,8 +117,8 @@ def test_hot_intermediary_is_salted(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        salted = rc.second_degree_paths(active, hot_fanin=100, salt_buckets=8)
-        plain = rc.second_degree_paths(active, hot_fanin=10**12)
+        salted = rc.second_degree_paths(active, hot_rows=100)
+        plain = rc.second_degree_paths(active, hot_rows=10**12)
         assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
         sizes = [r["count"] for r in salted.groupBy(F.spark_partition_id()).count().collect()]
         assert max(sizes) < 0.5 * sum(sizes)        # no task holds the hot key alone
