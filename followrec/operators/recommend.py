@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from followrec.functions import fixed8_text, weight_decimal
 from followrec.operators.closest import rank_window, suspended_users
-from followrec.operators.skew import HOT_ROWS, MAX_HOT_KEYS, SALT_BUCKETS, salted_join
+from followrec.operators.skew import HOT_ROWS, MAX_HOT_KEYS, SALT_BUCKETS, small_or_salted_join
 from followrec.params import Params
 
 
@@ -42,16 +42,17 @@ def second_degree_paths(active: DataFrame, hot_rows: int = HOT_ROWS,
     Skew: the right side holds at most k rows per intermediary, the left side
     one row per user reaching it, so a popular intermediary is a hot key: its
     left rows are salted by user over `buckets` tasks and its at most k right
-    rows copied once per salt (operators.skew). The join on (intermediary,
-    salt) also gets its own shuffles on both sides.
+    rows copied once per salt (operators.skew). A right side counted small
+    enough is broadcast instead (no key shuffle, so nothing can pile up).
     """
     hop1 = active.select("user_id",
                          F.col("engaged_with_user_id").alias("reason_id"),
                          F.col("rank").alias("reason_rank"))
     hop2 = active.select(F.col("user_id").alias("reason_id"),
                          F.col("engaged_with_user_id").alias("rec_id"), "w8")
-    return salted_join(hop1, hop2, ["reason_id"], "inner", ["user_id"],
-                       hot_rows, max_hot_keys, buckets).select(
+    return small_or_salted_join(hop1, hop2, ["reason_id"], "inner", ["user_id"],
+                                min_rows=hot_rows, max_keys=max_hot_keys,
+                                buckets=buckets).select(
         "user_id", "reason_id", "reason_rank", "rec_id", "w8")
 
 
@@ -119,7 +120,7 @@ def keep_high_scores(recs: DataFrame, scores: DataFrame, params: Params) -> Data
     """Candidates with a score strictly above min_score; no score, no rec.
     (A candidate recommended to a large share of users is a hot key.)"""
     h = high_scores(scores, params).select(F.col("user_id").alias("rec_id"))
-    return salted_join(recs, h, ["rec_id"], "left_semi", ["user_id"])
+    return small_or_salted_join(recs, h, ["rec_id"], "left_semi", ["user_id"])
 
 
 def explode_reasons(top: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from followrec.functions import (
     week_bounds,
 )
 from followrec.operators.prefix import grouped_exclusive_sum
-from followrec.operators.skew import salted_join
+from followrec.operators.skew import small_or_salted_join
 from followrec.params import Params
 
 WEEK_KEY = ["user_id", "week_idx"]
@@ -140,8 +140,8 @@ def token_vocabulary(clean: DataFrame, params: Params) -> DataFrame:
     each partition keeps its own top rows before the final merge, and the
     result (bounded by vocab_size) is what later steps broadcast.
     """
-    train = salted_join(binned(clean), training_weeks(clean).select(*WEEK_KEY),
-                        WEEK_KEY, "left_semi", ["msg_id"])
+    train = small_or_salted_join(binned(clean), training_weeks(clean).select(*WEEK_KEY),
+                                 WEEK_KEY, "left_semi", ["msg_id"])
     counts = (train.select(F.explode(tokens("clean_body")).alias("token"))
               .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
     top = counts.orderBy(F.col("n").desc(), F.col("token").asc()).limit(params.vocab_size - 1)

@@ -56,3 +56,38 @@ def salted_join(left: DataFrame, right: DataFrame, on, how: str, spread_by,
                .otherwise(F.array(F.lit(0)))))
            .drop("_hot"))
     return lhs.join(rhs, on + ["_salt"], how).drop("_salt")
+
+
+# A right side with at most this many rows (counted) is broadcast instead.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def _planner_broadcasts(df: DataFrame) -> bool:
+    """Spark's own check: the optimizer's size estimate of `df` is within
+    spark.sql.autoBroadcastJoinThreshold (what it applies to any join)."""
+    try:
+        qe = df._jdf.queryExecution()
+        size = int(str(qe.optimizedPlan().stats().sizeInBytes()))
+        limit = int(df.sparkSession._jsparkSession.sessionState().conf()
+                    .autoBroadcastJoinThreshold())
+    except Exception:  # no plan access (e.g. a remote session)
+        return False
+    return 0 <= size <= limit
+
+
+def small_or_salted_join(left: DataFrame, right: DataFrame, on, how: str, spread_by,
+                         max_rows: int | None = None, **salt) -> DataFrame:
+    """Join with a right side that a broadcast can serve, else salt.
+
+    A broadcast join keeps the left side's own partitioning, so a hot key
+    cannot pile up. The right side is broadcast when Spark's planner already
+    would (its estimate is within the broadcast threshold), or when a count
+    shows at most `max_rows` rows; beyond that, `salted_join`.
+    """
+    on = list(on)
+    if _planner_broadcasts(right):
+        return left.join(right, on, how)
+    limit = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    if right.limit(limit + 1).count() <= limit:
+        return left.join(F.broadcast(right), on, how)
+    return salted_join(left, right, on, how, spread_by, **salt)

@@ -43,9 +43,13 @@ def published_batches(closest: DataFrame, recs: DataFrame, reasons: DataFrame) -
 
 def daily_batches(spark: SparkSession, feeds: Feeds, messages: DataFrame, params: Params,
                   scorer: rp.Scorer = rp.label_share_scorer, stage_dir: str | None = None,
-                  observe: bool = False, training_messages: DataFrame | None = None):
+                  observe: bool = False, training_messages: DataFrame | None = None,
+                  scores: DataFrame | None = None):
     """Compute the day's three batches (lazy unless `stage_dir` is given).
 
+    `scores` (user_id, pred) may be passed in when already computed: the
+    reputation does not depend on the run time.
+
     With `stage_dir`, closest connections, scores and ranked candidates are
     materialized there. With `observe`, stage row counts are collected as
     metrics while the stages run (no extra job).
@@ -60,13 +64,19 @@ def daily_batches(spark: SparkSession, feeds: Feeds, messages: DataFrame, params
         return df.observe(o, F.count(F.lit(1)).alias("rows"))
 
     closest = track("closest", cl.closest_connections(feeds, params))
-    scores = track("scores", rp.reputation_scores(spark, messages, params, scorer,
-                                                  training_messages))
+    given = scores is not None
+    if not given:
+        scores = track("scores", rp.reputation_scores(spark, messages, params, scorer,
+                                                      training_messages))
     if stage_dir:
         # independent branches: materialized as concurrent jobs
-        closest, scores = concurrently(
-            lambda: cut_lineage(spark, closest, f"{stage_dir}/closest"),
-            lambda: cut_lineage(spark, scores, f"{stage_dir}/scores"))
+        jobs = [lambda: cut_lineage(spark, closest, f"{stage_dir}/closest")]
+        if not given:
+            jobs.append(lambda: cut_lineage(spark, scores, f"{stage_dir}/scores"))
+        done = concurrently(*jobs)
+        closest = done[0]
+        if not given:
+            scores = done[1]
     top = rc.keep_high_scores(
         rc.ranked_candidates(closest, feeds.follow, feeds.user, params), scores, params)
     top = track("recommendations", top)

@@ -61,6 +61,20 @@ def _closest(spark, sf_dir, p: Params = P):
     return cl.closest_connections(_feeds(spark, sf_dir), p)
 
 
+def _staged(spark, df, name):
+    """Stage output written once to the shared checkpoint folder and read back,
+    as the daily run does for results read more than once."""
+    return sk.cut_lineage(spark, df, scratch_path(spark, name))
+
+
+def _closest_staged(spark, sf_dir, p: Params = P):
+    return _staged(spark, _closest(spark, sf_dir, p), "closest")
+
+
+def _scores_staged(spark, sf_dir, p: Params = P):
+    return _staged(spark, _scores(spark, sf_dir, p), "scores")
+
+
 def _csv_feeds(spark, sf_dir) -> fd.Feeds:
     folder = scratch_path(spark, "feeds")
     fd.write_feeds_csv(_feeds(spark, sf_dir), folder)
@@ -252,18 +266,18 @@ def closest_connections_20d(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 3
 def _active(spark, sf_dir):
-    return rc.active_sources(_closest(spark, sf_dir), _feeds(spark, sf_dir).user)
+    return rc.active_sources(_closest_staged(spark, sf_dir), _feeds(spark, sf_dir).user)
 
 
 def _kept_paths(spark, sf_dir):
     f = _feeds(spark, sf_dir)
-    paths = rc.second_degree_paths(rc.active_sources(_closest(spark, sf_dir), f.user))
+    paths = rc.second_degree_paths(rc.active_sources(_closest_staged(spark, sf_dir), f.user))
     return rc.exclude_followed_self(paths, f.follow)
 
 
 def _ranked(spark, sf_dir, p=P):
     f = _feeds(spark, sf_dir)
-    return rc.ranked_candidates(_closest(spark, sf_dir, p), f.follow, f.user, p)
+    return rc.ranked_candidates(_closest_staged(spark, sf_dir, p), f.follow, f.user, p)
 
 
 @query("active_sources")
@@ -317,8 +331,8 @@ def high_scores(spark, sf_dir):
 
 def _final(spark, sf_dir, p=P):
     f = _feeds(spark, sf_dir)
-    return rc.recommendations(_closest(spark, sf_dir, p), f.follow, f.user,
-                              _scores(spark, sf_dir, p), p)
+    return rc.recommendations(_closest_staged(spark, sf_dir, p), f.follow, f.user,
+                              _scores_staged(spark, sf_dir, p), p)
 
 
 @query("final_recommendations")
@@ -415,10 +429,11 @@ PUBLISH = P.with_(lookback_days=20)
 def _tables(spark, sf_dir, p=PUBLISH):
     """Yesterday's published tables (+ 3-day-old leftovers) and today's batches."""
     feeds, msgs = _feeds(spark, sf_dir), td.map_messages(spark, sf_dir)
-    today = daily_batches(spark, feeds, msgs, p)[0]
     y, o = p.shifted(-1), p.shifted(-3)
-    yb = daily_batches(spark, feeds, msgs, y)[0]
-    ob = daily_batches(spark, feeds, msgs, o)[0]
+    # the reputation scores do not depend on the day: computed once
+    scores = _scores_staged(spark, sf_dir, p)
+    today, yb, ob = [daily_batches(spark, feeds, msgs, q, scores=scores)[0]
+                     for q in (p, y, o)]
     out = {}
     for name, (keys, vals) in tb.TABLES.items():
         ty = tb.ts_literal(y.as_of)
@@ -501,13 +516,13 @@ def stage_counts(spark, sf_dir):
     valid = cl.drop_suspended_targets(eng, f.user)
     weighted = cl.weighted_engagements(valid, P)
     pairs = cl.engagement_strength(weighted, P)
-    top = cl.top_closest(pairs, P)
+    top = _staged(spark, cl.top_closest(pairs, P), "closest")
     active = rc.active_sources(top, f.user)
     paths = rc.second_degree_paths(active)
     kept = rc.exclude_followed_self(paths, f.follow)
     cand = rc.second_degree_sums(kept)
     ranked = rc.ranked_candidates(top, f.follow, f.user, P)
-    scores = _scores(spark, sf_dir)
+    scores = _scores_staged(spark, sf_dir)
     recs, reasons = rc.recommendations(top, f.follow, f.user, scores, P)
     stages = [("engagements", eng), ("not_suspended_target", valid), ("weighted", weighted),
               ("pairs", pairs), ("closest", top), ("active_closest", active),

@@ -45,9 +45,13 @@ def plan(df) -> str:
 @pytest.fixture(scope="module")
 def sort_merge(spark):
     """Plan as at cluster scale, where the big sides do not fit a broadcast."""
+    from followrec.operators import skew
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old_max = skew.MAX_BROADCAST_ROWS
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    skew.MAX_BROADCAST_ROWS = -1
     yield
+    skew.MAX_BROADCAST_ROWS = old_max
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 

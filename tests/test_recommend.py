@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from followrec.operators import closest as cl
 from followrec.operators import recommend as rc
+from followrec.operators import skew
 from followrec.params import Params
 
 P = Params(as_of=AS_OF)
@@ -114,14 +115,17 @@ def test_hot_intermediary_is_spread(spark):
     # as at cluster scale: sort-merge join, no partition coalescing
     old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     old_b = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    old_max = skew.MAX_BROADCAST_ROWS
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
+        skew.MAX_BROADCAST_ROWS = -1      # as when the right side is large
         salted = rc.second_degree_paths(active, hot_rows=100)
         plain = rc.second_degree_paths(active, hot_rows=10**12)
         assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
         sizes = [r["count"] for r in salted.groupBy(F.spark_partition_id()).count().collect()]
         assert max(sizes) < 0.5 * sum(sizes)        # no task holds the hot key alone
     finally:
+        skew.MAX_BROADCAST_ROWS = old_max
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_b)
