@@ -100,7 +100,14 @@ def test_follows_collapsed_before_shuffle(spark, sort_merge):
 
 
 def test_self_join_sides_share_the_closest_shuffle(spark, sort_merge):
-    df = REGISTRY["final_recommendations"](spark, SF)
+    # the lazy composition (the registered queries stage closest connections)
+    from followrec.operators import closest as cl
+    from followrec.operators import recommend as rc
+    from followrec.params import Params
+    from followrec.sources import testdata as td
+
+    f = td.map_feeds(spark, SF)
+    df = rc.ranked_candidates(cl.closest_connections(f, Params()), f.follow, f.user, Params())
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "isFinalPlan=true" in final
