@@ -32,8 +32,9 @@ def main() -> None:
     print("# Final physical plans\n")
     print(f"Generated by `scripts/show_plans.py` on {os.path.basename(sf_dir)} with "
           "`spark.sql.autoBroadcastJoinThreshold=-1` and no row-count broadcasts "
-          "(sort-merge and salted joins, as for large sides), AQE on, 8 shuffle partitions. Each query was executed; the plans "
-          "below are the adaptive plans Spark ran (`isFinalPlan=true`).\n")
+          "(sort-merge and salted joins, as for large sides), AQE on, 8 shuffle "
+          "partitions. Each query was executed; the plans below are the adaptive "
+          "plans Spark ran (`isFinalPlan=true`).\n")
     for name in NAMES:
         print(f"## {name}\n\n```")
         print(final_plan(REGISTRY[name](spark, sf_dir)).rstrip())
