@@ -22,7 +22,7 @@ from followrec.operators import recommend as rc
 from followrec.operators import reputation as rp
 from followrec.operators import tables as tb
 from followrec.params import Params
-from followrec.plans.pipeline import daily_batches
+from followrec.plans.pipeline import concurrently, daily_batches
 from followrec.session import prepare, scratch_path
 from followrec.sources import feeds as fd
 from followrec.sources import sinks as sk
@@ -331,8 +331,10 @@ def high_scores(spark, sf_dir):
 
 def _final(spark, sf_dir, p=P):
     f = _feeds(spark, sf_dir)
-    return rc.recommendations(_closest_staged(spark, sf_dir, p), f.follow, f.user,
-                              _scores_staged(spark, sf_dir, p), p)
+    # independent stages, materialized as concurrent jobs
+    closest, scores = concurrently(lambda: _closest_staged(spark, sf_dir, p),
+                                   lambda: _scores_staged(spark, sf_dir, p))
+    return rc.recommendations(closest, f.follow, f.user, scores, p)
 
 
 @query("final_recommendations")
