@@ -11,6 +11,11 @@ bounded number of rows per key) are copied once per salt; other keys use
 salt 0. The join on (key, salt) then spreads a hot key over `buckets` tasks
 and equals the plain join for inner, left outer, left semi and left anti
 joins. The left input is read twice (count, join), the right input once.
+
+`small_or_salted_join` checks the right side's size first: a side that
+Spark's planner would broadcast anyway, or that a count shows to hold at
+most MAX_BROADCAST_ROWS rows, is broadcast (a broadcast join keeps the left
+side's own partitioning, so nothing piles up); only larger sides are salted.
 """
 
 from __future__ import annotations
