@@ -1,9 +1,9 @@
 """Readers for the daily feeds.
 
 Every reader declares its schema, keeps only the columns the pipeline uses
-(the CSV parser prunes the rest) and rejects rows with a missing key inside the
-plan (``raise_error``), so a bad file fails the job instead of producing a
-'nan' user.
+(the CSV parser prunes the rest) and rejects rows with a missing key or an
+unreadable timestamp inside the plan (``raise_error``), so a bad file fails
+the job instead of producing a 'nan' user or silently losing the row.
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ def read_follow(spark: SparkSession, path: str) -> DataFrame:
     df = _csv(spark, path, schemas.FOLLOW_CSV).select(
         "user_id", "engaged_with_user_id",
         parse_ts_text("timestamp").alias("ts"), "rel_type")
-    return require_not_null(df, ["user_id", "engaged_with_user_id"], "follow")
+    return require_not_null(df, ["user_id", "engaged_with_user_id", "ts"], "follow")
 
 
 def read_engagement(spark: SparkSession, path: str) -> DataFrame:
@@ -74,7 +74,7 @@ def read_engagement(spark: SparkSession, path: str) -> DataFrame:
     df = _csv(spark, path, schemas.ENGAGEMENT_CSV).select(
         "user_id", "engaged_with_user_id", "message_id",
         parse_ts_text("timestamp").alias("ts"), "rel_type")
-    return require_not_null(df, ["user_id", "engaged_with_user_id"], "engagement")
+    return require_not_null(df, ["user_id", "engaged_with_user_id", "ts"], "engagement")
 
 
 def read_user(spark: SparkSession, path: str) -> DataFrame:

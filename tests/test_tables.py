@@ -93,6 +93,10 @@ def test_csv_sources_round_trip(spark, tmp_path):
     (folder / "bad.csv" / "a.csv").write_text(",2,2024-01-30 10:20:30\n")
     with pytest.raises(Exception, match="null user_id"):
         fd.read_follow(spark, str(folder / "bad.csv")).collect()
+    (folder / "bad_ts.csv").mkdir()
+    (folder / "bad_ts.csv" / "a.csv").write_text("1,2,\n")
+    with pytest.raises(Exception, match="null ts"):
+        fd.read_follow(spark, str(folder / "bad_ts.csv")).collect()
 
 
 def test_closest_lists_parse(spark):
