@@ -137,10 +137,13 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
-    """Messages as JSON lines; malformed lines fail the read."""
-    return (spark.read.schema(schemas.MESSAGE_JSON)
-            .option("mode", "FAILFAST")
-            .json(path))
+    """Messages as JSON lines; malformed lines fail the read, and so does a
+    message without user, body or creation time (`recommended`, `links` and
+    `msg_id` are optional)."""
+    df = (spark.read.schema(schemas.MESSAGE_JSON)
+          .option("mode", "FAILFAST")
+          .json(path))
+    return require_not_null(df, ["user_id", "body", "created_at"], "message")
 
 
 def preview(df: DataFrame, order_cols, n: int = 3) -> DataFrame:

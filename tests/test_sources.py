@@ -21,6 +21,11 @@ def test_messages_json(spark, tmp_path):
     (p / "b.json").write_text('{"user_id": 3, "msg_id": \n')
     with pytest.raises(Exception):
         fd.read_messages(spark, str(p)).collect()
+    q = tmp_path / "nobody"
+    q.mkdir()
+    (q / "a.json").write_text('{"user_id": 4, "created_at": "2018-09-10T01:02:03Z"}\n')
+    with pytest.raises(Exception, match="null body"):
+        fd.read_messages(spark, str(q)).collect()
 
 
 def test_daily_partition_read(spark, tmp_path):
