@@ -374,6 +374,18 @@ def residual_links(stars: DataFrame, exact: DataFrame, comps: DataFrame,
 
 def near_duplicates(docs: DataFrame, p: SketchParams = SketchParams()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs(doc_id, text)``."""
+    return _labelled(docs, p).drop("text_key")
+
+
+def without_near_duplicates(docs: DataFrame, p: SketchParams = SketchParams()) -> DataFrame:
+    """Rows of ``docs`` that are kept; rows with equal id and text stay together."""
+    kept = stage(_labelled(docs, p).where("kept").select(F.col("doc_id").alias("d"), "text_key")
+                 .distinct(), "kept")
+    return docs.join(kept, docs.doc_id.eqNullSafe(kept.d)
+                     & (F.xxhash64(docs.text) == kept.text_key), "left_semi")
+
+
+def _labelled(docs: DataFrame, p: SketchParams) -> DataFrame:
     sk = stage(sketches(docs, p), "sketches")
     classes = stage(sk.where("sig is not null").groupBy("sig").agg(
         F.min(F.struct("doc_id", "text_key")).alias("rep"), F.min("doc_id").alias("least"),
@@ -394,8 +406,8 @@ def near_duplicates(docs: DataFrame, p: SketchParams = SketchParams()) -> DataFr
     ids = stage(ids.select("comp", "sig", "least"), "labelled")
     least = stage(ids.groupBy("comp").agg(F.min("least").alias("component_id")), "least")
     ids = stage(ids.join(least, "comp").select("sig", "component_id"), "ids")
-    return (sk.select("doc_id", "n_shingles", "sig").join(ids, "sig", "left")
-            .select("doc_id", "n_shingles",
+    return (sk.select("doc_id", "text_key", "n_shingles", "sig").join(ids, "sig", "left")
+            .select("doc_id", "text_key", "n_shingles",
                     F.when(F.col("sig").isNull(), F.col("doc_id"))
                     .otherwise(F.col("component_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"),

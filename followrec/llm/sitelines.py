@@ -81,3 +81,40 @@ def drop_site_lines(pages: DataFrame, host: Column, text: str = "text",
         *((F.array_join("kept", "\n") if c == text else F.col("row")[c]).alias(c) for c in names),
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("lines") - F.size("kept"), F.lit(0)).cast("long").alias("n_dropped"))
+
+
+#: DuckDB SQL of the query over ``pages`` with the default parameters.
+ORACLE_SQL = r"""
+WITH plain AS (
+  SELECT page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)),
+                         '') AS host,
+         regexp_replace(regexp_replace(html,
+             '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>', chr(10), 'g'),
+             '<[^>]*>', chr(10), 'g') AS text
+  FROM pages
+), lines AS (
+  SELECT page_id, host, l.i AS i, l.line AS line,
+         trim(regexp_replace(l.line, '[\x09-\x0D]', ' ', 'g'), ' ') AS bare
+  FROM (SELECT page_id, host, unnest(list_transform(string_split(text, chr(10)),
+               (x, i) -> {'i': i, 'line': x})) AS l FROM plain)
+), counts AS (
+  SELECT host, bare, count(DISTINCT page_id) AS n FROM lines WHERE bare <> '' GROUP BY host, bare
+), hosts AS (
+  SELECT host, count(*) AS pages FROM plain GROUP BY host
+), dropped AS (
+  SELECT c.host, c.bare FROM counts c JOIN hosts h ON c.host IS NOT DISTINCT FROM h.host
+  WHERE h.pages >= 10 AND c.n > 0.1 * h.pages
+), judged AS (
+  SELECT l.*, d.bare IS NOT NULL AS gone
+  FROM lines l LEFT JOIN dropped d
+    ON l.host IS NOT DISTINCT FROM d.host AND l.bare = d.bare AND l.bare <> ''
+)
+SELECT p.page_id, p.host,
+       CASE WHEN p.text IS NULL THEN NULL ELSE
+         coalesce(string_agg(j.line, chr(10) ORDER BY j.i) FILTER (WHERE NOT j.gone), '') END
+         AS text,
+       count(j.i)::BIGINT AS n_lines,
+       (count(j.i) FILTER (WHERE j.gone))::BIGINT AS n_dropped
+FROM plain p LEFT JOIN judged j ON p.page_id = j.page_id
+GROUP BY p.page_id, p.host, p.text
+"""
