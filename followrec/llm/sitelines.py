@@ -93,10 +93,9 @@ WITH plain AS (
              '<[^>]*>', chr(10), 'g') AS text
   FROM pages
 ), lines AS (
-  SELECT page_id, host, l.i AS i, l.line AS line,
-         trim(regexp_replace(l.line, '[\x09-\x0D]', ' ', 'g'), ' ') AS bare
-  FROM (SELECT page_id, host, unnest(list_transform(string_split(text, chr(10)),
-               (x, i) -> {'i': i, 'line': x})) AS l FROM plain)
+  SELECT *, trim(regexp_replace(line, '[\x09-\x0D]', ' ', 'g'), ' ') AS bare
+  FROM (SELECT page_id, host, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS i FROM plain)
 ), counts AS (
   SELECT host, bare, count(DISTINCT page_id) AS n FROM lines WHERE bare <> '' GROUP BY host, bare
 ), hosts AS (
