@@ -268,7 +268,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: KernelParams = KernelParams()) ->
         labels.select("doc_id", F.col("label").cast("int")), "doc_id"), "labelled")
     total = {r.label: r["count"] for r in train.groupBy("label").count().collect()}
     share = min(max(total.get(1, 0) / max(sum(total.values()), 1), 1e-6), 1 - 1e-6)
-    flat = ToxicModel(np.zeros(TABLE, np.float32), 1.0, float(np.log(share / (1 - share))), p)
+    flat = ToxicModel(np.zeros(TABLE, np.float32), 0.0, float(np.log(share / (1 - share))), p)
     if len(total) < 2:
         return flat
     counts = stage(word_counts(train), "word-counts")
