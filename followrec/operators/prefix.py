@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from followrec.session import scratch_path
+
 
 # Groups up to this many rows are summed by a plain window (one task per
 # group is fine when the group is bounded); a larger one is split.
@@ -44,8 +46,9 @@ def grouped_exclusive_sum(df: DataFrame, group_cols, order_cols, value_col: str,
 
     The largest group is measured first; when it has at most `max_group_rows`
     rows a window does the work, otherwise the rows are range-partitioned
-    (`max_group_rows=None` always splits). With `stage_path`, the per-row
-    local sums are written there once and the consumers read the same rows.
+    (`max_group_rows=None` always splits). The per-row local sums are then
+    written once (at `stage_path`, or in the shared scratch folder), so that
+    all consumers read the same slices.
     """
     if max_group_rows is not None and largest_group(df, group_cols) <= max_group_rows:
         return window_exclusive_sum(df, group_cols, order_cols, value_col, out_col, total_col)
@@ -84,9 +87,9 @@ def split_exclusive_sum(df: DataFrame, group_cols, order_cols, value_col: str,
             yield pdf
 
     local = ranged.mapInPandas(local_sums, schema)
-    if stage_path:
-        local.write.mode("overwrite").parquet(stage_path)
-        local = spark.read.parquet(stage_path)
+    stage_path = stage_path or scratch_path(spark, "local-sums")
+    local.write.mode("overwrite").parquet(stage_path)
+    local = spark.read.parquet(stage_path)
     # one row per slice: bounded by the partition count, safe to broadcast
     totals = local.groupBy("_slice").agg(F.sum(value_col).alias("_t"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

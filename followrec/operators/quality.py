@@ -72,10 +72,15 @@ def run_checks(spark: SparkSession, checks, raise_on_fail: bool = True) -> DataF
 
 
 def _same(actual_text: str, expected) -> bool:
-    try:
-        return type(expected)(actual_text) == expected
-    except (TypeError, ValueError):
-        return actual_text == str(expected)
+    """Value comparison: the text of 0.0 equals 0, the text false equals False only."""
+    if isinstance(expected, bool):
+        return actual_text.lower() == str(expected).lower()
+    if isinstance(expected, (int, float)):
+        try:
+            return float(actual_text) == expected
+        except ValueError:
+            return False
+    return actual_text == str(expected)
 
 
 def null_key_count(df: DataFrame, keys) -> DataFrame:

@@ -42,6 +42,7 @@ def message_frame(messages: DataFrame, params: Params) -> DataFrame:
     day = days_since(created, params.anchor_date)
     return messages.select(
         "user_id", "msg_id",
+        "created_at",
         created.alias("created_date"),
         day.alias("day"),
         week_bin(day, params.bin_days, params.max_day).alias("week_idx"),
@@ -68,7 +69,7 @@ def binned(msgs: DataFrame) -> DataFrame:
 def weekly_text(clean: DataFrame, params: Params) -> DataFrame:
     """Cleaned body and link texts of a user-week, blank-joined in message order.
 
-    Order key is (created date, message id). Messages are placed by a running
+    Order key is (creation time, message id). Messages are placed by a running
     sum of their text length (split across tasks when a week is hot) and the
     week is emitted in consecutive parts of at most `text_part_chars`
     characters plus one message: an ordinary week is one row with part 0, a
@@ -77,11 +78,11 @@ def weekly_text(clean: DataFrame, params: Params) -> DataFrame:
     """
     msgs = binned(clean).withColumn(
         "_len", (F.length("clean_body") + F.length("clean_link_desc") + 2).cast("long"))
-    placed = grouped_exclusive_sum(msgs, WEEK_KEY, ["created_date", "msg_id"], "_len",
+    placed = grouped_exclusive_sum(msgs, WEEK_KEY, ["created_at", "msg_id"], "_len",
                                    "_before", "_week_chars")
     part = F.floor(F.col("_before") / F.lit(params.text_part_chars)).cast("int")
     m = F.sort_array(F.collect_list(F.struct(
-        "created_date", "msg_id", "clean_body", "clean_link_desc")))
+        "created_at", "msg_id", "clean_body", "clean_link_desc")))
     out = (placed.withColumn("part", part)
            .groupBy(*WEEK_KEY, "part")
            .agg(m.alias("m"), F.count(F.lit(1)).alias("n_messages"))
@@ -126,9 +127,12 @@ def training_weeks(msgs: DataFrame) -> DataFrame:
 
 
 def message_tokens(clean: DataFrame) -> DataFrame:
-    """One row per word of a binned message: position within its message."""
-    return binned(clean).select(
-        *WEEK_KEY, "created_date", "msg_id",
+    """One row per word of a binned message: position within its message.
+
+    `msg_key` names the message row itself; `msg_id` may be absent or repeated.
+    """
+    return binned(clean).withColumn("msg_key", F.monotonically_increasing_id()).select(
+        *WEEK_KEY, "created_at", "msg_id", "msg_key",
         F.posexplode(tokens("clean_body")).alias("pos", "token"))
 
 
@@ -162,8 +166,8 @@ def encode_sequences(clean: DataFrame, vocab: DataFrame,
     v = F.broadcast(vocab.select("token", "token_index"))
     known = message_tokens(clean).join(v, "token")
     # Both the token ranks and the per-message counts come from one window by
-    # msg_id, so the two branches below share that exchange.
-    by_msg = Window.partitionBy("msg_id")
+    # message, so the two branches below share that exchange.
+    by_msg = Window.partitionBy("msg_key")
     known = (known.withColumn("k", F.row_number().over(by_msg.orderBy("pos")) - 1)
              .withColumn("n_known", F.count(F.lit(1)).over(by_msg)))
     stage = None
@@ -175,13 +179,13 @@ def encode_sequences(clean: DataFrame, vocab: DataFrame,
         known = cut_lineage(spark, known, scratch_path(spark, "known-tokens"))
         stage = scratch_path(spark, "msg-offsets")
     per_msg = known.filter(F.col("k") == 0).select(
-        *WEEK_KEY, "created_date", "msg_id", "n_known")
+        *WEEK_KEY, "created_at", "msg_id", "msg_key", "n_known")
     # Messages are placed by a running sum inside their week that stays
     # balanced even when one user-week holds a large share of all messages.
     placed = grouped_exclusive_sum(
-        per_msg, WEEK_KEY, ["created_date", "msg_id"], "n_known", "offset", "week_total",
-        stage_path=stage).select("msg_id", "offset", "week_total")
-    return (known.join(placed, "msg_id")
+        per_msg, WEEK_KEY, ["created_at", "msg_id", "msg_key"], "n_known", "offset",
+        "week_total", stage_path=stage).select("msg_key", "offset", "week_total")
+    return (known.join(placed, "msg_key")
             .select(*WEEK_KEY, (F.col("offset") + F.col("k")).cast("long").alias("seq_pos"),
                     "token_index", "week_total"))
 
@@ -211,7 +215,7 @@ def materialize_clean(spark: SparkSession, clean: DataFrame) -> DataFrame:
     from followrec.session import scratch_path
     from followrec.sources.sinks import cut_lineage
 
-    cols = binned(clean).select(*WEEK_KEY, "created_date", "msg_id", "clean_body", "recommended")
+    cols = binned(clean).select(*WEEK_KEY, "created_at", "msg_id", "clean_body", "recommended")
     return cut_lineage(spark, cols, scratch_path(spark, "clean-text"))
 
 

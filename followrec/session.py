@@ -21,8 +21,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a private temporary folder is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``. Only a session with a local
+    master may leave it unset; it gets a private temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -32,6 +32,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if sc is not None:
         root = sc.getCheckpointDir() or root
     if not root:
+        if spark.conf.get("spark.master", "").partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             "executors share")
         root = tempfile.mkdtemp(prefix="followrec-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)

@@ -134,3 +134,26 @@ def test_daily_run_publishes_versions(spark, tmp_path):
     created = {r.created_at for r in cc.collect()}
     assert created <= {p.as_of - timedelta(days=1), p.as_of}
     assert cc.filter("updated_at < created_at").count() == 0
+
+
+def test_checks_compare_values(spark):
+    ok = {r.check_name: r.passed for r in dq.run_checks(spark, [
+        dq.Check("false is not true", "SELECT 1 = 2", True),
+        dq.Check("false", "SELECT 1 = 2", False),
+        dq.Check("zero", "SELECT 0.0D", 0),
+        dq.Check("text", "SELECT 'x'", 0)], raise_on_fail=False).collect()}
+    assert ok == {"false is not true": False, "false": True, "zero": True, "text": False}
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from followrec.session import checkpoint_root
+    conf = {"spark.master": "spark://somewhere:7077"}
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="checkpoint"):
+        checkpoint_root(session)

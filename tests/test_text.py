@@ -102,6 +102,17 @@ def test_vocabulary_sequences_padding(spark):
     assert pad[2] == [0, 0, 0, 0, 1]          # 'zz' unknown, zeros in front
 
 
+def test_sequences_do_not_need_message_ids(spark):
+    p = P.with_(vocab_size=4, seq_len=5)
+    for first, second, other in ((None, None, None), (7, 7, 7)):
+        msgs = _messages(spark, [(1, first, 1, "b a a c d", 1), (1, second, 2, "c a b", None),
+                                 (2, other, 1, "zz a", None)])
+        clean = rp.clean_messages(rp.message_frame(msgs, p))
+        _, padded = rp.model_input(clean, p)
+        got = {r.user_id: (r.n_tokens, list(r.sequence)) for r in padded.collect()}
+        assert got == {1: (7, [1, 3, 3, 1, 2]), 2: (1, [0, 0, 0, 0, 1])}
+
+
 def test_batch_model_scorer_runs_in_batches(spark):
     import numpy as np
     calls = []
