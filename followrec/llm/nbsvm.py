@@ -81,6 +81,33 @@ def indicators(texts: Texts, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return key >> bits, key & ((1 << bits) - 1)
 
 
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Staged (doc_id, text, label) of the labelled rows that may be learnt from.
+
+    Labels grow with the documents, so they are never broadcast: both sides are
+    sorted by id at every size, and only learnable documents are shuffled.
+    """
+    labels = (labels.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
+              .select("doc_id", F.col("label").cast("int")))
+    return stage(docs.select("doc_id", "text").join(labels.hint("merge"), "doc_id"), "labelled")
+
+
+def _first_by_hash(train: DataFrame, label: int, n: int) -> list:
+    """The n rows of a label that come first by hash of id and text.
+
+    They are chosen by hashes and row positions of the staged table, so that no
+    task sends texts to the driver that are not chosen.
+    """
+    place = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")]
+    hashes = [F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t")]
+    rows = train.where(F.col("label") == label)
+    keys = ["h", "t", "file", "row"]
+    first = rows.select(*hashes, *place).orderBy(*keys).limit(n)
+    got = (rows.select("label", F.coalesce("text", F.lit("")).alias("text"), *place)
+           .join(F.broadcast(first), ["file", "row"]).collect())  # n rows
+    return sorted(got, key=lambda r: [r[k] for k in keys])
+
+
 def _log_ratio(train: DataFrame, p: NbsvmParams) -> np.ndarray:
     """Class log-count ratio of every column, counted over all learnable rows."""
 
@@ -132,15 +159,9 @@ class NbsvmModel:
 
 def fit(docs: DataFrame, labels: DataFrame, p: NbsvmParams = NbsvmParams()) -> NbsvmModel:
     """Model of ``labels(doc_id, label)`` on ``docs(doc_id, text)``."""
-    labels = labels.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
-    train = stage(docs.select("doc_id", "text").join(
-        labels.select("doc_id", F.col("label").cast("int")), "doc_id"), "labelled")
+    train = labelled(docs, labels)
     ratio = _log_ratio(train, p)
-    both = []
-    for label in (0, 1):
-        both += (train.where(F.col("label") == label)
-                 .orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(p.sample)
-                 .select("label", F.coalesce("text", F.lit("")).alias("text")).collect())
+    both = _first_by_hash(train, 0, p.sample) + _first_by_hash(train, 1, p.sample)
     y = np.array([2 * r.label - 1 for r in both])
     if len(set(y.tolist())) < 2:
         share = (y > 0).mean() if len(y) else 0.5

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from followrec.llm.common import stage
 from followrec.llm.linear import dual_coordinate_descent, fit_scaling, probability
-from followrec.llm.nbsvm import held_out
+from followrec.llm.nbsvm import held_out, labelled
 from followrec.llm.textvec import LOWER, SPACE, RangeHash, Texts, Words, slices, words_of
 
 
@@ -263,9 +263,7 @@ def _fit_table(marks: np.ndarray, positive: list[bytes], negative: list[bytes],
 
 def fit(docs: DataFrame, labels: DataFrame, p: KernelParams = KernelParams()) -> ToxicModel:
     """Model of ``labels(doc_id, label)`` on ``docs(doc_id, text)``."""
-    labels = labels.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
-    train = stage(docs.select("doc_id", "text").join(
-        labels.select("doc_id", F.col("label").cast("int")), "doc_id"), "labelled")
+    train = labelled(docs, labels)
     total = {r.label: r["count"] for r in train.groupBy("label").count().collect()}
     share = min(max(total.get(1, 0) / max(sum(total.values()), 1), 1e-6), 1 - 1e-6)
     flat = ToxicModel(np.zeros(TABLE, np.float32), 0.0, float(np.log(share / (1 - share))), p)
