@@ -93,6 +93,6 @@ def small_or_salted_join(left: DataFrame, right: DataFrame, on, how: str, spread
     if _planner_broadcasts(right):
         return left.join(right, on, how)
     limit = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    if right.limit(limit + 1).count() <= limit:
+    if right.count() <= limit:  # counted map-side, one number a task
         return left.join(F.broadcast(right), on, how)
     return salted_join(left, right, on, how, spread_by, **salt)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from followrec.functions import parse_ts_text, text_to_w8
@@ -54,6 +54,17 @@ def require_not_null(df: DataFrame, cols, what: str) -> DataFrame:
     return df
 
 
+def number(col: str, what: str) -> Column:
+    """Number in a text column: blank and 'nan' are null, '1.0' is 1, and other
+    text that is no number fails the job."""
+    text = F.trim(col)
+    value = text.try_cast("double")
+    return (F.when(text.isNull() | (text == "") | F.isnan(value), F.lit(None).cast("double"))
+            .when(value.isNull(), F.raise_error(F.concat(F.lit(f"{what}: unreadable {col} "), text))
+                  .cast("double"))
+            .otherwise(value))
+
+
 def _csv(spark: SparkSession, path: str, schema, header: bool = False) -> DataFrame:
     return (spark.read.schema(schema)
             .option("header", header)
@@ -78,8 +89,9 @@ def read_engagement(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_user(spark: SparkSession, path: str) -> DataFrame:
-    """user.csv: position 0 user_id, position 11 suspended (0, 1 or empty)."""
-    df = _csv(spark, path, schemas.USER_CSV).select("user_id", "suspended")
+    """user.csv: position 0 user_id, position 11 suspended (0, 1 or empty; 1.0 is 1)."""
+    df = _csv(spark, path, schemas.USER_CSV).select(
+        "user_id", number("suspended", "user").cast("int").alias("suspended"))
     return require_not_null(df, ["user_id"], "user")
 
 
@@ -115,24 +127,30 @@ def read_closest_lists(spark: SparkSession, path: str) -> DataFrame:
 def parse_closest_lists(lists: DataFrame) -> DataFrame:
     """Wide lists to one row per (user, target) in list order.
 
-    Ids and weights are split on ',' and zipped, so the two lists can never
-    drift apart; the weight text is parsed back to its exact 8-decimal form.
+    Ids and weights are split on ',' and zipped; lists of unequal length, and
+    ids or weights that are no numbers, fail the job. The weight text is parsed
+    back to its exact 8-decimal form.
     Output: user_id, engaged_with_user_id, rank (1-based), w8.
     """
+    ids, weights = F.split("engaged_with_user_id", ","), F.split("weight", ",")
     zipped = F.arrays_zip(
-        F.split("engaged_with_user_id", ",").alias("id"),
-        F.transform(F.split("weight", ","), lambda w: text_to_w8(w)).alias("w8"),
-    )
-    return (lists.select("user_id", F.posexplode(zipped).alias("pos", "e"))
-            .select("user_id",
-                    F.trim(F.col("e.id")).cast("bigint").alias("engaged_with_user_id"),
-                    (F.col("pos") + 1).alias("rank"),
-                    F.col("e.w8").alias("w8")))
+        ids.alias("id"), F.transform(weights, lambda w: text_to_w8(w)).alias("w8"))
+    unequal = F.coalesce(F.size(ids), F.lit(-1)) != F.coalesce(F.size(weights), F.lit(-1))
+    pairs = F.when(unequal, F.raise_error(F.lit("closest lists: lists of unequal length"))
+                   ).otherwise(zipped)
+    return require_not_null(
+        lists.select("user_id", F.posexplode(pairs).alias("pos", "e"))
+        .select("user_id",
+                F.trim(F.col("e.id")).cast("bigint").alias("engaged_with_user_id"),
+                (F.col("pos") + 1).alias("rank"),
+                F.col("e.w8").alias("w8")),
+        ["engaged_with_user_id", "w8"], "closest lists")
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
     """score.csv (header): user_id, pred."""
-    df = _csv(spark, path, schemas.SCORE_CSV, header=True)
+    df = _csv(spark, path, schemas.SCORE_CSV, header=True).select(
+        "user_id", number("pred", "scores").alias("pred"))
     return require_not_null(df, ["user_id"], "scores")
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
-    DoubleType,
     IntegerType,
     LongType,
     StringType,
@@ -34,7 +33,7 @@ USER_CSV_WIDTH = 12
 USER_CSV = StructType(
     [StructField("user_id", LongType())]
     + [StructField(f"_c{i}", StringType()) for i in range(1, USER_CSV_WIDTH - 1)]
-    + [StructField("suspended", IntegerType())]
+    + [StructField("suspended", StringType())]  # a number as text, parsed by the reader
 )
 
 # closest_connections.csv (wide, header): comma-joined ids and 8-decimal weights
@@ -54,7 +53,7 @@ CLOSEST_LONG_CSV = StructType([
 # score.csv (header)
 SCORE_CSV = StructType([
     StructField("user_id", LongType()),
-    StructField("pred", DoubleType()),
+    StructField("pred", StringType()),  # a number as text, parsed by the reader
 ])
 
 # messages, JSON lines

@@ -46,3 +46,33 @@ def test_cluster_conf_bounds():
     small = cluster_conf(10**9, 4, 2)
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert small["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_numbers_in_csv(spark, tmp_path):
+    p = tmp_path / "user.csv"
+    p.write_text("".join(f"{i},{',' * 9},{v}\n" for i, v in
+                         enumerate(["1", "1.0", "0", "", " 1 ", "nan"])))
+    got = {r.user_id: r.suspended for r in fd.read_user(spark, str(p)).collect()}
+    assert got == {0: 1, 1: 1, 2: 0, 3: None, 4: 1, 5: None}
+    p = tmp_path / "bad.csv"
+    p.write_text(f"7,{',' * 9},true\n")
+    with pytest.raises(Exception, match="unreadable suspended"):
+        fd.read_user(spark, str(p)).collect()
+    p = tmp_path / "score.csv"
+    p.write_text("user_id,pred\n1,0.5\n2,\n")
+    assert [tuple(r) for r in fd.read_scores(spark, str(p)).collect()] == [(1, 0.5), (2, None)]
+    p.write_text("user_id,pred\n1,abc\n")
+    with pytest.raises(Exception, match="unreadable pred"):
+        fd.read_scores(spark, str(p)).collect()
+
+
+def test_closest_lists_must_agree(spark):
+    ddl = "user_id long, engaged_with_user_id string, weight string"
+    good = spark.createDataFrame([(1, "2,3", "0.50000000,0.25000000"), (2, None, None)], ddl)
+    rows = fd.parse_closest_lists(good).collect()
+    assert [(r.engaged_with_user_id, r["rank"], r.w8) for r in rows] == [
+        (2, 1, 50_000_000), (3, 2, 25_000_000)]
+    for ids, weights in (("2,3,4", "0.5,0.25"), ("2", None)):
+        bad = spark.createDataFrame([(1, ids, weights)], ddl)
+        with pytest.raises(Exception, match="unequal length"):
+            fd.parse_closest_lists(bad).collect()
