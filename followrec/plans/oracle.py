@@ -339,6 +339,16 @@ QUALIFY ROW_NUMBER() OVER (PARTITION BY feed ORDER BY user_id, engaged_with_user
     q["encode_sequences"] = tm + (
         "SELECT user_id, week_idx, seq_pos, token_index, week_total FROM enc")
     q["pad_sequences"] = tm + "SELECT user_id, week_idx, n_tokens, sequence FROM padded"
+    model = tm + (
+        "SELECT user_id, week_idx, ROUND(1 / (1 + EXP(-s / 1000)), 9) AS probability, "
+        "CASE WHEN s >= 0 THEN 1 ELSE 0 END AS pred_class FROM ("
+        "SELECT user_id, week_idx, CAST(SUM(CASE WHEN i > 0 THEN (37 * i) % 201 - 100 ELSE 0 END) "
+        "AS DOUBLE) AS s FROM (SELECT user_id, week_idx, "
+        "CAST(UNNEST(string_split(sequence, ',')) AS BIGINT) AS i FROM padded) "
+        "GROUP BY user_id, week_idx)")
+    q["score_weeks_fixed_model"] = model
+    q["reputation_score_model"] = (
+        f"SELECT user_id, AVG(CAST(pred_class AS DOUBLE)) AS pred FROM ({model}) GROUP BY user_id")
 
     # publishing and checks
     q["upsert_closest"] = pub + (
