@@ -99,24 +99,57 @@ def subsequences(buf: np.ndarray, start: np.ndarray, end: np.ndarray,
             yield word, ends + (symbol[at + a] << 6), p.decay ** (b + 1)
 
 
-def explicit(words: list[bytes], p: KernelParams) -> np.ndarray:
-    """Kernel map of a few strings, one row of TABLE columns each."""
-    size = np.array([len(w) for w in words])
-    end = np.cumsum(size)
-    buf = np.frombuffer(b"".join(words), np.uint8)
-    out = np.zeros((len(words), TABLE), np.float32)
-    for word, column, weight in subsequences(buf, end - size, end, p):
-        np.add.at(out, (word, column), np.float32(weight))
-    norm = _norms(p, int(size.max(initial=0)))[size]
-    return out / np.where(norm > 0, norm, 1)[:, None]
+Row = tuple[np.ndarray, np.ndarray]  # table columns, ascending, and their values
+
+
+def sparse(words: list[bytes], p: KernelParams) -> list[Row]:
+    """Kernel map of a few strings, as the columns that are not zero."""
+    out: list[Row] = []
+    for lo in range(0, len(words), 128):
+        part = words[lo:lo + 128]
+        size = np.array([len(w) for w in part])
+        end = np.cumsum(size)
+        buf = np.frombuffer(b"".join(part), np.uint8)
+        keys, values = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for word, column, weight in subsequences(buf, end - size, end, p):
+            keys.append(word.astype(np.int64) * TABLE + column)
+            values.append(np.full(len(word), weight))
+        key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        value = np.bincount(inverse, np.concatenate(values), minlength=len(key))
+        norm = _norms(p, int(size.max(initial=0)))[size]
+        value = value / np.where(norm > 0, norm, 1)[key // TABLE]
+        first = np.searchsorted(key, np.arange(len(part) + 1) * TABLE)
+        out += [(key[i:j] % TABLE, value[i:j]) for i, j in zip(first[:-1], first[1:], strict=True)]
+    return out
+
 
+def _columns(rows: list[Row]) -> np.ndarray:
+    return np.unique(np.concatenate([np.zeros(0, np.int64), *(c for c, _ in rows)]))
 
-def kernel(words: list[bytes], rows: np.ndarray, p: KernelParams) -> np.ndarray:
-    """Kernel of strings with explicit rows, a bounded number of strings at a time."""
-    used = np.flatnonzero(rows.any(0))
-    part = np.ascontiguousarray(rows[:, used])
-    return np.concatenate([explicit(words[lo:lo + 128], p)[:, used] @ part.T
-                           for lo in range(0, len(words), 128)] or [np.zeros((0, len(rows)))])
+
+@dataclass
+class Landmarks:
+    """Kernel maps of the landmarks, over the columns that any of them has."""
+
+    columns: np.ndarray
+    rows: np.ndarray
+
+    @classmethod
+    def of(cls, words: list[bytes], p: KernelParams) -> Landmarks:
+        sparse_rows = sparse(words, p)
+        columns = _columns(sparse_rows)
+        rows = np.zeros((len(words), len(columns)), np.float32)
+        for i, (c, v) in enumerate(sparse_rows):
+            rows[i, np.searchsorted(columns, c)] = v
+        return cls(columns, rows)
+
+    def kernel(self, words: list[bytes], p: KernelParams) -> np.ndarray:
+        """Kernel of strings with every landmark."""
+        out = np.zeros((len(words), len(self.rows)))
+        for i, (c, v) in enumerate(sparse(words, p)):
+            shared = np.isin(c, self.columns, assume_unique=True)
+            out[i] = self.rows[:, np.searchsorted(self.columns, c[shared])] @ v[shared]
+        return out
 
 
 def score_strings(buf: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray,
@@ -236,29 +269,35 @@ class ToxicModel:
 
 
 def _diverse(words: list[bytes], n: int, p: KernelParams) -> list[bytes]:
-    rows = explicit(words, p)
+    rows = sparse(words, p)
+    columns = _columns(rows)
+    kept = np.zeros((n, len(columns)), np.float32)
     keep: list[int] = []
-    for i in range(len(words)):
-        if not keep or (rows[keep] @ rows[i]).max() < p.alike:
+    for i, (c, v) in enumerate(rows):
+        at = np.searchsorted(columns, c)
+        if not keep or (kept[:len(keep), at] @ v).max() < p.alike:
+            kept[len(keep), at] = v
             keep.append(i)
         if len(keep) == n:
             break
     return [words[i] for i in keep]
 
 
-def _fit_table(marks: np.ndarray, positive: list[bytes], negative: list[bytes],
+def _fit_table(marks: Landmarks, positive: list[bytes], negative: list[bytes],
                p: KernelParams) -> np.ndarray:
     """Subsequence weights of the hinge-loss model in Nystroem space."""
-    values, vectors = np.linalg.eigh((marks @ marks.T).astype(float))
+    values, vectors = np.linalg.eigh((marks.rows @ marks.rows.T).astype(float))
     root = vectors * np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0)
     root = root @ vectors.T
-    z = kernel(positive + negative, marks, p) @ root
+    z = marks.kernel(positive + negative, p) @ root
     z = np.concatenate([z, np.ones((len(z), 1))], 1)
     y = np.array([1] * len(positive) + [-1] * len(negative))
     at = np.arange(z.shape[1])
     cost = np.where(y > 0, p.cost * max(1.0, len(negative) / len(positive)), p.cost)
     w = dual_coordinate_descent([(at, row) for row in z], y, z.shape[1], cost, epochs=100)
-    return marks.T @ (root @ w[:-1])
+    table = np.zeros(TABLE)
+    table[marks.columns] = marks.rows.T @ (root @ w[:-1])
+    return table
 
 
 def fit(docs: DataFrame, labels: DataFrame, p: KernelParams = KernelParams()) -> ToxicModel:
@@ -308,8 +347,8 @@ def fit(docs: DataFrame, labels: DataFrame, p: KernelParams = KernelParams()) ->
               others.orderBy(F.desc("n0"), "word").limit(p.examples).collect()]
     mixed = [bytes(r.word) for r in
              others.orderBy(F.xxhash64("word"), "word").limit(p.examples).collect()]
-    marks = explicit(_diverse(positive, p.landmarks, p)
-                     + _diverse(common, p.landmarks, p), p)
+    marks = Landmarks.of(_diverse(positive, p.landmarks, p)
+                         + _diverse(common, p.landmarks, p), p)
     examples = positive + [x for k, w in enumerate(positive) for x in _inserted(w, k)]
     table = _fit_table(marks, examples, common + mixed, p)
 
