@@ -130,25 +130,20 @@ def references(docs: DataFrame, p: DivergenceParams) -> dict[str, dict]:
                 langs = rows.column(0).to_pylist()
                 hist = class_histogram(texts)
                 words, owner = word_hashes(texts)
-                out = ([], [], [], [])
                 for lang in {x for x, ok in zip(langs, good, strict=True) if ok and x is not None}:
                     mine = good & np.array([x == lang for x in langs])
-                    out[0].extend([lang] * (CLASSES + 1))
-                    out[1].extend(range(-1, CLASSES))
-                    out[2].extend([int(mine.sum()), *hist[mine].sum(0).tolist()])
-                    out[3].extend([0] * (CLASSES + 1))
                     pick = mine[owner]
-                    distinct = np.unique(np.stack([words[pick], owner[pick]]), axis=1)[0]
-                    seen, n_docs = np.unique(distinct, return_counts=True)
-                    all_, n_all = np.unique(words[pick], return_counts=True)
-                    out[0].extend([lang] * len(seen))
-                    out[1].extend(all_.tolist())
-                    out[2].extend(n_all.tolist())
-                    out[3].extend(n_docs.tolist())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()),
-                     pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64())],
-                    ["lang", "item", "n", "n_docs"])
+                    seen, which, n_all = np.unique(words[pick], return_inverse=True,
+                                                   return_counts=True)
+                    # each word and text once, then the texts of each word
+                    pairs = np.unique(which * len(texts) + owner[pick])
+                    n_docs = np.bincount(pairs // len(texts), minlength=len(seen))
+                    item = np.concatenate([np.arange(-1, CLASSES), seen])
+                    n = np.concatenate([[mine.sum()], hist[mine].sum(0), n_all])
+                    n_docs = np.concatenate([np.zeros(CLASSES + 1, np.int64), n_docs])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(pa.scalar(lang, pa.string()), len(item)), pa.array(item),
+                         pa.array(n), pa.array(n_docs)], ["lang", "item", "n", "n_docs"])
 
     got = stage(docs.select("lang", "text").mapInArrow(
         run, "lang string, item bigint, n bigint, n_docs bigint")
