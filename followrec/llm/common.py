@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -64,10 +64,10 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
                      .select("node", F.col("comp").alias("was"),
                              F.least("comp", "m").alias("comp")), f"{name}-step")
         jump = step.select(F.col("node").alias("via"), F.col("comp").alias("far"))
+        seen = Observation()  # counted while the labels are written
         labels = stage(step.join(jump, step.comp == jump.via, "left")
-                       .select("node", "was", F.least("comp", "far").alias("comp")),
-                       f"{name}-labels")
-        changed = labels.where("comp <> was").count()
-        labels = labels.select("node", "comp")
-        if not changed:
+                       .select("node", "was", F.least("comp", "far").alias("comp"))
+                       .observe(seen, F.count_if(F.col("comp") != F.col("was")).alias("changed")),
+                       f"{name}-labels").select("node", "comp")
+        if not seen.get["changed"]:
             return labels

@@ -399,8 +399,8 @@ def _labelled(docs: DataFrame, p: SketchParams) -> DataFrame:
         F.col("lead").alias("a"), F.col("sig").alias("b"))
     first = components(links, "star-components")
     more = stage(residual_links(stars, exact, first, p), "residual")
-    comps = components(first.select(F.col("node").alias("a"), F.col("comp").alias("b"))
-                       .union(more).union(first.select(F.col("comp"), F.col("comp"))), "comps")
+    comps = first if more.isEmpty() else components(
+        first.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more), "comps")
     ids = (classes.select("sig", "least").join(comps, classes.sig == comps.node, "left")
            .withColumn("comp", F.coalesce("comp", "sig")))
     ids = stage(ids.select("comp", "sig", "least"), "labelled")
