@@ -24,8 +24,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that are boilerplate of their source."""
-    cleaned = sitelines.drop_site_lines(docs, F.col("source"))
+    """All documents, without the lines that are boilerplate of their source.
+
+    Copies count once and a line must stand on three different documents, so that
+    copies reach the next stage whole.
+    """
+    cleaned = sitelines.drop_site_lines(docs, F.col("source"),
+                                        p=sitelines.SiteParams(least=3, distinct=True))
     return (cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
             .select(docs.columns))
 

@@ -7,6 +7,12 @@ with fewer than ``min_pages`` pages keep all lines, since a ratio of a few pages
 says nothing. Rows with a null host are one host; a null text has no lines and
 stays null.
 
+With ``distinct`` the copies of a page (equal whole texts) of one host count as
+one page, in the line's count and in the host's: copies are no evidence of
+boilerplate, and a group of them would else lose its lines in every copy, the one
+to be kept included. ``least`` is the number of pages that a line must stand on
+whatever the ratio says.
+
 Counting is map-side aggregated, so neither a large host nor a common line is
 ever gathered. The lines dropped for one host number at most the distinct lines
 of its average page divided by ``max_ratio``, which bounds the array that the
@@ -27,6 +33,8 @@ from followrec.llm.common import stage
 class SiteParams:
     max_ratio: float = 0.1
     min_pages: int = 10
+    least: int = 1  # pages with the line
+    distinct: bool = False  # copies of a page count once
 
 
 def host_of(url: Column) -> Column:
@@ -49,12 +57,16 @@ def _key(line: Column) -> Column:
 
 def boilerplate(pages: DataFrame, p: SiteParams = SiteParams()) -> DataFrame:
     """(host, drop) per host with boilerplate lines in ``pages(host, text)``."""
-    total = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    # null texts are one page too
+    page = F.coalesce(F.unhex(F.md5("text")), F.lit(b"")) if p.distinct else F.lit(1)
+    count = (F.count_distinct if p.distinct else F.count)(F.col("page"))
+    pages = pages.withColumn("page", page)
+    total = pages.groupBy("host").agg(count.alias("pages"))
     keys = F.array_distinct(F.transform(F.split("text", "\n"), _key))
-    seen = (pages.select("host", F.explode(keys).alias("key")).where("key is not null")
-            .groupBy("host", "key").agg(F.count(F.lit(1)).alias("n"))
+    seen = (pages.select("host", "page", F.explode(keys).alias("key")).where("key is not null")
+            .groupBy("host", "key").agg(count.alias("n"))
             .withColumnRenamed("host", "h"))
-    common = (seen.where(F.col("n") >= p.max_ratio * p.min_pages)
+    common = (seen.where((F.col("n") >= p.max_ratio * p.min_pages) & (F.col("n") >= p.least))
               .join(total, F.col("h").eqNullSafe(total.host))
               .where((F.col("pages") >= p.min_pages)
                      & (F.col("n") > p.max_ratio * F.col("pages"))))

@@ -13,6 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from followrec.llm import (decontaminate, divergence, mixing, nbsvm, secrets, setsketch, sitelines,
                            stringkernel, suffixgroups, wordpiece)
 from followrec.llm.common import components
@@ -257,6 +258,19 @@ def test_site_lines_by_host(spark):
     assert got[100].text == "menu\nx" and got[200].text is None and got[201].text == ""
 
 
+def test_copies_are_no_boilerplate(spark):
+    """The stage keeps the lines of copies whole, one group in a small and one in a large source."""
+    pages = [(i, f"own {i}\nmenu", "big") for i in range(40)] + [
+        (100 + i, "first of the copy\nsecond of the copy\nmenu", "big") for i in range(20)] + [
+        (200 + i, f"word {i}" if i > 1 else "a pair\nof copies", "small") for i in range(10)] + [
+        (300 + i, f"page {i // 2}" + "\nin two" * (i < 4), "two") for i in range(20)]
+    frame = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in pages],
+                                  "doc_id bigint, text string, lang string, source string, "
+                                  "n_chars bigint")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, frame, "").collect()}
+    assert got == {i: t.replace("\nmenu", "") for i, t, _ in pages}
+
+
 def test_mix_meets_targets(docs, rows):
     got = mixing.mix(docs).collect()
     total = sum(len(WORD.findall(r[1] or "")) for r in rows)
