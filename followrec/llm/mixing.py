@@ -77,7 +77,9 @@ def _reached(rows: DataFrame, part: str) -> DataFrame:
     return (rows.groupBy("source", part).agg(F.sum("size").alias("sum"),
                                              F.first("need").alias("need"))
             .withColumn("upto", F.sum("sum").over(run))
-            .where((F.col("upto") > F.col("need")) & (F.col("upto") - F.col("sum") < F.col("need")))
+            # a need at the end of a part is reached in it
+            .where((F.col("upto") >= F.col("need"))
+                   & (F.col("upto") - F.col("sum") < F.col("need")))
             .select(F.col("source").alias("s"), F.col(part).alias(f"cut_{part}"),
                     (F.col("need") - F.col("upto") + F.col("sum")).alias(f"need_{part}")))
 
@@ -100,7 +102,7 @@ def mix(docs: DataFrame) -> DataFrame:
             .select("doc_id", "source", "size", "key", "coarse", "fine"))
     rows = stage(rows, "sized")
     plan = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
-    epochs = F.floor(F.col("target") / F.col("source_size"))
+    epochs = F.floor(F.try_divide(F.col("target"), F.col("source_size").cast("double")))
     plan = stage(plan.withColumn("epochs", F.coalesce(epochs, F.lit(0)))
                  .withColumn("need", F.col("target") - F.col("epochs") * F.col("source_size"))
                  .withColumnRenamed("source", "s"), "targets")

@@ -9,7 +9,9 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -280,6 +282,38 @@ def test_mix_meets_targets(docs, rows):
     assert Counter(map(tuple, got)) == Counter(map(tuple, mixing.mix(docs).collect()))
 
 
+@pytest.mark.parametrize("per_source", [8, 3000])
+def test_mix_on_boundaries_equals_sql(spark, per_source):
+    """Equal sizes: every need is the running sum at the end of a part."""
+    rows = [(i, " ".join(["word"] * 10), "abc"[i % 3]) for i in range(3 * per_source)]
+    rows += [(-1, "", "d"), (-2, None, "d")]  # a source of size 0
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.mix(docs).collect()
+    con = duckdb.connect()
+    con.register("documents", pa.Table.from_pylist(
+        [dict(zip(("doc_id", "text", "source"), r, strict=True)) for r in rows]))
+    want = con.execute(mixing.ORACLE_SQL.replace("{docs}", "documents")).fetchall()
+    assert Counter(map(tuple, got)) == Counter(want)
+    taken = Counter()
+    for r in got:
+        taken[r.target] += r.taken
+    assert all(abs(target - n) <= 5 for target, n in taken.items())
+
+
+def test_mix_ties_equal_sql(spark):
+    """Repeated rows, null ids and unequal sizes."""
+    rng = random.Random(21)
+    rows = [(rng.choice([None, *range(40)]), " ".join(prose(rng, rng.choice([1, 4, 10, 10]))),
+             rng.choice(["a", "b", None])) for _ in range(300)]
+    rows += rows[:150]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    con = duckdb.connect()
+    con.register("documents", pa.Table.from_pylist(
+        [dict(zip(("doc_id", "text", "source"), r, strict=True)) for r in rows]))
+    want = con.execute(mixing.ORACLE_SQL.replace("{docs}", "documents")).fetchall()
+    assert Counter(map(tuple, mixing.mix(docs).collect())) == Counter(want)
+
+
 def test_leaks_are_found_and_clean_documents_left(spark):
     rng = random.Random(4)
     items = [" ".join(prose(rng, n)) + ". " + " ".join(prose(rng, 8)) + "." for n in (12, 30, 70)]
