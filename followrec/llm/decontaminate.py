@@ -12,7 +12,12 @@
    which are taken in blocks of bounded size. Pairs above a cosine are candidates.
 4. Candidates are confirmed on the words: the longest common subsequence of the
    whole item with the region around the window, and of the item's answer (its
-   last sentence) with that region, so changed and inserted words are tolerated.
+   last sentence, five words at least) with that region, so changed and inserted
+   words are tolerated. A (nearly) verbatim copy needs no answer: the answer tells
+   a paraphrase of the item from a text on the same matter.
+
+Words are compared in ASCII lower case without ASCII marks at their ends, so marks
+glued to a word do not hide it; a word of marks only is left as it is.
 
 Items shorter than ``window`` words are searched with windows of 16 or 8 words;
 items of fewer than ``least`` words are too short to be evidence and match nothing.
@@ -22,6 +27,7 @@ Null and empty texts match nothing. Rows with equal id and text give one row.
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,16 +50,33 @@ class LeakParams:
     min_common: float = 0.4  # share of a window's words that are in the item
     min_lcs: float = 0.6  # share of the item's words
     min_answer: float = 0.5  # share of the answer's words
+    verbatim: float = 0.9  # share of the item's words from which the answer is not asked for
     least: int = 5
     items: int = 1000  # benchmark items searched at a time
 
 
+#: ASCII marks, which are stripped from the ends of words.
+_MARK = np.zeros(256, bool)
+_MARK[[ord(c) for c in string.punctuation]] = True
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _bare(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges of words without marks at their ends; a word of marks only stays whole."""
+    inner = np.flatnonzero(~_MARK[buf])
+    lo, hi = np.searchsorted(inner, start), np.searchsorted(inner, end)
+    some = hi > lo
+    start, end = start.copy(), end.copy()
+    start[some], end[some] = inner[lo[some]], inner[hi[some] - 1] + 1
+    return start, end
+
+
 def word_ids(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """32-bit hashes of the words (ASCII lower case) and the first word of each text."""
+    """32-bit hashes of the words (lower case, no marks) and the first word of each text."""
     low = Texts(LOWER[texts.buf], texts.offs)
     words = words_of(low)
-    return (RangeHash(low.buf)(words.start, words.end) >> np.uint64(32)).astype(np.uint32), \
-        words.first
+    start, end = _bare(low.buf, words.start, words.end)
+    return (RangeHash(low.buf)(start, end) >> np.uint64(32)).astype(np.uint32), words.first
 
 
 def _encode(text: str) -> np.ndarray:
@@ -178,9 +201,10 @@ class Queries:
 
 
 def answer_of(text: str) -> str:
-    """The last sentence of an item; its last five words if it has one sentence."""
+    """The last sentence of an item; its last five words if that is shorter or the whole item."""
     parts = [s for s in re.split(r"(?<=[.?!])\s+", text.strip()) if s]
-    return parts[-1] if len(parts) > 1 else " ".join(text.split()[-5:])
+    n = len(_WORD.findall(parts[-1])) if len(parts) > 1 else 0
+    return " ".join(_WORD.findall(text)[-max(n, 5):])
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -272,7 +296,7 @@ def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
             if share < p.min_lcs:
                 continue
             answer = lcs(q.answers[k], region) / max(len(q.answers[k]), 1)
-            if answer >= p.min_answer:
+            if share >= p.verbatim or answer >= p.min_answer:
                 found = (share, float(close[i]), answer, first)
                 best[row, k] = max(best.get((row, k), (0.0,)), found)
     for (row, k), (share, close_, answer, first) in best.items():

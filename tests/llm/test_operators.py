@@ -332,6 +332,25 @@ def test_leaks_are_found_and_clean_documents_left(spark):
     assert left.count() == len(texts) - 6
 
 
+def test_verbatim_leaks_need_no_answer(spark):
+    """Glued marks, a missing last word and a changed one, items with an answer of one word."""
+    rng = random.Random(14)
+    items = [" ".join(prose(rng, n)) + ". " + word for n, word in ((20, "Er."), (40, "Thon."))]
+    texts = [" ".join(prose(rng, 200)) for _ in range(12)]
+    for k, item in enumerate(items):
+        head = item.rsplit(" ", 1)[0]
+        marked = " ".join(w + "%%%" for w in item.split())
+        for i, leak in enumerate((item + "%%%", head, head + " Else.", marked)):
+            at = 4 * k + i
+            texts[at] = f"{texts[at]} {leak} {texts[at]}"
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame, bench).collect()}
+    assert got == {(i, i // 4) for i in range(8)}
+    assert decontaminate.answer_of("Some words of one. Er.") == "Some words of one. Er."
+    assert decontaminate.answer_of("A b. C d e f g h.") == "C d e f g h."
+
+
 def test_empty_tables(spark, empty):
     labels = spark.createDataFrame([], "doc_id bigint, label int")
     bench = spark.createDataFrame([], "item_id bigint, text string")
