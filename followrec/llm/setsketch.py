@@ -270,7 +270,9 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame,
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     full = (rows.join(reps, rows.doc_id.eqNullSafe(reps.doc_id)
                       & (rows.text_key == reps.text_key))
-            .select("sig", "text").mapInArrow(run, "sig binary, items array<bigint>"))
+            # a representative row may be repeated
+            .select("sig", "text").dropDuplicates(["sig"])
+            .mapInArrow(run, "sig binary, items array<bigint>"))
     full = stage(full, "sets")
     lead = full.select(F.col("sig").alias("lead"), F.col("items").alias("lead_items"))
     return (pairs.join(full, "sig").join(lead, "lead")
@@ -374,15 +376,28 @@ def residual_links(stars: DataFrame, exact: DataFrame, comps: DataFrame,
 
 def near_duplicates(docs: DataFrame, p: SketchParams = SketchParams()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs(doc_id, text)``."""
-    return _labelled(docs, p).drop("text_key")
+    return _labelled(docs, p).drop("text_key", "comp")
 
 
 def without_near_duplicates(docs: DataFrame, p: SketchParams = SketchParams()) -> DataFrame:
-    """Rows of ``docs`` that are kept; rows with equal id and text stay together."""
-    kept = stage(_labelled(docs, p).where("kept").select(F.col("doc_id").alias("d"), "text_key")
-                 .distinct(), "kept")
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.d)
-                     & (F.xxhash64(docs.text) == kept.text_key), "left_semi")
+    """One row of ``docs`` of each component, and every row with an empty set.
+
+    Of several rows with the component's least id (or without any id) one text is
+    taken, and of rows with equal id and text any one.
+    """
+    kept = (_labelled(docs, p).where("kept")
+            .groupBy(F.col("doc_id").alias("d"), "text_key", "comp")
+            .agg((F.count(F.lit(1)) > 1).alias("many")))
+    kept = stage(kept, "kept-keys")
+    key = F.struct("d", "text_key", "many")
+    one = (kept.where("comp is not null").groupBy("comp")
+           .agg(F.min_by(key, "text_key").alias("k")).select("k.*"))
+    alone = kept.where("comp is null").select("d", "text_key", F.lit(False).alias("many"))
+    kept = stage(one.unionByName(alone), "kept")
+    found = docs.join(kept, docs.doc_id.eqNullSafe(kept.d)
+                      & (F.xxhash64(docs.text) == kept.text_key))
+    several = found.where("many").dropDuplicates(["d", "text_key"])
+    return found.where("not many").select(docs.columns).unionByName(several.select(docs.columns))
 
 
 def _labelled(docs: DataFrame, p: SketchParams) -> DataFrame:
@@ -405,9 +420,9 @@ def _labelled(docs: DataFrame, p: SketchParams) -> DataFrame:
            .withColumn("comp", F.coalesce("comp", "sig")))
     ids = stage(ids.select("comp", "sig", "least"), "labelled")
     least = stage(ids.groupBy("comp").agg(F.min("least").alias("component_id")), "least")
-    ids = stage(ids.join(least, "comp").select("sig", "component_id"), "ids")
+    ids = stage(ids.join(least, "comp").select("sig", "comp", "component_id"), "ids")
     return (sk.select("doc_id", "text_key", "n_shingles", "sig").join(ids, "sig", "left")
-            .select("doc_id", "text_key", "n_shingles",
+            .select("doc_id", "text_key", "n_shingles", "comp",
                     F.when(F.col("sig").isNull(), F.col("doc_id"))
                     .otherwise(F.col("component_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"),

@@ -99,6 +99,33 @@ def test_near_duplicates_equal_brute_force(docs, rows):
     assert got == want
 
 
+def test_one_row_of_each_group_is_kept(spark):
+    """Repeated rows, groups without ids, one id with two texts; empty sets stay alone."""
+    rng = random.Random(31)
+    base = [prose(rng, 120) for _ in range(4)]
+    texts = [" ".join(b) for b in base]
+    near = [" ".join([*b[:60], "changed", *b[61:]]) for b in base]
+    rows = [(1, texts[0])] * 3 + [(2, near[0])] * 2 + [(None, texts[1])] * 3 + [
+        (None, near[1])] * 2 + [(5, texts[2]), (5, near[2]), (6, texts[3]), (None, texts[3])]
+    rows += [(7, ""), (7, ""), (None, None), (None, None)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows],
+                                 "doc_id bigint, text string, source string")
+    got = setsketch.without_near_duplicates(docs).collect()
+    group = {t: k for k in range(4) for t in (texts[k], near[k])}
+    assert Counter(group.get(r.text, r.text) for r in got) == {
+        0: 1, 1: 1, 2: 1, 3: 1, "": 2, None: 2}
+    assert {r.doc_id for r in got if r.text} == {1, None, 5, 6}
+
+    p = setsketch.SketchParams()
+    classes = setsketch.sketches(docs, p).where("sig is not null").groupBy("sig").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("rep"))
+    sig = {r.rep.text_key: r.sig for r in classes.collect()}
+    key = {r.text: r.k for r in docs.select("text", F.xxhash64("text").alias("k")).collect()}
+    pair = spark.createDataFrame([(sig[key[texts[0]]], sig[key[near[0]]])],
+                                 "lead binary, sig binary")
+    assert setsketch.confirmed(docs, classes, pair, p).count() == 1
+
+
 def test_sketches_merge_and_estimate():
     p = setsketch.SketchParams()
     rng = np.random.default_rng(0)
