@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 
 from followrec.llm import decontaminate, mixing, nbsvm, sitelines
 from followrec.llm.common import stage, table
-from followrec.llm.setsketch import without_near_duplicates
+from followrec.llm.setsketch import SketchParams, without_near_duplicates
+
+#: 35 bands miss a pair of similarity 0.8 with probability (1 - 0.8**5)**35, about one in
+#: a million; the estimates that rule pairs out keep five deviations below 0.8.
+NEAR = SketchParams(percent=80, bands=35, near=0.1, maybe=0.62)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +40,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return without_near_duplicates(docs)
+    """One document of each group of near-duplicates, of a similarity of 0.8 or more."""
+    return without_near_duplicates(docs, NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

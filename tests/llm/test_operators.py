@@ -126,6 +126,18 @@ def test_one_row_of_each_group_is_kept(spark):
     assert setsketch.confirmed(docs, classes, pair, p).count() == 1
 
 
+def test_stage_links_from_four_fifths_on(spark):
+    words = prose(random.Random(8), 120)
+    near, far = list(words), list(words)
+    for k in (30, 80):  # 106 of 126 shingles
+        near[k] = "changed"
+    for k in (10, 40, 70, 100):  # 96 of 136
+        far[k] = "other"
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate((words, near, far))],
+                                 "doc_id bigint, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == {0, 2}
+
+
 def test_sketches_merge_and_estimate():
     p = setsketch.SketchParams()
     rng = np.random.default_rng(0)
