@@ -71,3 +71,22 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
                        f"{name}-labels").select("node", "comp")
         if not seen.get["changed"]:
             return labels
+
+
+#: A key that holds more than this share of all rows is joined by a broadcast of its group.
+HOT_SHARE = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
+                total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``groups``, which has one row per key and its ``size``.
+
+    A key with more than a thousandth of all ``total`` rows would make one long task of a
+    shuffle join. There are fewer than 1,000 such keys, so their groups are broadcast;
+    the rest meet by sorting. Keys are not null.
+    """
+    hot = groups.where(F.col(size) * HOT_SHARE > F.lit(total))
+    cold = groups.where(F.col(size) * HOT_SHARE <= F.lit(total))
+    spread = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti")
+    return (rows.join(F.broadcast(hot), keys)
+            .unionByName(spread.join(cold.hint("merge"), keys)))

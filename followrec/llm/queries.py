@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from followrec.llm import decontaminate, mixing, nbsvm, sitelines, stringkernel, suffixgroups
+from followrec.llm import (collocations, decontaminate, digestindex, mixing, nbsvm, sitelines,
+                           stringkernel, suffixgroups, turnrepair)
 from followrec.llm.common import table
 from followrec.llm.divergence import quality_rules
 from followrec.llm.secrets import scan_secrets
@@ -70,12 +71,28 @@ def op10_longest_match(spark: SparkSession, sf_dir: str,
     return count_tokens(table(spark, sf_dir, "documents"), read_vocabulary(vocabulary))
 
 
+def op11_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digestindex.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_interval_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations repaired after the contract's damage."""
+    return turnrepair.repair(turnrepair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_latent_leaks, op2_divergence, op3_confirmed_secrets, op4_suffix_groups, op5_nbsvm,
-    op6_site_lines, op7_string_kernel, op8_mixing, op9_setsketch, op10_longest_match)}
+    op6_site_lines, op7_string_kernel, op8_mixing, op9_setsketch, op10_longest_match,
+    op11_digest_index, op12_collocations, op13_interval_repair)}
 
 #: DuckDB SQL over the same tables, where SQL can express the operator.
 ORACLE: dict[str, str] = {
     "op8_mixing": mixing.ORACLE_SQL.replace("{docs}", "documents"),
     "op6_site_lines": sitelines.ORACLE_SQL,
+    "op11_digest_index": digestindex.ORACLE_SQL,
+    "op12_collocations": collocations.ORACLE_SQL,
 }
