@@ -26,7 +26,7 @@ large languages are broadcast (fewer than 1,000).
 
 Defined results: null texts are empty, a null language is ``und``; repeated rows count each
 time; ties go by a, then by the phrase's bytes; empty tables give no rows; other columns are
-ignored. Texts are read whole, in slices of about 4 MB or one longer text.
+ignored. Texts are read whole, in slices of about 1.5 MB or one longer text.
 """
 
 from __future__ import annotations
@@ -118,7 +118,7 @@ class Slice:
 
 
 COUNTS = "lang string, phrase string, size int, a bigint"
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_500_000
 
 
 def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
