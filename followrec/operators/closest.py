@@ -138,8 +138,12 @@ def closest_connections(feeds: Feeds, params: Params) -> DataFrame:
     the anti join shuffles the pair table instead of every engagement.
     """
     eng = union_engagements(feeds, params)
-    pairs = pair_sums(weighted_engagements(eng, params))
+    return ranked_pairs(pair_sums(weighted_engagements(eng, params)), feeds.user, params)
+
+
+def ranked_pairs(pairs: DataFrame, user: DataFrame, params: Params) -> DataFrame:
+    """Top pairs per user, without suspended targets, with their 8-decimal weight."""
     # w8 is derived after the window, so every consumer of this plan (both
     # sides of the self join) has the same plan below the window's exchange
     # and Spark computes that shuffle once.
-    return with_w8(top_closest(drop_suspended_targets(pairs, feeds.user), params), params)
+    return with_w8(top_closest(drop_suspended_targets(pairs, user), params), params)

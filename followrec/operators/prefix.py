@@ -1,111 +1,51 @@
 """Running sums inside ordered groups that stay balanced when a group is huge.
 
 A window `sum(...) over (partition by g order by o)` runs each group in one
-task. Here rows are range-partitioned by (g, o) instead, so a hot group is
-cut into contiguous slices spread over many tasks:
-
-1. each task sums its slice in order (one pass over Arrow batches),
-2. the per-slice totals (one row per partition) give each slice's offset,
-3. slice offset + local sum = running sum over the global (g, o) order,
-4. minus the group's first value = running sum inside the group; group
-   starts and totals come from a per-(slice, group) table, so no step is
-   keyed by a hot group alone.
-
-The split costs a sampling pass and a Python pass, so it is only taken when
-the largest group, measured by one aggregate, exceeds a bound; bounded
-groups use the plain window.
+task. Here rows are range-partitioned by (g, o), so that a hot group is cut
+into contiguous slices spread over many tasks, and written with the number of
+their slice. A window inside (slice, g) gives the local sums, one row per
+(slice, g) gives each slice's offset, and the join of the two is keyed by
+(slice, g): no step is keyed by a hot group alone. All steps are built-in
+expressions, the same at every size, and no size is looked at beforehand.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from followrec.session import scratch_path
 
 
-# Groups up to this many rows are summed by a plain window (one task per
-# group is fine when the group is bounded); a larger one is split.
-MAX_GROUP_ROWS = 1_000_000
-
-
-def largest_group(df: DataFrame, group_cols) -> int:
-    """Row count of the largest group (one scalar to the driver)."""
-    r = df.groupBy(*group_cols).count().agg(F.max("count")).first()
-    return int(r[0] or 0)
-
-
 def grouped_exclusive_sum(df: DataFrame, group_cols, order_cols, value_col: str,
                           out_col: str, total_col: str, num_partitions: int | None = None,
-                          stage_path: str | None = None,
-                          max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                          stage_path: str | None = None) -> DataFrame:
     """Adds `out_col` = sum of `value_col` over earlier rows of the same group
     (in `order_cols` order, which must make rows unique) and `total_col` = the
     group's total. `value_col` must be a non-negative integer.
 
-    The largest group is measured first; when it has at most `max_group_rows`
-    rows a window does the work, otherwise the rows are range-partitioned
-    (`max_group_rows=None` always splits). The per-row local sums are then
-    written once (at `stage_path`, or in the shared scratch folder), so that
-    all consumers read the same slices.
+    The sliced rows are written once (at `stage_path`, or in the shared
+    scratch folder): all steps then see the same slices.
     """
-    if max_group_rows is not None and largest_group(df, group_cols) <= max_group_rows:
-        return window_exclusive_sum(df, group_cols, order_cols, value_col, out_col, total_col)
-    return split_exclusive_sum(df, group_cols, order_cols, value_col, out_col, total_col,
-                               num_partitions, stage_path)
-
-
-def window_exclusive_sum(df: DataFrame, group_cols, order_cols, value_col: str,
-                         out_col: str, total_col: str) -> DataFrame:
-    before = (Window.partitionBy(*group_cols).orderBy(*order_cols)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    return (df.withColumn(out_col, F.coalesce(F.sum(value_col).over(before), F.lit(0))
-                          .cast("long"))
-            .withColumn(total_col, F.sum(value_col).over(Window.partitionBy(*group_cols))
-                        .cast("long")))
-
-
-def split_exclusive_sum(df: DataFrame, group_cols, order_cols, value_col: str,
-                        out_col: str, total_col: str, num_partitions: int | None = None,
-                        stage_path: str | None = None) -> DataFrame:
     spark = df.sparkSession
-    keys = list(group_cols) + list(order_cols)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_slice", F.spark_partition_id()))
-    schema = StructType(ranged.schema.fields + [StructField("_local", LongType())])
-
-    def local_sums(batches):
-        import numpy as np
-        acc = 0
-        for pdf in batches:
-            v = pdf[value_col].to_numpy(dtype=np.int64)
-            c = np.cumsum(v)
-            pdf["_local"] = c - v + acc
-            acc += int(c[-1]) if len(c) else 0
-            yield pdf
-
-    local = ranged.mapInPandas(local_sums, schema)
-    stage_path = stage_path or scratch_path(spark, "local-sums")
-    local.write.mode("overwrite").parquet(stage_path)
-    local = spark.read.parquet(stage_path)
-    # one row per slice: bounded by the partition count, safe to broadcast
-    totals = local.groupBy("_slice").agg(F.sum(value_col).alias("_t"))
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_slice", F.coalesce(F.sum("_t").over(before), F.lit(0))
-                            .cast("long").alias("_off"))
-    placed = (local.join(F.broadcast(offsets), "_slice")
-              .withColumn("_global", F.col("_local") + F.col("_off")))
-    # Group starts and totals, keyed by (slice, group): a hot group has one
-    # row per slice it spans here, and the join back never meets a key
-    # larger than one slice.
-    per_slice = placed.groupBy("_slice", *group_cols).agg(
-        F.min("_global").alias("_smin"), F.sum(value_col).alias("_ssum"))
-    g = Window.partitionBy(*group_cols)
-    starts = per_slice.select("_slice", *group_cols,
-                              F.min("_smin").over(g).alias("_start"),
-                              F.sum("_ssum").over(g).cast("long").alias(total_col))
-    return (placed.join(starts, ["_slice", *group_cols])
-            .withColumn(out_col, (F.col("_global") - F.col("_start")).cast("long"))
-            .drop("_slice", "_local", "_off", "_global", "_start"))
+    path = stage_path or scratch_path(spark, "slices")
+    (df.repartitionByRange(n, *group_cols, *order_cols)
+     .withColumn("_slice", F.spark_partition_id()).write.mode("overwrite").parquet(path))
+    sliced = spark.read.parquet(path)
+    key = ["_slice", *group_cols]
+    earlier = Window.unboundedPreceding, -1
+    local = sliced.withColumn("_local", F.sum(value_col).over(
+        Window.partitionBy(*key).orderBy(*order_cols).rowsBetween(*earlier)))
+    # one row per slice and group: as many rows as slices for a hot group
+    sums = sliced.groupBy(*key).agg(F.sum(value_col).alias("_sum"))
+    offsets = sums.select(
+        *key,
+        F.sum("_sum").over(Window.partitionBy(*group_cols).orderBy("_slice")
+                           .rowsBetween(*earlier)).alias("_offset"),
+        F.sum("_sum").over(Window.partitionBy(*group_cols)).cast("long").alias(total_col))
+    zero = F.lit(0)
+    return (local.join(offsets, key)
+            .withColumn(out_col, (F.coalesce("_local", zero) + F.coalesce("_offset", zero))
+                        .cast("long"))
+            .drop("_slice", "_local", "_offset"))

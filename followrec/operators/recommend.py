@@ -1,16 +1,23 @@
 """Step 3: friends-of-friends recommendations and the reasons behind them.
 
 Plan shape: closest (top-k per user, so at most k*k paths per user) joined to
-itself on the intermediary (sort-merge; a popular intermediary is salted
-over many tasks, see operators.skew) ->
-self filter -> one aggregate per (user, candidate) that carries the sum and
-the bounded (<= k) reason list -> anti join on follows (co-partitioned on
-(user, candidate), so only the follows move) -> per-user top-n window ->
-left-semi join on high scores.
+itself on the intermediary (a popular intermediary is salted over many tasks,
+see operators.skew) -> self filter -> one aggregate per (user, candidate) that
+carries sums only -> anti join on follows (co-partitioned on (user, candidate),
+so only the follows move) -> per-user top-n window -> left-semi join on high
+scores.
+
+Reasons are materialised late: candidates are ranked on sums alone, then the
+at most n_rec winners of a user go back to the user's paths. The list of a
+user's winners (bounded) meets the user's first hops (at most k), and the
+second hop keeps only what leads to a winner, so neither the follow anti join
+nor the ranking ever carries a reason list.
 
 Excluding followed users after the aggregate instead of before it gives the
 same rows (both are per-(user, candidate) predicates) and moves the anti join
-onto the much smaller pair table.
+onto the much smaller pair table. Where (user, candidate) pairs are not
+partitioned that way, `exclude_followed_split` shuffles only those that a
+bitmap of the follows cannot rule out.
 """
 
 from __future__ import annotations
@@ -20,8 +27,10 @@ from pyspark.sql import functions as F
 
 from followrec.functions import fixed8_text, weight_decimal
 from followrec.operators.closest import rank_window, suspended_users
-from followrec.operators.skew import HOT_ROWS, MAX_HOT_KEYS, SALT_BUCKETS, small_or_salted_join
+from followrec.operators.skew import HOT_ROWS, SALT_BUCKETS, salted_join
 from followrec.params import Params
+from followrec.session import scratch_path
+from followrec.sources.sinks import cut_lineage
 
 
 def active_sources(closest: DataFrame, user: DataFrame) -> DataFrame:
@@ -30,8 +39,18 @@ def active_sources(closest: DataFrame, user: DataFrame) -> DataFrame:
     return closest.join(s, closest["user_id"] == s["_suspended_id"], "left_anti")
 
 
+def _first_hops(active: DataFrame) -> DataFrame:
+    return active.select("user_id",
+                         F.col("engaged_with_user_id").alias("reason_id"),
+                         F.col("rank").alias("reason_rank"))
+
+
+def _second_hops(active: DataFrame) -> DataFrame:
+    return active.select(F.col("user_id").alias("reason_id"),
+                         F.col("engaged_with_user_id").alias("rec_id"), "w8")
+
+
 def second_degree_paths(active: DataFrame, hot_rows: int = HOT_ROWS,
-                        max_hot_keys: int = MAX_HOT_KEYS,
                         buckets: int = SALT_BUCKETS) -> DataFrame:
     """user -> reason -> rec paths.
 
@@ -42,17 +61,10 @@ def second_degree_paths(active: DataFrame, hot_rows: int = HOT_ROWS,
     Skew: the right side holds at most k rows per intermediary, the left side
     one row per user reaching it, so a popular intermediary is a hot key: its
     left rows are salted by user over `buckets` tasks and its at most k right
-    rows copied once per salt (operators.skew). A right side counted small
-    enough is broadcast instead (no key shuffle, so nothing can pile up).
+    rows copied once per salt (operators.skew).
     """
-    hop1 = active.select("user_id",
-                         F.col("engaged_with_user_id").alias("reason_id"),
-                         F.col("rank").alias("reason_rank"))
-    hop2 = active.select(F.col("user_id").alias("reason_id"),
-                         F.col("engaged_with_user_id").alias("rec_id"), "w8")
-    return small_or_salted_join(hop1, hop2, ["reason_id"], "inner", ["user_id"],
-                                min_rows=hot_rows, max_keys=max_hot_keys,
-                                buckets=buckets).select(
+    return salted_join(_first_hops(active), _second_hops(active), ["reason_id"], "inner",
+                       ["user_id"], min_rows=hot_rows, buckets=buckets).select(
         "user_id", "reason_id", "reason_rank", "rec_id", "w8")
 
 
@@ -72,8 +84,49 @@ def exclude_followed(df: DataFrame, follow: DataFrame) -> DataFrame:
                    "left_anti")
 
 
+# Size of the bitmap that rules out follows (1 MiB); results do not depend on it.
+FOLLOW_BITS = 1 << 23
+
+
+def maybe_followed(df: DataFrame, follow: DataFrame, bits: int = FOLLOW_BITS) -> DataFrame:
+    """Adds `maybe`: false when (user, rec) is surely no follow.
+
+    Each follow sets one of `bits` bits, by a hash of the pair. The bitmap is
+    built map-side by built-in aggregates, has bits / 32768 rows of 4 KiB
+    whatever the number of follows, and is broadcast.
+    """
+    def position(user, rec):
+        return F.pmod(F.xxhash64(user, rec), F.lit(bits)) + 1
+
+    at = position("user_id", "engaged_with_user_id")
+    bitmap = (follow.groupBy(F.bitmap_bucket_number(at).alias("_bucket"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("_bits")))
+    own = position("user_id", "rec_id")
+    bit = F.bitmap_bit_position(own)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.col("_byte"), F.lit(1))), 16, 10)
+    return (df.withColumns({"_bucket": F.bitmap_bucket_number(own), "_bit": bit,
+                            "_byte": (F.floor(bit / 8) + 1).cast("int")})
+            .join(F.broadcast(bitmap), "_bucket", "left")
+            .withColumn("maybe", F.coalesce(
+                F.getbit(byte.cast("int"), (F.col("_bit") % 8).cast("int")) == 1, F.lit(False)))
+            .drop("_bucket", "_bit", "_byte", "_bits"))
+
+
+def exclude_followed_split(df: DataFrame, follow: DataFrame,
+                           bits: int = FOLLOW_BITS) -> DataFrame:
+    """`exclude_followed` for rows that are not partitioned by (user, rec).
+
+    Rows that the bitmap rules out pass without a shuffle; only possible
+    follows (the real ones, and a false share of about follows / bits) meet
+    the follows in the anti join.
+    """
+    marked = maybe_followed(df, follow, bits)
+    sure = marked.filter(~F.col("maybe")).drop("maybe")
+    return sure.unionByName(exclude_followed(marked.filter("maybe").drop("maybe"), follow))
+
+
 def exclude_followed_self(df: DataFrame, follow: DataFrame) -> DataFrame:
-    return exclude_followed(exclude_self(df), follow)
+    return exclude_followed_split(exclude_self(df), follow)
 
 
 def second_degree_sums(paths: DataFrame) -> DataFrame:
@@ -118,32 +171,66 @@ def high_scores(scores: DataFrame, params: Params) -> DataFrame:
 
 def keep_high_scores(recs: DataFrame, scores: DataFrame, params: Params) -> DataFrame:
     """Candidates with a score strictly above min_score; no score, no rec.
-    (A candidate recommended to a large share of users is a hot key.)"""
+
+    A candidate recommended to a large share of users is a hot key. With
+    written scores both sides are plain shuffles, which AQE splits.
+    """
     h = high_scores(scores, params).select(F.col("user_id").alias("rec_id"))
-    return small_or_salted_join(recs, h, ["rec_id"], "left_semi", ["user_id"])
+    return recs.join(h, "rec_id", "left_semi").select(recs.columns)
+
+
+def winners_reasons(top: DataFrame, active: DataFrame, hot_rows: int = HOT_ROWS,
+                    buckets: int = SALT_BUCKETS) -> DataFrame:
+    """The paths behind ranked (user, rec) rows: late materialisation.
+
+    Output: user_id, rec_id, reason_id, reason_rank, w8. `top` holds at most
+    n_rec rows per user, gathered into one list per user; the paths are formed
+    again from the first hops of those users only and kept when they end in
+    the list, without a shuffle by (user, rec).
+    """
+    wanted = top.groupBy("user_id").agg(F.collect_list("rec_id").alias("recs"))
+    hop1 = _first_hops(active).join(wanted, "user_id")
+    paths = salted_join(hop1, _second_hops(active), ["reason_id"], "inner", ["user_id"],
+                        min_rows=hot_rows, buckets=buckets,
+                        counted=_first_hops(active))
+    return (paths.filter(F.array_contains("recs", F.col("rec_id")))
+            .select("user_id", "rec_id", "reason_id", "reason_rank", "w8"))
 
 
-def explode_reasons(top: DataFrame) -> DataFrame:
+def reason_rows(reasons: DataFrame) -> DataFrame:
     """One row per (user, rec, reason) with the reason's second-hop weight."""
-    return (top.select("user_id", "rec_id", F.inline("reasons"))
-            .select("user_id", "rec_id", "reason_id",
-                    weight_decimal("w8").alias("weight")))
+    return reasons.select("user_id", "rec_id", "reason_id", weight_decimal("w8").alias("weight"))
 
 
 def rec_rows(top: DataFrame) -> DataFrame:
     return top.select("user_id", "rec_id", "rank", weight_decimal("sum_w8").alias("weight"))
 
 
+def ranked_from_active(active: DataFrame, follow: DataFrame, params: Params) -> DataFrame:
+    """`ranked_candidates` from the closest connections of active users."""
+    paths = exclude_self(second_degree_paths(active))
+    return top_recommendations(exclude_followed(second_degree_sums(paths), follow), params)
+
+
 def ranked_candidates(closest: DataFrame, follow: DataFrame, user: DataFrame,
                       params: Params) -> DataFrame:
-    """Top n_rec candidates per user with their reason lists (no score filter)."""
-    paths = exclude_self(second_degree_paths(active_sources(closest, user)))
-    agg = exclude_followed(second_degree_agg(paths), follow)
-    return top_recommendations(agg, params)
+    """Top n_rec candidates per user with sum and number of reasons (no score filter)."""
+    return ranked_from_active(active_sources(closest, user), follow, params)
 
 
 def recommendations(closest: DataFrame, follow: DataFrame, user: DataFrame,
                     scores: DataFrame, params: Params):
-    """X3: (recommendations, reasons) after the score filter."""
-    top = keep_high_scores(ranked_candidates(closest, follow, user, params), scores, params)
-    return rec_rows(top), explode_reasons(top)
+    """X3: (recommendations, reasons) after the score filter.
+
+    Active connections, read by both hops, are written to the shared scratch folder.
+    """
+    spark = closest.sparkSession
+    active = cut_lineage(spark, active_sources(closest, user), scratch_path(spark, "active"))
+    top = final_candidates(active, follow, scores, params)
+    return rec_rows(top), reason_rows(winners_reasons(top, active))
+
+
+def final_candidates(active: DataFrame, follow: DataFrame, scores: DataFrame,
+                     params: Params) -> DataFrame:
+    """Ranked candidates that score high enough."""
+    return keep_high_scores(ranked_from_active(active, follow, params), scores, params)

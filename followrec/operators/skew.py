@@ -1,21 +1,21 @@
 """Joins whose left side may have hot keys.
 
-AQE splits a skewed sort-merge join only when both inputs are plain
-shuffles; when the other side is an aggregate or reuses a window's
-partitioning, a key holding a large share of the left rows would run in one
-task. Here the hot keys are found first (an exact count per key, partially
-aggregated), at most `max_keys` of them, the largest first: a table with a
-fixed bound, broadcast. A hot key's left rows get a salt from a hash of other
-left columns and its right rows (few per key: the right side must hold a
-bounded number of rows per key) are copied once per salt; other keys use
-salt 0. The join on (key, salt) then spreads a hot key over `buckets` tasks
-and equals the plain join for inner, left outer, left semi and left anti
-joins. The left input is read twice (count, join), the right input once.
-
-`small_or_salted_join` checks the right side's size first: a side that
-Spark's planner would broadcast anyway, or that a count shows to hold at
-most MAX_BROADCAST_ROWS rows, is broadcast (a broadcast join keeps the left
-side's own partitioning, so nothing piles up); only larger sides are salted.
+AQE splits a skewed sort-merge join by bytes, and only when both inputs are
+plain shuffles. A join that multiplies rows (the self join over popular
+intermediaries) needs more: here the hot keys are found inside the plan (an
+exact count per key, partially aggregated). A key is hot when it holds more
+than `min_rows` rows and more than one in `share` of all rows. By that share
+there are fewer than `share` hot keys, whatever the data, so their table has a
+proven bound and is broadcast, and no key is left out of it. A hot key's left
+rows get a salt from a hash of other left columns and its right rows (few per
+key: the right side must hold a bounded number of rows per key) are copied once
+per salt; other keys use salt 0. The join on (key, salt) then spreads a hot key
+over `buckets` tasks and equals the plain join for inner, left outer, left
+semi and left anti joins. Which keys are salted never changes the result, so
+the counts may come from any cheap table that holds the left side's keys.
+
+Building the join runs no job and looks at no size: a small right side is
+broadcast by Spark's planner or by AQE from its measured size.
 """
 
 from __future__ import annotations
@@ -23,33 +23,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot above this many left rows; at most MAX_HOT_KEYS are salted over
-# SALT_BUCKETS tasks (execution knobs only, results do not depend on them).
+# Execution knobs only: results do not depend on them.
 HOT_ROWS = 100_000
-MAX_HOT_KEYS = 10_000
+HOT_SHARE = 10_000
 SALT_BUCKETS = 64
 
 
 def hot_keys(df: DataFrame, keys, min_rows: int = HOT_ROWS,
-             max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """Keys with more than `min_rows` rows, at most `max_keys`, largest first."""
-    keys = list(keys)
-    return (df.groupBy(*keys).count().filter(F.col("count") > min_rows)
-            .orderBy(F.col("count").desc(), *[F.col(k).asc() for k in keys])
-            .limit(max_keys).select(*keys))
+             share: int = HOT_SHARE) -> DataFrame:
+    """Keys with more than `min_rows` rows and over a `share`-th of all rows."""
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return (df.groupBy(*keys).count()
+            .filter((F.col("count") > min_rows) & (F.col("count") * share > total))
+            .select(*keys))
 
 
 def salted_join(left: DataFrame, right: DataFrame, on, how: str, spread_by,
-                min_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS,
-                buckets: int = SALT_BUCKETS) -> DataFrame:
+                min_rows: int = HOT_ROWS, share: int = HOT_SHARE,
+                buckets: int = SALT_BUCKETS, counted: DataFrame | None = None) -> DataFrame:
     """`left.join(right, on, how)` with the left side's hot keys salted.
 
     `on` names key columns present in both; `spread_by` are left columns
     whose hash spreads a hot key's rows; `how` is one of inner, left,
-    left_semi, left_anti.
+    left_semi, left_anti. `counted` (default: `left`) is where keys are counted.
     """
     on = list(on)
-    hot = F.broadcast(hot_keys(left, on, min_rows, max_keys).withColumn("_hot", F.lit(True)))
+    hot = hot_keys(left if counted is None else counted, on, min_rows, share)
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(buckets))
     lhs = (left.join(hot, on, "left")
@@ -61,38 +61,3 @@ def salted_join(left: DataFrame, right: DataFrame, on, how: str, spread_by,
                .otherwise(F.array(F.lit(0)))))
            .drop("_hot"))
     return lhs.join(rhs, on + ["_salt"], how).drop("_salt")
-
-
-# A right side with at most this many rows (counted) is broadcast instead.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def _planner_broadcasts(df: DataFrame) -> bool:
-    """Spark's own check: the optimizer's size estimate of `df` is within
-    spark.sql.autoBroadcastJoinThreshold (what it applies to any join)."""
-    try:
-        qe = df._jdf.queryExecution()
-        size = int(str(qe.optimizedPlan().stats().sizeInBytes()))
-        limit = int(df.sparkSession._jsparkSession.sessionState().conf()
-                    .autoBroadcastJoinThreshold())
-    except Exception:  # no plan access (e.g. a remote session)
-        return False
-    return 0 <= size <= limit
-
-
-def small_or_salted_join(left: DataFrame, right: DataFrame, on, how: str, spread_by,
-                         max_rows: int | None = None, **salt) -> DataFrame:
-    """Join with a right side that a broadcast can serve, else salt.
-
-    A broadcast join keeps the left side's own partitioning, so a hot key
-    cannot pile up. The right side is broadcast when Spark's planner already
-    would (its estimate is within the broadcast threshold), or when a count
-    shows at most `max_rows` rows; beyond that, `salted_join`.
-    """
-    on = list(on)
-    if _planner_broadcasts(right):
-        return left.join(right, on, how)
-    limit = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    if right.count() <= limit:  # counted map-side, one number a task
-        return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how, spread_by, **salt)

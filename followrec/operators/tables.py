@@ -3,18 +3,21 @@
 An upsert is one full outer join of the current table with the new batch on
 the key: matched rows take the batch's values and the run time as
 updated_at but keep their created_at; new rows get the run time for both;
-rows only in the table are kept unchanged. Expiry then drops rows whose
-updated_at is more than `retention_days` before the run time.
+rows only in the table are kept unchanged. The published table is bucketed by
+the key, so only the batch is shuffled to meet it. Expiry then drops rows whose
+updated_at is more than `retention_days` before the run time; a table stored by
+day drops whole days without reading them and rewrites only the boundary day.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType
 
 from followrec.params import Params
-from followrec.sources.sinks import STAGING_SCHEMAS
+from followrec.session import scratch_path
+from followrec.sources.sinks import STAGING_SCHEMAS, cut_lineage, drop_partitions
 
 # Published tables: key columns and updatable value columns.
 TABLES = {
@@ -26,6 +29,12 @@ TABLES = {
 REC_TYPE = "user"
 
 
+def bucket_keys(name: str) -> list[str]:
+    """Key columns that a published table is bucketed by: those that vary. `type` is one
+    constant, which the optimizer takes out of the upsert's join keys."""
+    return [k for k in TABLES[name][0] if k != "type"]
+
+
 def ts_literal(dt) -> F.Column:
     return F.lit(dt.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
@@ -64,7 +73,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys, values, params: Params) ->
                       "created_at", "updated_at")
     b = batch.select(*keys, *[F.col(v).alias(f"_b_{v}") for v in values],
                      F.lit(True).alias("_in_batch"))
-    j = t.join(b, list(keys), "full_outer")
+    j = t.join(b.hint("merge"), list(keys), "full_outer")
     in_b = F.coalesce(F.col("_in_batch"), F.lit(False))
     cols = [F.col(k) for k in keys]
     cols += [F.when(in_b, F.col(f"_b_{v}")).otherwise(F.col(f"_t_{v}")).alias(v) for v in values]
@@ -79,6 +88,40 @@ def expire(table: DataFrame, params: Params) -> DataFrame:
     return table.filter(~F.coalesce(F.col("updated_at") < cutoff, F.lit(False)))
 
 
+# ---------------------------------------------------------------- tables stored by day
+def write_days(table: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Store a table by the day of updated_at: `day=yyyy-MM-dd`, null in a day of its own."""
+    (table.withColumn("day", F.to_date("updated_at")).write.mode(mode)
+     .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path))
+
+
+def read_days(spark, path: str, schema: StructType) -> DataFrame:
+    by_day = StructType(schema.fields + [StructField("day", DateType())])
+    return spark.read.schema(by_day).parquet(path).select(schema.fieldNames())
+
+
+def expire_days(spark, path: str, schema: StructType, params: Params) -> list:
+    """Delete rows with updated_at < cutoff from a table of `write_days`.
+
+    Days before the cutoff's day are dropped as folders, unread. The cutoff's
+    own day is rewritten by dynamic partition overwrite, and only when the
+    cutoff lies inside it. Files of later days are not touched. Returns the
+    dropped days.
+    """
+    cutoff = params.expiry_cutoff
+    dropped = drop_partitions(spark, path, "day", lambda d: d < f"{cutoff:%Y-%m-%d}")
+    if (cutoff.hour, cutoff.minute, cutoff.second) != (0, 0, 0):
+        by_day = StructType(schema.fields + [StructField("day", DateType())])
+        day = spark.read.schema(by_day).parquet(path).filter(F.col("day") == F.lit(cutoff.date()))
+        kept = cut_lineage(spark, day.filter(F.col("updated_at") >= ts_literal(cutoff)).drop("day"),
+                           scratch_path(spark, "boundary-day"))
+        if kept.isEmpty():
+            dropped += drop_partitions(spark, path, "day", lambda d: d == f"{cutoff:%Y-%m-%d}")
+        else:
+            write_days(kept, path, "overwrite")
+    return dropped
+
+
 def checked_batch(batch: DataFrame, keys, values, what: str) -> DataFrame:
     """The batch with a duplicate key failing the job, inside the plan.
 

@@ -35,9 +35,6 @@ class Params:
     seq_len: int = 1500
     # Published rows not refreshed within this many days are deleted.
     retention_days: int = 1
-    # A user-week's concatenated text is emitted in ordered parts of at most
-    # this many characters (plus one message); ordinary weeks are one part.
-    text_part_chars: int = 16 * 1024 * 1024
 
     @property
     def as_of_epoch(self) -> int:

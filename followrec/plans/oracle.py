@@ -290,6 +290,7 @@ QUALIFY ROW_NUMBER() OVER (PARTITION BY feed ORDER BY user_id, engaged_with_user
                 f"{dec_sql('w8')} AS weight FROM closest")
     q["closest_connections"] = cl + pub_cols
     q["closest_connections_20d"] = cl20 + pub_cols
+    q["closest_incremental"] = cl + pub_cols
 
     # step 3
     q["active_sources"] = full + "SELECT user_id, engaged_with_user_id, rank, w8 FROM active"
@@ -322,33 +323,58 @@ QUALIFY ROW_NUMBER() OVER (PARTITION BY feed ORDER BY user_id, engaged_with_user
     q["link_description"] = msgs + "SELECT user_id, msg_id, link_desc FROM msgb"
     q["clean_text"] = msgs + "SELECT msg_id, clean_body, clean_link_desc FROM msgc"
     q["weekly_text"] = msgs + (
-        "SELECT user_id, week_idx, part, COUNT(*) AS n_messages, "
+        "SELECT user_id, week_idx, COUNT(*) AS n_messages, "
         f"CAST(DATE '{p.anchor_date:%Y-%m-%d}' + (week_idx * {p.bin_days} + 1) AS DATE) AS week_start, "
         f"CAST(DATE '{p.anchor_date:%Y-%m-%d}' + (week_idx * {p.bin_days} + {p.bin_days}) AS DATE) "
         "AS week_end, "
         "string_agg(clean_body, ' ' ORDER BY created_date, msg_id) AS clean_body, "
         "string_agg(clean_link_desc, ' ' ORDER BY created_date, msg_id) AS clean_link_desc "
-        "FROM (SELECT *, CAST(COALESCE(SUM(length(clean_body) + length(clean_link_desc) + 2) "
-        "OVER (PARTITION BY user_id, week_idx ORDER BY created_date, msg_id "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
-        f"// {p.text_part_chars} AS INTEGER) AS part FROM msgc WHERE week_idx IS NOT NULL) "
-        "GROUP BY user_id, week_idx, part")
+        "FROM msgc WHERE week_idx IS NOT NULL GROUP BY user_id, week_idx")
     q["weekly_class"] = msgs + "SELECT user_id, week_idx, probability, pred_class FROM cls"
     q["reputation_score"] = msgs + "SELECT user_id, pred FROM score"
     q["token_vocabulary"] = tm + "SELECT token, n, token_index FROM vocab"
     q["encode_sequences"] = tm + (
         "SELECT user_id, week_idx, seq_pos, token_index, week_total FROM enc")
     q["pad_sequences"] = tm + "SELECT user_id, week_idx, n_tokens, sequence FROM padded"
-    model = tm + (
+    model_sql = (
         "SELECT user_id, week_idx, ROUND(1 / (1 + EXP(-s / 1000)), 9) AS probability, "
         "CASE WHEN s >= 0 THEN 1 ELSE 0 END AS pred_class FROM ("
         "SELECT user_id, week_idx, CAST(SUM(CASE WHEN i > 0 THEN (37 * i) % 201 - 100 ELSE 0 END) "
         "AS DOUBLE) AS s FROM (SELECT user_id, week_idx, "
         "CAST(UNNEST(string_split(sequence, ',')) AS BIGINT) AS i FROM padded) "
         "GROUP BY user_id, week_idx)")
-    q["score_weeks_fixed_model"] = model
-    q["reputation_score_model"] = (
-        f"SELECT user_id, AVG(CAST(pred_class AS DOUBLE)) AS pred FROM ({model}) GROUP BY user_id")
+    q["score_weeks_fixed_model"] = tm + model_sql
+    model_scores = (f"SELECT user_id, AVG(CAST(pred_class AS DOUBLE)) AS pred FROM ({model_sql}) "
+                    "GROUP BY user_id")
+    q["reputation_score_model"] = tm + model_scores
+
+    table_model = tm + f"""
+, words AS (SELECT user_id, week_idx, token_index AS i, COUNT(*) AS n FROM enc
+            WHERE seq_pos >= week_total - {p.seq_len} GROUP BY ALL),
+lab AS (SELECT user_id, week_idx, CASE WHEN label_share >= 0.5 THEN 1 ELSE 0 END AS label
+        FROM uw WHERE n_labelled > 0),
+cls_words AS (SELECT i, COALESCE(SUM(n) FILTER (WHERE label = 1), 0) AS n1,
+                     COALESCE(SUM(n) FILTER (WHERE label = 0), 0) AS n0
+              FROM words JOIN lab USING (user_id, week_idx) GROUP BY i),
+tot AS (SELECT SUM(n1) AS a1, SUM(n0) AS a0, COUNT(*) AS v FROM cls_words),
+coef AS (SELECT i, ln((n1 + 1) / (a1 + v)) - ln((n0 + 1) / (a0 + v)) AS c FROM cls_words, tot),
+prior AS (SELECT ln((COUNT(*) FILTER (WHERE label = 1) + 1)
+                    / (COUNT(*) FILTER (WHERE label = 0) + 1)) AS c FROM lab),
+prob AS (SELECT user_id, week_idx, ROUND(1 / (1 + EXP(-(COALESCE(s, 0) + prior.c))), 9)
+                AS probability
+         FROM uw LEFT JOIN (SELECT user_id, week_idx, SUM(n * c) AS s FROM words
+                            JOIN coef USING (i) GROUP BY ALL) USING (user_id, week_idx), prior)
+"""
+    q["classify_weeks_table"] = table_model + (
+        "SELECT user_id, week_idx, probability, "
+        f"CASE WHEN probability >= {p.class_threshold} THEN 1 ELSE 0 END AS pred_class FROM prob")
+    q["classifier_auc"] = table_model + (
+        "SELECT x.n1, x.n0, ROUND(y.wins / (2.0::DOUBLE * x.n1 * x.n0), 12) AS auc FROM "
+        "(SELECT COUNT(*) FILTER (WHERE label = 1) AS n1, COUNT(*) FILTER (WHERE label = 0) AS n0 "
+        "FROM lab) x, (SELECT SUM(CASE WHEN a.probability > b.probability THEN 2 "
+        "WHEN a.probability = b.probability THEN 1 ELSE 0 END) AS wins "
+        "FROM (SELECT probability FROM prob JOIN lab USING (user_id, week_idx) WHERE label = 1) a, "
+        "(SELECT probability FROM prob JOIN lab USING (user_id, week_idx) WHERE label = 0) b) y")
 
     # publishing and checks
     q["upsert_closest"] = pub + (
@@ -370,6 +396,30 @@ QUALIFY ROW_NUMBER() OVER (PARTITION BY feed ORDER BY user_id, engaged_with_user
         checks.append(f"SELECT table_name || '.{kind}' AS check_name, n AS actual, "
                       f"CAST(0 AS BIGINT) AS expected, n = 0 AS passed FROM ({dq_union(kind)})")
     q["dq_report"] = pub + "\nUNION ALL\n".join(checks)
+    cutoff = _ts(P.expiry_cutoff)
+    q["dq_faulty_rows"] = pub + f""",
+planted AS (SELECT user_id, CASE WHEN user_id % 7 <> 3 THEN closest_connection END AS closest_connection,
+                   CASE WHEN user_id % 5 = 1 THEN {_ts(P.shifted(-3).as_of)} ELSE updated_at END
+                   AS updated_at FROM closest_connections_pub),
+faulty AS (SELECT * FROM planted UNION ALL SELECT * FROM planted WHERE user_id % 11 = 2)
+SELECT 'null_keys' AS check, COUNT(*) AS n FROM faulty
+WHERE user_id IS NULL OR closest_connection IS NULL
+UNION ALL SELECT 'stale_rows', COUNT(*) FROM faulty WHERE updated_at < {cutoff}
+UNION ALL SELECT 'duplicate_keys', COUNT(*) FROM (SELECT user_id, closest_connection FROM faulty
+          GROUP BY user_id, closest_connection HAVING COUNT(*) > 1)"""
+    q["dq_any_query"] = base + """
+SELECT 'some suspended' AS check_name, CAST(COUNT(*) > 0 AS VARCHAR) AS actual, 'True' AS expected,
+       COUNT(*) > 0 AS passed FROM users WHERE suspended = 1
+UNION ALL SELECT 'share', CAST(CAST(SUM(suspended) * 0.0 AS DECIMAL(38, 1)) AS VARCHAR), '0',
+       SUM(suspended) * 0.0 = 0 FROM users
+UNION ALL SELECT 'flags', string_agg(DISTINCT suspended, ',' ORDER BY suspended), '0,1',
+       string_agg(DISTINCT suspended, ',' ORDER BY suspended) = '0,1' FROM users
+UNION ALL SELECT 'rows', CAST(COUNT(*) AS VARCHAR), '3', COUNT(*) = 3 FROM users
+          WHERE user_id IS NULL"""
+    scored = msg_ctes().replace("score AS (", "score_of_labels AS (")
+    q["final_recommendations_model"] = (
+        _with(BASE, closest_ctes(p), scored, text_model_ctes(), f""",
+score AS ({model_scores})""", rec_ctes(p)) + fin)
     q["stage_counts"] = _with(BASE, closest_ctes(p), msg_ctes(), rec_ctes(p)) + """
 SELECT 'engagements' AS stage, COUNT(*) AS n FROM eng
 UNION ALL SELECT 'not_suspended_target', COUNT(*) FROM valid

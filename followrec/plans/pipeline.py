@@ -12,7 +12,7 @@ the three table publishes) is submitted as concurrent jobs.
 from __future__ import annotations
 
 import logging
-import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,18 +27,25 @@ from followrec.params import Params
 from followrec.session import prepare, scratch_path
 from followrec.sources.feeds import Feeds
 from followrec.sources.feeds import daily_folder
-from followrec.sources.sinks import cut_lineage, read_latest, write_csv, write_snapshot
-
-
-def published_batches(closest: DataFrame, recs: DataFrame, reasons: DataFrame) -> dict:
-    """Stage outputs in the staging layouts of the three published tables."""
-    return {
-        "closest_connections": closest.select(
-            "user_id", F.col("engaged_with_user_id").alias("closest_connection"),
-            cl.weight_decimal("w8").alias("weight")),
-        "recommendations": recs.select("user_id", "rec_id"),
-        "rec_reasons": reasons.select("user_id", "rec_id", "reason_id", "weight"),
-    }
+from followrec.sources.sinks import (
+    commit_manifest,
+    cut_lineage,
+    latest_manifest,
+    read_published,
+    write_csv,
+    write_snapshot,
+)
+
+
+def published_batch(name: str, rows: DataFrame) -> DataFrame:
+    """Stage output in the staging layout of one published table: closest
+    connections, ranked candidates or their reasons."""
+    if name == "closest_connections":
+        return rows.select("user_id", F.col("engaged_with_user_id").alias("closest_connection"),
+                           cl.weight_decimal("w8").alias("weight"))
+    if name == "recommendations":
+        return rows.select("user_id", "rec_id")
+    return rc.reason_rows(rows)
 
 
 def daily_batches(spark: SparkSession, feeds: Feeds, messages: DataFrame, params: Params,
@@ -77,13 +84,21 @@ def daily_batches(spark: SparkSession, feeds: Feeds, messages: DataFrame, params
         closest = done[0]
         if not given:
             scores = done[1]
+    active = rc.active_sources(closest, feeds.user)
+    if stage_dir:
+        active = cut_lineage(spark, active, f"{stage_dir}/active")
     top = rc.keep_high_scores(
-        rc.ranked_candidates(closest, feeds.follow, feeds.user, params), scores, params)
+        rc.ranked_from_active(active, feeds.follow, params), scores, params)
     top = track("recommendations", top)
     if stage_dir:
         top = cut_lineage(spark, top, f"{stage_dir}/top")
-    batches = published_batches(closest, rc.rec_rows(top), rc.explode_reasons(top))
-    return batches, scores, obs, {"closest": closest, "top": top}
+    reasons = rc.winners_reasons(top, active)
+    if stage_dir:
+        reasons = cut_lineage(spark, reasons, f"{stage_dir}/reasons")
+    stages = {"closest": closest, "top": top, "reasons": reasons}
+    batches = {name: published_batch(name, rows)
+               for name, rows in zip(tb.TABLES, (closest, top, reasons))}
+    return batches, scores, obs, stages
 
 
 def write_daily_outputs(stages: dict, scores: DataFrame, root: str, params: Params) -> str:
@@ -91,14 +106,13 @@ def write_daily_outputs(stages: dict, scores: DataFrame, root: str, params: Para
     root/yyyyMMdd: closest lists (wide), closest data (long), scores (sorted
     by user), recommendations and their reasons (after the score filter)."""
     folder = daily_folder(root, params.as_of)
-    top = stages["top"]
-    reasons = rc.explode_reasons(top)
+    top, reasons = stages["top"], stages["reasons"]
     files = {
         "closest_connections.csv": cl.closest_lists(stages["closest"]),
         "closest_connections_data.csv": cl.closest_long(stages["closest"]),
         "score.csv": scores.orderBy("user_id"),
         "user_rec.csv": top.select("user_id", F.col("rec_id").alias("user_rec")),
-        "user_rec_reasons.csv": reasons.select(
+        "user_rec_reasons.csv": rc.reason_rows(reasons).select(
             "user_id", F.col("rec_id").alias("user_rec"),
             F.col("reason_id").alias("reason"), "weight"),
     }
@@ -107,17 +121,27 @@ def write_daily_outputs(stages: dict, scores: DataFrame, root: str, params: Para
 
 
 def publish(spark: SparkSession, batches: dict, publish_root: str, params: Params) -> dict:
-    """Upsert + expire each table into a new snapshot version; returns paths."""
-    version = f"{params.as_of:%Y%m%dT%H%M%S}-{time.time_ns()}"
+    """Upsert + expire all tables and publish them as one step; returns paths.
+
+    Each table is written as a new bucketed snapshot next to the old one. Then
+    one manifest names the snapshots of all tables: readers follow the latest
+    manifest, so they see all of a publish or nothing of it. The manifest's
+    number follows the one this publish started from; when another publish
+    has taken that number meanwhile, this one fails and changes nothing.
+    """
+    root = publish_root.rstrip("/")
+    base = latest_manifest(spark, root)
+    version = f"{params.as_of:%Y%m%dT%H%M%S}-{uuid.uuid4().hex}"
 
     def one(name: str, staged: DataFrame) -> str:
-        root = f"{publish_root.rstrip('/')}/{name}"
-        target = read_latest(spark, root, tb.table_schema(name))
+        target = read_published(spark, root, name, tb.table_schema(name), tb.bucket_keys(name), base)
         out = tb.publish_table(name, target, staged, params)
-        return write_snapshot(out, root, version)
+        return write_snapshot(out, f"{root}/{name}", version, tb.bucket_keys(name))
 
     names = list(batches)
     written = concurrently(*[lambda n=n: one(n, batches[n]) for n in names])
+    paths = dict(base.tables if base else {}) | dict(zip(names, written))
+    commit_manifest(spark, root, base, paths)
     return dict(zip(names, written))
 
 
@@ -157,4 +181,4 @@ def run_daily(spark: SparkSession, feeds: Feeds, messages: DataFrame, params: Pa
             stage_counts[name] = rows
     paths = publish(spark, batches, publish_root, params)
     published = {n: spark.read.parquet(p) for n, p in paths.items()}
-    return dq.run_checks(spark, dq.standard_checks(published, params))
+    return dq.run_table_checks(published, params)

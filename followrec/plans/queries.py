@@ -9,6 +9,7 @@ readers.
 
 from __future__ import annotations
 
+import json
 from datetime import timedelta
 from typing import Callable
 
@@ -17,12 +18,13 @@ from pyspark.sql import functions as F
 
 from followrec.functions import epoch_seconds, parse_ts_text, weight_decimal
 from followrec.operators import closest as cl
+from followrec.operators import incremental as inc
 from followrec.operators import quality as dq
 from followrec.operators import recommend as rc
 from followrec.operators import reputation as rp
 from followrec.operators import tables as tb
 from followrec.params import Params
-from followrec.plans.pipeline import concurrently, daily_batches
+from followrec.plans.pipeline import concurrently, published_batch
 from followrec.session import prepare, scratch_path
 from followrec.sources import feeds as fd
 from followrec.sources import sinks as sk
@@ -264,6 +266,15 @@ def closest_connections_20d(spark, sf_dir):
     return _published_closest(_closest(spark, sf_dir, P.with_(lookback_days=20)))
 
 
+@query("closest_incremental")
+def closest_incremental(spark, sf_dir):
+    """X1 from daily summaries; raw engagements are read for the days around the window."""
+    f, root = _feeds(spark, sf_dir), scratch_path(spark, "engagements")
+    inc.write_raw(f, root)
+    inc.summarise(spark, root, *inc.whole_days(P))
+    return _published_closest(inc.closest_incremental(spark, root, f.user, P))
+
+
 # ---------------------------------------------------------------- step 3
 def _active(spark, sf_dir):
     return rc.active_sources(_closest_staged(spark, sf_dir), _feeds(spark, sf_dir).user)
@@ -315,13 +326,16 @@ def top_recommendations(spark, sf_dir):
 
 @query("rec_reasons")
 def rec_reasons(spark, sf_dir):
-    return rc.explode_reasons(_ranked(spark, sf_dir))
+    """Reasons of the top 20 per user, brought back from the paths after ranking."""
+    f, closest = _feeds(spark, sf_dir), _closest_staged(spark, sf_dir)
+    top = rc.ranked_candidates(closest, f.follow, f.user, P)
+    return rc.reason_rows(rc.winners_reasons(top, rc.active_sources(closest, f.user)))
 
 
 @query("reason_counts")
 def reason_counts(spark, sf_dir):
     return _ranked(spark, sf_dir).select(
-        "user_id", "rec_id", F.size("reasons").cast("bigint").alias("n_reasons"))
+        "user_id", "rec_id", "n_reasons")
 
 
 @query("high_scores")
@@ -329,33 +343,39 @@ def high_scores(spark, sf_dir):
     return rc.high_scores(_scores(spark, sf_dir), P)
 
 
-def _final(spark, sf_dir, p=P):
+def _final(spark, sf_dir, p=P, scores=_scores):
+    """(active connections, final candidates); the two inputs are staged as concurrent jobs."""
     f = _feeds(spark, sf_dir)
-    # independent stages, materialized as concurrent jobs
-    closest, scores = concurrently(lambda: _closest_staged(spark, sf_dir, p),
-                                   lambda: _scores_staged(spark, sf_dir, p))
-    return rc.recommendations(closest, f.follow, f.user, scores, p)
+    active, scored = concurrently(
+        lambda: _staged(spark, rc.active_sources(_closest(spark, sf_dir, p), f.user), "active"),
+        lambda: _staged(spark, scores(spark, sf_dir, p), "scores"))
+    return active, rc.final_candidates(active, f.follow, scored, p)
+
+
+def _final_reasons(spark, sf_dir, p=P):
+    active, top = _final(spark, sf_dir, p)
+    return rc.reason_rows(rc.winners_reasons(top, active))
 
 
 @query("final_recommendations")
 def final_recommendations(spark, sf_dir):
     """X3: recommendations whose candidate scores above 0.75."""
-    return _final(spark, sf_dir)[0]
+    return rc.rec_rows(_final(spark, sf_dir)[1])
 
 
 @query("final_reasons")
 def final_reasons(spark, sf_dir):
-    return _final(spark, sf_dir)[1]
+    return _final_reasons(spark, sf_dir)
 
 
 @query("final_recommendations_20d")
 def final_recommendations_20d(spark, sf_dir):
-    return _final(spark, sf_dir, P.with_(lookback_days=20))[0]
+    return rc.rec_rows(_final(spark, sf_dir, P.with_(lookback_days=20))[1])
 
 
 @query("final_reasons_20d")
 def final_reasons_20d(spark, sf_dir):
-    return _final(spark, sf_dir, P.with_(lookback_days=20))[1]
+    return _final_reasons(spark, sf_dir, P.with_(lookback_days=20))
 
 
 # ---------------------------------------------------------------- step 2
@@ -401,15 +421,15 @@ def token_vocabulary(spark, sf_dir):
 
 @query("encode_sequences")
 def encode_sequences(spark, sf_dir):
-    c = rp.materialize_clean(spark, _clean(spark, sf_dir))
-    return rp.encode_sequences(c, rp.token_vocabulary(c, P), spark).withColumn(
+    c = rp.keyed_messages(_clean(spark, sf_dir))
+    return rp.encode_sequences(c, rp.token_vocabulary(c, P)).withColumn(
         "token_index", F.col("token_index").cast("bigint"))
 
 
 @query("pad_sequences")
 def pad_sequences(spark, sf_dir):
     c = _clean(spark, sf_dir)
-    _, padded = rp.model_input(c, P, spark)
+    _, padded = rp.model_input(c, P)
     return padded.select("user_id", "week_idx", "n_tokens",
                          F.array_join(F.transform("sequence", lambda x: x.cast("string")), ",")
                          .alias("sequence"))
@@ -422,26 +442,75 @@ def classify_weeks(spark, sf_dir):
     return rp.weekly_class(rp.SparkMLScorer()(spark, c, P), P)
 
 
-def fixed_model(sequences):
-    """Logistic model with stated coefficients over padded index sequences:
-    index i weighs ((37 i) mod 201 - 100) / 1000, padding weighs nothing."""
+def load_fixed_model(path):
+    """Logistic model over padded index sequences from a JSON file {a, m, c, d}: index i
+    weighs ((a i) mod m - c) / d, padding weighs nothing."""
+    import json
+
     import numpy as np
-    s = np.where(sequences > 0, (sequences * 37) % 201 - 100, 0).sum(axis=1)
-    return 1 / (1 + np.exp(-s / 1000))
+    with open(path) as f:
+        k = json.load(f)
+
+    def predict(sequences):
+        s = np.where(sequences > 0, (sequences * k["a"]) % k["m"] - k["c"], 0).sum(axis=1)
+        return 1 / (1 + np.exp(-s / k["d"]))
+
+    return predict
+
+
+def _fixed_model_scorer(spark):
+    # Fixed values of the stated model.
+    constants = {"a": 37, "m": 201, "c": 100, "d": 1000}
+    path = scratch_path(spark, "fixed-model.json")
+    sk.write_text(spark, path, json.dumps(constants))
+    return rp.model_file_scorer(path, load_fixed_model)
 
 
 @query("score_weeks_fixed_model")
 def score_weeks_fixed_model(spark, sf_dir):
-    """Batch model hook: every user-week scored by a model in Arrow batches."""
-    probs = rp.batch_model_scorer(fixed_model)(spark, _clean(spark, sf_dir), P)
+    """Batch model hook: every user-week scored in Arrow batches by a model from a file."""
+    probs = _fixed_model_scorer(spark)(spark, _clean(spark, sf_dir), P)
     return rp.weekly_class(probs, P).withColumn("probability", F.round("probability", 9))
 
 
+def _table_model(spark, sf_dir):
+    """(probabilities, labels) of the exported-table classifier."""
+    words = rp.keyed_messages(_clean(spark, sf_dir))
+    _, padded = rp.model_input(words, P)
+    counts = _staged(spark, rp.week_counts(padded), "week-counts")
+    labels = _staged(spark, rp.training_weeks(words), "labels")
+    table = _staged(spark, rp.ratio_coefficients(counts, labels), "coefficients")
+    return rp.score_by_table(counts, table, rp.user_weeks(words)), labels
+
+
+@query("classify_weeks_table")
+def classify_weeks_table(spark, sf_dir):
+    """Text classifier fitted on labelled weeks, exported as a coefficient table and
+    scored as join and sum."""
+    probs = _table_model(spark, sf_dir)[0].withColumn("probability", F.round("probability", 9))
+    return rp.weekly_class(probs, P)
+
+
+@query("classifier_auc")
+def classifier_auc(spark, sf_dir):
+    """Exact tie-aware area under the curve of the classifier on the labelled weeks."""
+    probs, labels = _table_model(spark, sf_dir)
+    probs = probs.withColumn("probability", F.round("probability", 9))
+    return rp.area_under_curve(probs.join(labels, rp.WEEK_KEY)).withColumn(
+        "auc", F.round("auc", 12))
+
+
 @query("reputation_score_model")
 def reputation_score_model(spark, sf_dir):
     """X2 with a batch model: unlabelled weeks are scored like any other."""
     return rp.reputation_scores(spark, td.map_messages(spark, sf_dir), P,
-                                scorer=rp.batch_model_scorer(fixed_model))
+                                scorer=_fixed_model_scorer(spark))
+
+
+@query("final_recommendations_model")
+def final_recommendations_model(spark, sf_dir):
+    """X3 fed by the text model's scores, as the daily run is."""
+    return rc.rec_rows(_final(spark, sf_dir, P, lambda s, d, p: reputation_score_model(s, d))[1])
 
 
 # ---------------------------------------------------------------- publishing
@@ -450,61 +519,96 @@ def reputation_score_model(spark, sf_dir):
 PUBLISH = P.with_(lookback_days=20)
 
 
-def _tables(spark, sf_dir, p=PUBLISH):
-    """Yesterday's published tables (+ 3-day-old leftovers) and today's batches."""
-    feeds, msgs = _feeds(spark, sf_dir), td.map_messages(spark, sf_dir)
+def _day_batch(spark, sf_dir, name, p, scores):
+    """One table's staged rows of one run day; nothing is computed for the others."""
+    f = _feeds(spark, sf_dir)
+    closest = _closest(spark, sf_dir, p)
+    if name == "closest_connections":
+        return published_batch(name, closest)
+    active = _staged(spark, rc.active_sources(closest, f.user), "active")
+    top = rc.final_candidates(active, f.follow, scores, p)
+    return published_batch(
+        name, top if name == "recommendations" else rc.winners_reasons(top, active))
+
+
+def _published(spark, sf_dir, name, p=PUBLISH):
+    """(target, batch): yesterday's published table with 3-day-old leftovers, as it
+    stands in its bucketed files, and today's batch."""
+    keys, _ = tb.TABLES[name]
     y, o = p.shifted(-1), p.shifted(-3)
     # the reputation scores do not depend on the day: computed once
-    scores = _scores_staged(spark, sf_dir, p)
-    today, yb, ob = [daily_batches(spark, feeds, msgs, q, scores=scores)[0]
+    scores = None if name == "closest_connections" else _scores_staged(spark, sf_dir, p)
+    today, yb, ob = [tb.to_batch(name, _day_batch(spark, sf_dir, name, q, scores))
                      for q in (p, y, o)]
-    out = {}
-    for name, (keys, vals) in tb.TABLES.items():
-        ty = tb.ts_literal(y.as_of)
-        to = tb.ts_literal(o.as_of)
-        yt = tb.to_batch(name, yb[name]).withColumn("created_at", ty).withColumn("updated_at", ty)
-        ot = (tb.to_batch(name, ob[name]).join(yt.select(*keys), list(keys), "left_anti")
-              .withColumn("created_at", to).withColumn("updated_at", to))
-        target = yt.unionByName(ot)
-        merged = tb.upsert(target, tb.to_batch(name, today[name]), keys, vals, p)
-        out[name] = (merged, tb.expire(merged, p))
-    return out
+    ty, to = tb.ts_literal(y.as_of), tb.ts_literal(o.as_of)
+    yt = _staged(spark, yb.withColumn("created_at", ty).withColumn("updated_at", ty), "yesterday")
+    ot = (ob.join(yt.select(*keys), list(keys), "left_anti")
+          .withColumn("created_at", to).withColumn("updated_at", to))
+    path = scratch_path(spark, f"published-{name}")
+    by = tb.bucket_keys(name)
+    sk.write_bucketed(yt.unionByName(ot), path, by)
+    return sk.read_bucketed(spark, path, tb.table_schema(name), by), today
+
+
+def _merged(spark, sf_dir, name):
+    target, batch = _published(spark, sf_dir, name)
+    return tb.upsert(target, batch, *tb.TABLES[name], PUBLISH)
 
 
 @query("upsert_closest")
 def upsert_closest(spark, sf_dir):
-    return _tables(spark, sf_dir)["closest_connections"][0]
+    return _merged(spark, sf_dir, "closest_connections")
 
 
 @query("upsert_recommendations")
 def upsert_recommendations(spark, sf_dir):
-    return _tables(spark, sf_dir)["recommendations"][0]
+    return _merged(spark, sf_dir, "recommendations")
 
 
 @query("upsert_reasons")
 def upsert_reasons(spark, sf_dir):
-    return _tables(spark, sf_dir)["rec_reasons"][0]
+    return _merged(spark, sf_dir, "rec_reasons")
 
 
 @query("retention_delete")
 def retention_delete(spark, sf_dir):
-    """closest_connections after upsert and expiry of rows older than a day."""
-    return _tables(spark, sf_dir)["closest_connections"][1]
+    """closest_connections after upsert and expiry of rows older than a day: the merged
+    table is stored by day, old days are dropped, the boundary day is rewritten."""
+    path = scratch_path(spark, "by-day")
+    tb.write_days(_merged(spark, sf_dir, "closest_connections"), path)
+    tb.expire_days(spark, path, tb.table_schema("closest_connections"), PUBLISH)
+    return tb.read_days(spark, path, tb.table_schema("closest_connections"))
+
+
+def _after_publish(spark, sf_dir):
+    """The three published tables after upsert and expiry, each written once."""
+    def one(name):
+        return _staged(spark, tb.expire(_merged(spark, sf_dir, name), PUBLISH), name)
+
+    names = list(tb.TABLES)
+    return dict(zip(names, concurrently(*[lambda n=n: one(n) for n in names])))
+
+
+def _faulty(spark, sf_dir):
+    """The published closest connections with faults planted by rule: the first key column
+    is null where user_id % 7 = 3, `updated_at` is three days old where user_id % 5 = 1,
+    and rows with user_id % 11 = 2 stand twice."""
+    t = _after_publish_closest(spark, sf_dir)
+    user = F.col("user_id")
+    out = t.withColumns({
+        "closest_connection": F.when(user % 7 != 3, F.col("closest_connection")),
+        "updated_at": F.when(user % 5 == 1, tb.ts_literal(PUBLISH.shifted(-3).as_of))
+        .otherwise(F.col("updated_at"))})
+    return out.unionByName(out.filter(user % 11 == 2))
+
+
+def _after_publish_closest(spark, sf_dir):
+    return tb.expire(_merged(spark, sf_dir, "closest_connections"), PUBLISH)
 
 
 def _dq(spark, sf_dir, kind):
-    t = _tables(spark, sf_dir)
-    parts = []
-    for name, (keys, _) in tb.TABLES.items():
-        pub = t[name][1]
-        n = {"null_keys": lambda: dq.null_key_count(pub, keys),
-             "stale_rows": lambda: dq.stale_count(pub, PUBLISH),
-             "duplicate_keys": lambda: dq.duplicate_key_count(pub, keys)}[kind]()
-        parts.append(n.select(F.lit(name).alias("table_name"), "n"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    counts = dq.table_checks(_after_publish(spark, sf_dir), PUBLISH)
+    return counts.filter(F.col("check") == kind).select("table_name", "n")
 
 
 @query("dq_null_keys")
@@ -522,14 +626,29 @@ def dq_unique_keys(spark, sf_dir):
     return _dq(spark, sf_dir, "duplicate_keys")
 
 
+@query("dq_faulty_rows")
+def dq_faulty_rows(spark, sf_dir):
+    """The same checks on a table with faults: every count is above zero."""
+    faulty = {"closest_connections": _faulty(spark, sf_dir)}
+    return dq.table_checks(faulty, PUBLISH).select("check", "n")
+
+
 @query("dq_report")
 def dq_report(spark, sf_dir):
-    """X4: checks on the published tables as one report."""
-    t = _tables(spark, sf_dir)
-    checks = dq.standard_checks({n: v[1] for n, v in t.items()}, PUBLISH)
-    order = {"null_keys": 0, "stale_rows": 1, "duplicate_keys": 2}
-    checks = sorted(checks, key=lambda c: order[c.name.split(".")[1]])
-    return dq.check_report(spark, checks)
+    """X4: checks on the published tables as one report, one scan per table."""
+    return dq.table_report(dq.table_checks(_after_publish(spark, sf_dir), PUBLISH))
+
+
+@query("dq_any_query")
+def dq_any_query(spark, sf_dir):
+    """Checks given as queries with any column names and types (text, boolean, number)."""
+    _feeds(spark, sf_dir).user.createOrReplaceTempView("dq_users")
+    return dq.check_report(spark, [
+        dq.Check("some suspended", "SELECT count(*) > 0 FROM dq_users WHERE suspended = 1", True),
+        dq.Check("share", "SELECT sum(suspended) * 0.0 FROM dq_users", 0),
+        dq.Check("flags", "SELECT concat_ws(',', sort_array(collect_set(suspended))) AS `a.b c` "
+                          "FROM dq_users", "0,1"),
+        dq.Check("rows", "SELECT count(*) FROM dq_users WHERE user_id IS NULL", 3)])
 
 
 @query("stage_counts")
@@ -551,7 +670,8 @@ def stage_counts(spark, sf_dir):
     stages = [("engagements", eng), ("not_suspended_target", valid), ("weighted", weighted),
               ("pairs", pairs), ("closest", top), ("active_closest", active),
               ("paths", paths), ("kept_paths", kept), ("candidates", cand),
-              ("top_recommendations", ranked), ("top_reasons", rc.explode_reasons(ranked)),
+              ("top_recommendations", ranked),
+              ("top_reasons", rc.winners_reasons(ranked, active)),
               ("scored_users", scores), ("final_recommendations", recs),
               ("final_reasons", reasons)]
     parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(s).alias("stage"), "n")

@@ -19,10 +19,13 @@ from followrec.sources.feeds import (  # noqa: F401
 )
 from followrec.sources.sinks import (  # noqa: F401
     STAGING_SCHEMAS,
-    committed_versions,
+    commit_manifest,
     cut_lineage,
+    latest_manifest,
     load_staging,
-    read_latest,
+    read_bucketed,
+    read_published,
+    write_bucketed,
     write_csv,
     write_jdbc,
     write_snapshot,

@@ -15,6 +15,5 @@ def test_cli_daily_run(spark, tmp_path):
     rc = main(["--feeds", feeds_dir, "--messages", msgs, "--as-of", "2024-01-31",
                "--publish", publish, "--outputs", str(tmp_path / "out"), "--label-share"])
     assert rc == 0
-    recs = spark.read.parquet(
-        f"{publish}/recommendations/v={sk.committed_versions(spark, f'{publish}/recommendations')[-1]}")
+    recs = spark.read.parquet(sk.latest_manifest(spark, publish).tables["recommendations"])
     assert recs.count() == 68          # golden count, sf0.001, 90 days

@@ -13,10 +13,9 @@ def test_matches_window_with_hot_group(spark, tmp_path):
     rows = [(0 if i % 3 else rnd.randrange(1, 50), rnd.randrange(5), i, rnd.randrange(0, 7))
             for i in range(3000)]  # group 0 holds two thirds of the rows
     df = spark.createDataFrame(rows, "g long, day int, id long, v long")
-    for stage, bound in ((None, None), (str(tmp_path / "stage"), None), (None, 10**6)):
+    for stage in (None, str(tmp_path / "stage")):
         got = grouped_exclusive_sum(df, ["g"], ["day", "id"], "v", "before", "total",
-                                    num_partitions=16, stage_path=stage,
-                                    max_group_rows=bound)
+                                    num_partitions=16, stage_path=stage)
         w = Window.partitionBy("g").orderBy("day", "id")
         want = df.select(
             "id",
@@ -37,7 +36,7 @@ def test_split_path_keeps_hot_group_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         out = grouped_exclusive_sum(df, ["g"], ["day", "id"], "v", "before", "total",
-                                    num_partitions=16, max_group_rows=None)
+                                    num_partitions=16)
         sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
         assert max(sizes) < 0.5 * sum(sizes)    # group 0 holds two thirds of the rows
         assert out.filter("g = 0").agg(F.max("before")).first()[0] == 3999

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from followrec.operators import closest as cl
 from followrec.operators import recommend as rc
-from followrec.operators import skew
 from followrec.params import Params
 
 P = Params(as_of=AS_OF)
@@ -84,10 +83,37 @@ def test_properties_on_generated_graph(spark):
     assert ranked.join(fol, ["user_id", "rec_id"]).count() == 0
     assert ranked.filter("user_id % 11 = 0").count() == 0
     # the reasons' weights add up to the recommendation's weight
-    sums = ranked.select("user_id", "rec_id", "sum_w8",
-                         F.aggregate("reasons", F.lit(0).cast("long"),
-                                     lambda a, r: a + r["w8"]).alias("s"))
-    assert sums.filter("s != sum_w8").count() == 0
+    paths = rc.winners_reasons(ranked, rc.active_sources(top, f.user))
+    sums = paths.groupBy("user_id", "rec_id").agg(F.sum("w8").alias("s"),
+                                                  F.count("*").alias("n"))
+    joined = ranked.join(sums, ["user_id", "rec_id"], "left")
+    assert joined.filter("s is null or s != sum_w8 or n != n_reasons").count() == 0
+    assert sums.count() == ranked.count()
+
+
+def test_reasons_are_materialised_after_ranking(spark):
+    f = make_feeds(spark, reply=[(u, v, TS) for u in range(5) for v in range(5)])
+    active = rc.active_sources(cl.closest_connections(f, P), f.user)
+    active = spark.createDataFrame(active.collect(), active.schema)
+    top = rc.ranked_from_active(active, f.follow, P)
+    assert "collect_list" not in top._jdf.queryExecution().optimizedPlan().toString()
+    plan = rc.winners_reasons(top, active)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") == 1  # the winners of a user, above the rank window
+    assert plan.index("collect_list") < plan.index("row_number")
+
+
+def test_split_exclusion_equals_the_anti_join(spark):
+    pairs = [(u, r, u * r) for u in range(60) for r in range(60)]
+    df = spark.createDataFrame(pairs, "user_id long, rec_id long, w8 long")
+    f = make_feeds(spark, follow=[(u, (7 * u + k) % 70, TS) for u in range(80) for k in (0, 3)] * 2)
+    want = sorted(map(tuple, rc.exclude_followed(df, f.follow).collect()))
+    followed = len(pairs) - len(want)
+    for bits in (64, 1 << 15, 1 << 20):
+        got = rc.exclude_followed_split(df, f.follow, bits)
+        assert sorted(map(tuple, got.collect())) == want
+        maybe = rc.maybe_followed(df, f.follow, bits).filter("maybe").count()
+        assert followed <= maybe <= len(pairs)
+    assert maybe <= followed + 5  # with a large bitmap hardly any other pair is shuffled
 
 
 def test_second_hop_ranks_on_8_decimal_weights(spark):
@@ -115,17 +141,14 @@ def test_hot_intermediary_is_spread(spark):
     # as at cluster scale: sort-merge join, no partition coalescing
     old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     old_b = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    old_max = skew.MAX_BROADCAST_ROWS
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        skew.MAX_BROADCAST_ROWS = -1      # as when the right side is large
         salted = rc.second_degree_paths(active, hot_rows=100)
         plain = rc.second_degree_paths(active, hot_rows=10**12)
         assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
         sizes = [r["count"] for r in salted.groupBy(F.spark_partition_id()).count().collect()]
         assert max(sizes) < 0.5 * sum(sizes)        # no task holds the hot key alone
     finally:
-        skew.MAX_BROADCAST_ROWS = old_max
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_b)

@@ -1,12 +1,13 @@
-"""Salted and size-checked joins equal the plain join for every join type."""
+"""Salted joins equal the plain join for every join type."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from followrec.operators import skew
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_and_small_joins_equal_plain(spark, how):
+def test_salted_joins_equal_plain(spark, how):
     # key 0 holds most left rows; key 5 has no right row; right has 2 rows per key
     left = spark.createDataFrame(
         [(0 if i % 4 else i % 7, i) for i in range(2000)], "k long, id long")
@@ -15,14 +16,20 @@ def test_salted_and_small_joins_equal_plain(spark, how):
     want = sorted(map(tuple, left.join(right, ["k"], how).collect()))
     salted = skew.salted_join(left, right, ["k"], how, ["id"], min_rows=100, buckets=8)
     assert sorted(map(tuple, salted.collect())) == want
-    small = skew.small_or_salted_join(left, right, ["k"], how, ["id"])
-    assert sorted(map(tuple, small.collect())) == want
-    forced = skew.small_or_salted_join(left, right, ["k"], how, ["id"], max_rows=-1,
-                                       min_rows=100, buckets=8)
-    assert sorted(map(tuple, forced.collect())) == want
+    elsewhere = skew.salted_join(left, right, ["k"], how, ["id"], min_rows=10, buckets=8,
+                                 counted=left.filter("id < 500"))
+    assert sorted(map(tuple, elsewhere.collect())) == want
 
 
-def test_hot_keys_bounded(spark):
-    df = spark.createDataFrame([(i % 3 if i % 2 else i, ) for i in range(3000)], "k long")
-    got = [r.k for r in skew.hot_keys(df, ["k"], min_rows=100, max_keys=2).collect()]
-    assert len(got) == 2 and set(got) <= {0, 1, 2}
+def test_all_hot_keys_within_the_share(spark):
+    # three keys with 500 rows each among 3,000: all of them, and by the share never more
+    df = spark.createDataFrame([(i % 3 if i % 2 else i + 10, ) for i in range(3000)], "k long")
+    got = sorted(r.k for r in skew.hot_keys(df, ["k"], min_rows=100, share=10).collect())
+    assert got == [0, 1, 2]
+    assert skew.hot_keys(df, ["k"], min_rows=100, share=5).count() == 0
+
+
+def test_building_a_join_runs_no_job(spark):
+    df = spark.createDataFrame([(1, 2)], "k long, id long").withColumn(
+        "k", F.raise_error(F.lit("a job ran")).cast("long"))
+    skew.salted_join(df, df.select("k"), ["k"], "left_semi", ["id"])

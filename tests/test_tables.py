@@ -128,9 +128,10 @@ def test_daily_run_publishes_versions(spark, tmp_path):
     reasons = spark.read.option("header", True).csv(f"{day}/user_rec_reasons.csv")
     assert reasons.columns == ["user_id", "user_rec", "reason", "weight"]
     assert reasons.count() == 128
-    assert len(sk.committed_versions(spark, f"{root}/closest_connections")) == 2
-    cc = sk.read_latest(spark, f"{root}/closest_connections",
-                        tb.table_schema("closest_connections"))
+    assert sk.latest_manifest(spark, root).number == 2
+    cc = sk.read_published(spark, root, "closest_connections",
+                           tb.table_schema("closest_connections"),
+                           tb.bucket_keys("closest_connections"))
     created = {r.created_at for r in cc.collect()}
     assert created <= {p.as_of - timedelta(days=1), p.as_of}
     assert cc.filter("updated_at < created_at").count() == 0
@@ -157,3 +158,109 @@ def test_no_machine_local_folder_on_a_cluster():
         sparkContext=SimpleNamespace(getCheckpointDir=lambda: None))
     with pytest.raises(ValueError, match="checkpoint"):
         checkpoint_root(session)
+
+
+SMALL = {"closest_connections": "user_id long, closest_connection long, weight decimal(18,8)",
+         "recommendations": "user_id long, rec_id long",
+         "rec_reasons": "user_id long, rec_id long, reason_id long, weight decimal(18,8)"}
+
+
+def _batches(spark, user):
+    from decimal import Decimal
+    one = Decimal(1)
+    rows = {"closest_connections": [(user, 2, one)], "recommendations": [(user, 3)],
+            "rec_reasons": [(user, 3, 2, one)]}
+    return {n: spark.createDataFrame(rows[n], SMALL[n]) for n in rows}
+
+
+def _users(spark, root):
+    return {n: sorted(r.user_id for r in sk.read_published(
+        spark, root, n, tb.table_schema(n), tb.bucket_keys(n)).collect()) for n in tb.TABLES}
+
+
+def test_readers_see_a_publish_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    from followrec.plans import pipeline
+    root = str(tmp_path / "published")
+    pipeline.publish(spark, _batches(spark, 1), root, P)
+    assert _users(spark, root) == dict.fromkeys(tb.TABLES, [1])
+    # the publish dies after its second table
+    written, real = [], pipeline.write_snapshot
+
+    def dying(*args):
+        if len(written) == 2:
+            raise RuntimeError("lost")
+        written.append(real(*args))
+        return written[-1]
+
+    monkeypatch.setattr(pipeline, "write_snapshot", dying)
+    monkeypatch.setattr(pipeline, "concurrently", lambda *t: [x() for x in t])
+    with pytest.raises(RuntimeError, match="lost"):
+        pipeline.publish(spark, _batches(spark, 5), root, P.shifted(1))
+    assert len(written) == 2 and _users(spark, root) == dict.fromkeys(tb.TABLES, [1])
+    monkeypatch.undo()
+    pipeline.publish(spark, _batches(spark, 6), root, P.shifted(1))
+    assert _users(spark, root) == dict.fromkeys(tb.TABLES, [1, 6])
+
+
+def test_of_two_racing_publishes_one_fails(spark, tmp_path, monkeypatch):
+    from followrec.plans import pipeline
+    root = str(tmp_path / "published")
+    pipeline.publish(spark, _batches(spark, 1), root, P)
+    real = pipeline.commit_manifest
+
+    def late(*args):  # another publish is committed just before this one
+        monkeypatch.setattr(pipeline, "commit_manifest", real)
+        pipeline.publish(spark, _batches(spark, 7), root, P)
+        return real(*args)
+
+    monkeypatch.setattr(pipeline, "commit_manifest", late)
+    with pytest.raises(sk.PublishConflict):
+        pipeline.publish(spark, _batches(spark, 8), root, P)
+    assert _users(spark, root) == dict.fromkeys(tb.TABLES, [1, 7])
+    assert sk.latest_manifest(spark, root).number == 2
+
+
+def test_expiry_drops_days_and_rewrites_the_boundary_only(spark, tmp_path):
+    import os
+    schema = tb.table_schema("closest_connections")
+    days = [(u, u, None, datetime(2024, 1, 1), datetime(2024, 1, 28 + u % 4, u % 24))
+            for u in range(40)] + [(99, 99, None, None, None)]
+    df = spark.createDataFrame(days, schema)
+
+    def files(path):
+        return {d: sorted(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if "day=" in d}
+
+    for hours, rewritten in ((0, set()), (12, {"day=2024-01-30"})):
+        p = Params(as_of=datetime(2024, 1, 31, hours))
+        path = str(tmp_path / f"t{hours}")
+        tb.write_days(df, path)
+        before = files(path)
+        assert sorted(tb.expire_days(spark, path, schema, p)) == ["2024-01-28", "2024-01-29"]
+        after = files(path)
+        assert {d for d in after if after[d] != before[d]} == rewritten
+        got = tb.read_days(spark, path, schema)
+        assert got.exceptAll(tb.expire(df, p)).count() == 0 == tb.expire(df, p).exceptAll(
+            got).count()
+
+
+def test_report_and_runner_judge_alike(spark):
+    checks = [dq.Check("a", "SELECT 0.0D AS `0.0`", 0), dq.Check("b", "SELECT 'x' AS `a.b`", "x"),
+              dq.Check("c", "SELECT 1 = 2", True), dq.Check("d", "SELECT 'x'", 0),
+              dq.Check("e", "SELECT 1 WHERE 1 = 2", 0), dq.Check("f", "SELECT NULL", 0)]
+    ran = {r.check_name: r.passed for r in dq.run_checks(spark, checks, False).collect()}
+    assert ran == {r.check_name: r.passed for r in dq.check_report(spark, checks).collect()}
+    assert ran == {"a": True, "b": True, "c": False, "d": False, "e": False, "f": False}
+
+
+def test_table_checks_count_faults_in_one_scan(spark):
+    old, new = P.as_of - timedelta(days=3), P.as_of
+    rows = [(1, 2, None, old, new), (1, 2, None, old, old), (None, 3, None, old, old),
+            (4, None, None, old, new), (4, None, None, old, None), (5, 6, None, old, new)]
+    df = spark.createDataFrame(rows, tb.table_schema("closest_connections"))
+    checks = dq.table_checks({"closest_connections": df}, P)
+    assert {r.check: r.n for r in checks.collect()} == {
+        "null_keys": 3, "stale_rows": 2, "duplicate_keys": 2}
+    plan = checks._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1
+    with pytest.raises(dq.DataQualityError, match="null_keys: got 3"):
+        dq.run_table_checks({"closest_connections": df}, P)

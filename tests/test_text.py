@@ -75,10 +75,6 @@ def test_weekly_text_and_scores(spark):
     assert wt[(1, 0)].clean_body == "first second msg"
     assert wt[(1, 0)].week_start == date(2018, 9, 10)
     assert wt[(1, 0)].week_end == date(2018, 9, 16)
-    assert {r.part for r in wt.values()} == {0}
-    # a week longer than the part size comes out as ordered, whole parts
-    parts = rp.weekly_text(clean, P.with_(text_part_chars=5)).filter("week_idx = 0").collect()
-    assert sorted((r.part, r.clean_body) for r in parts) == [(0, "first"), (1, "second msg")]
     scores = dict(rp.reputation_scores(spark, msgs, P).collect())
     # week 0: share 1.0 -> 1; week 1: share 0.0 -> 0; user 2 has no binned week
     assert scores == {1: 0.5}
@@ -102,6 +98,56 @@ def test_vocabulary_sequences_padding(spark):
     assert pad[2] == [0, 0, 0, 0, 1]          # 'zz' unknown, zeros in front
 
 
+def test_only_the_tail_of_a_week_is_split(spark):
+    """Of 60 messages of one week, those that end before the last seq_len words are left out."""
+    p = P.with_(vocab_size=100, seq_len=25)
+    rows = [(1, i, 1 + i % 7, " ".join(f"{'xyz'[k % 3]}" for k in range(i % 5)), 1)
+            for i in range(60)]
+    clean = rp.keyed_messages(rp.clean_messages(rp.message_frame(_messages(spark, rows), p)))
+    vocab = rp.token_vocabulary(clean, p)
+    ids = {r.token: r.token_index for r in vocab.collect()}
+    tail = rp.tail_messages(rp.message_offsets(clean, vocab), p).collect()
+    assert sum(r.take for r in tail) == 25
+    assert sum(r.n_known for r in tail) <= 25 + max(r.n_known for r in tail)
+    in_order = sorted(rows, key=lambda r: (r[2], r[1]))
+    words = [ids[w] for r in in_order for w in r[3].split()]
+    _, padded = rp.model_input(clean, p)
+    got = padded.collect()[0]
+    assert (got.n_tokens, list(got.sequence)) == (len(words), words[-25:])
+
+
+def test_model_file_is_loaded_once_per_worker(spark, tmp_path):
+    model, log = tmp_path / "model.txt", tmp_path / "loads"
+    model.write_text("0.25")
+    log.mkdir()
+
+    def load(path):
+        import os
+        import uuid
+        (log / f"{os.getpid()}-{uuid.uuid4().hex}").write_text("")
+        value = float(open(path).read())
+        return lambda x: [value] * len(x)
+
+    p = P.with_(vocab_size=10, seq_len=4)
+    msgs = _messages(spark, [(u, u, 1 + u % 5, "a b c", 1) for u in range(200)])
+    clean = rp.clean_messages(rp.message_frame(msgs, p))
+    scored = rp.model_file_scorer(str(model), load, batch_size=3)(spark, clean, p)
+    for _ in range(3):  # many batches and several jobs
+        assert {r.probability for r in scored.repartition(8).collect()} == {0.25}
+    loads = [f.name.split("-")[0] for f in log.iterdir()]
+    assert loads and len(loads) == len(set(loads))
+
+
+def test_area_under_the_curve_counts_ties_half(spark):
+    rows = [(0.9, 1), (0.7, 1), (0.7, 0), (0.7, 0), (0.2, 1), (0.1, 0)]
+    df = spark.createDataFrame([(p, float(x)) for p, x in rows],
+                               "probability double, label double")
+    wins = sum((a > b) + (a == b) / 2 for a, x in rows for b, y in rows if x == 1 and y == 0)
+    got = rp.area_under_curve(df).collect()[0]
+    assert (got.n1, got.n0) == (3, 3) and abs(got.auc - wins / 9) < 1e-12
+    assert rp.area_under_curve(df.filter("label = 1")).collect()[0].auc is None
+
+
 def test_sequences_do_not_need_message_ids(spark):
     p = P.with_(vocab_size=4, seq_len=5)
     for first, second, other in ((None, None, None), (7, 7, 7)):
