@@ -52,7 +52,7 @@ class PhraseParams:
     keep: int = 2000  # phrases per language
     cover: int = 80  # a phrase goes with a longer one that has this percentage of it
     bits: int = 1 << 24  # of a bitmap
-    slack: float = 0.1  # of the floor, by which the first round goes below it
+    slack: float = 0.5  # of the floor, by which the first round goes below it
 
 
 # ---------------------------------------------------------------- phrases of a slice of texts
@@ -69,6 +69,15 @@ def _hashes(strings: pa.Array) -> np.ndarray:
     return RangeHash(t.buf)(t.offs[:-1], t.offs[1:])
 
 
+def _dense(ids: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids below ``bound`` in order, and the number of each id among them."""
+    if bound > 4 * len(ids) + 1024:  # many languages: sorting is smaller than a table
+        return np.unique(ids, return_inverse=True)
+    there = np.zeros(bound, bool)
+    there[ids] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[ids]
+
+
 class Slice:
     """Words of a slice: ``word`` numbers distinct (language, word), ``run`` the pieces."""
 
@@ -84,8 +93,8 @@ class Slice:
         langs = langs.dictionary_encode()
         known = max(len(words.dictionary), 1)
         lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text]
-        both, self.word = np.unique(lang * known + words.indices.to_numpy().astype(np.int64),
-                                    return_inverse=True)
+        both, self.word = _dense(lang * known + words.indices.to_numpy(), known *
+                                 max(len(langs.dictionary), 1))
         self.spelling = words.dictionary.take(pa.array(both % known))
         self.lang = langs.dictionary.take(pa.array(both // known))
         self.run = np.cumsum(gap == 2)[start] + text  # grows by 1 at least at every border
@@ -147,13 +156,11 @@ def count_grown(s: Slice, common: np.ndarray, two: np.ndarray,
     """Phrases of three words grown from the prefixes in ``two``, of four from ``three``,
     as far as all their pairs are in ``common``."""
     at = s.same_piece(2)
+    at = at[_has(common, s.hash(at, 2))]  # before numbering: few pairs are common
     number, first, pairs = _numbered(s.word[at] * len(s.spelling) + s.word[at + 1])
-    hashes = s.hash(at[first], 2)
-    good, grows = _has(common, hashes), _has(two, hashes)
+    grows = _has(two, s.hash(at[first], 2))
     pair = np.full(len(s.word) + 3, -1)  # number of the common pair at each position
-    kept = good[number]
-    pair[at[kept]] = number[kept]
-    at = at[kept]
+    pair[at] = number
     at = at[pair[at + 1] >= 0]  # three words, of one piece as both pairs are
     ids = pair[at] * pairs + pair[at + 1]
     chosen = grows[pair[at]]
