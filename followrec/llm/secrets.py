@@ -5,10 +5,14 @@ every base64 and hex run that is long enough is decoded and reported only if
 its structure holds: private keys must parse as nested length-encoded values
 that fill their container exactly and have the layout of a known key encoding,
 OpenSSH keys must consist of length-prefixed strings, and signed tokens must
-have a header and a claims object in JSON, with an algorithm and a signature.
+have a header and a claims object in JSON, with an algorithm and a signature. Keys
+are also found with escaped line ends (``\\n`` as two characters, as in JSON or
+settings files), wrapped over lines of one length without marker lines, and as
+base64 of a whole marked key.
 
 Spans are code points, end exclusive. Null and empty texts have no span; a null
-doc_id is kept; repeated rows give equal rows.
+doc_id is kept; repeated rows give equal rows. Every pattern runs in time linear in
+the text, whatever its words are, so a text of one very long word is no trouble.
 """
 
 from __future__ import annotations
@@ -32,10 +36,18 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
 _PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ ){0,3}PRIVATE KEY)-----"
-                  r"([A-Za-z0-9+/=\s]*)-----END \1-----", re.ASCII)
+                  r"((?:[A-Za-z0-9+/=\s]|\\[nr])*)-----END \1-----", re.ASCII)
+_BREAK = re.compile(r"\\[nr]|\s", re.ASCII)
+_LINE = re.compile(r"[^\n]+")
+_BASE64_LINE = re.compile(r"[A-Za-z0-9+/]+={0,2}", re.ASCII)
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}", re.ASCII)
 _HEX_ANY = re.compile(r"[0-9A-Fa-f]{48,}")
-_TOKEN = re.compile(r"([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)", re.ASCII)
+#: A maximal run without dots; what follows it is looked at only when a dot does.
+_PART = re.compile(r"[A-Za-z0-9_-]{10,}", re.ASCII)
+_CLAIMS = re.compile(r"\.([A-Za-z0-9_-]{2,})\.", re.ASCII)
+_SIGNATURE = re.compile(r"[A-Za-z0-9_-]*", re.ASCII)
+#: Least length of the lines of a wrapped key.
+_WRAPPED = 32
 
 _INTEGER, _OCTETS, _OID, _SEQUENCE = 0x02, 0x04, 0x06, 0x30
 
@@ -139,31 +151,76 @@ def is_signed_token(header: str, claims: str, signature: str) -> bool:
     return isinstance(algorithm, str) and (bool(decode64(signature)) or algorithm == "none")
 
 
+def marked_key(text: str) -> re.Match | None:
+    """The first key between marker lines in ``text`` whose structure holds."""
+    for m in _PEM.finditer(text):
+        data = decode64(_BREAK.sub("", m[2]))
+        if data and (is_private_key(data) or is_openssh_key(data)):
+            return m
+    return None
+
+
+def _is_key(data: bytes | None) -> bool:
+    if not data:
+        return False
+    if data.startswith(b"-----BEGIN "):
+        return marked_key(data.decode("latin-1")) is not None
+    return data[0] == _SEQUENCE and is_private_key(data) or is_openssh_key(data)
+
+
+def wrapped_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Keys wrapped over lines: lines of one length, the last one as long or shorter."""
+    lines: list[re.Match] = []
+
+    def found() -> Iterator[tuple[int, int]]:
+        if len(lines) > 1 and _is_key(decode64("".join(x[0] for x in lines))):
+            yield lines[0].start(), lines[-1].end()
+
+    for m in _LINE.finditer(text):
+        at = m.start() + len(m[0]) - len(m[0].lstrip())
+        line = _BASE64_LINE.fullmatch(text, at, at + len(m[0].strip()))
+        joins = bool(line and lines) and text.count("\n", lines[-1].end(), line.start()) == 1
+        if joins and len(line[0]) <= len(lines[0][0]) == len(lines[-1][0]):
+            lines.append(line)
+            continue
+        yield from found()
+        lines = [line] if line and len(line[0]) >= _WRAPPED else []
+    yield from found()
+
+
+def signed_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Three parts joined by dots that decode as header, claims and signature."""
+    done = 0
+    for header in _PART.finditer(text):
+        claims = _CLAIMS.match(text, header.end()) if header.start() >= done else None
+        if claims:
+            signature = _SIGNATURE.match(text, claims.end())
+            if is_signed_token(header[0], claims[1], signature[0]):
+                done = signature.end()
+                yield header.start(), done
+
+
 def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of keys and signed tokens whose structure was parsed."""
     out: list[tuple[str, int, int]] = []
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            data = decode64("".join(m[2].split()))
+            data = decode64(_BREAK.sub("", m[2]))
             if data and (is_private_key(data) or is_openssh_key(data)):
                 out.append(("key", m.start(), m.end()))
-    taken = [(s, e) for _, s, e in out]
+    if "\n" in text:
+        taken = [x[1:] for x in out]
+        out += [("key", s, e) for s, e in wrapped_keys(text)
+                if not any(a <= s and e <= b for a, b in taken)]
+    taken = [x[1:] for x in out]
     for m in _BASE64.finditer(text):
-        data = decode64(m[0])
-        if data and (data[0] == _SEQUENCE and is_private_key(data) or is_openssh_key(data)):
-            if not any(s <= m.start() and m.end() <= e for s, e in taken):
-                out.append(("key", m.start(), m.end()))
+        if _is_key(decode64(m[0])) and not any(
+                s <= m.start() and m.end() <= e for s, e in taken):
+            out.append(("key", m.start(), m.end()))
     for m in _HEX_ANY.finditer(text):
         if len(m[0]) % 2 == 0 and m[0].startswith("30") and is_private_key(bytes.fromhex(m[0])):
             out.append(("key", m.start(), m.end()))
-    at = 0
-    while m := _TOKEN.search(text, at):
-        if is_signed_token(*m.groups()):
-            out.append(("token", m.start(), m.end()))
-            at = m.end()
-        else:
-            at = m.end(1)  # the next part may be the header
-    return out
+    return out + [("token", s, e) for s, e in signed_tokens(text)]
 
 
 def _join(spans: list[tuple[str, int, int]]) -> str:
