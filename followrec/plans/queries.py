@@ -538,8 +538,9 @@ def _published(spark, sf_dir, name, p=PUBLISH):
     y, o = p.shifted(-1), p.shifted(-3)
     # the reputation scores do not depend on the day: computed once
     scores = None if name == "closest_connections" else _scores_staged(spark, sf_dir, p)
-    today, yb, ob = [tb.to_batch(name, _day_batch(spark, sf_dir, name, q, scores))
-                     for q in (p, y, o)]
+    today, yb, ob = concurrently(*[  # independent days
+        lambda q=q: tb.to_batch(name, _day_batch(spark, sf_dir, name, q, scores))
+        for q in (p, y, o)])
     ty, to = tb.ts_literal(y.as_of), tb.ts_literal(o.as_of)
     yt = _staged(spark, yb.withColumn("created_at", ty).withColumn("updated_at", ty), "yesterday")
     ot = (ob.join(yt.select(*keys), list(keys), "left_anti")
