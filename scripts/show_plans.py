@@ -12,7 +12,6 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from followrec.operators import skew  # noqa: E402
 from followrec.plans.queries import REGISTRY  # noqa: E402
 from followrec.session import build_session  # noqa: E402
 
@@ -20,20 +19,20 @@ NAMES = ["closest_connections", "final_reasons", "pad_sequences", "upsert_reason
 
 
 def final_plan(df) -> str:
+    """The final part of the adaptive plan, without the plan it started from."""
     df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "\n".join(line[:160] for line in plan.split("+- == Initial Plan ==")[0].splitlines())
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    skew.MAX_BROADCAST_ROWS = -1     # large right sides: salted joins
     print("# Final physical plans\n")
     print(f"Generated by `scripts/show_plans.py` on {os.path.basename(sf_dir)} with "
-          "`spark.sql.autoBroadcastJoinThreshold=-1` and no row-count broadcasts "
-          "(sort-merge and salted joins, as for large sides), AQE on, 8 shuffle "
-          "partitions. Each query was executed; the plans below are the adaptive "
+          "`spark.sql.autoBroadcastJoinThreshold=-1` (sort-merge joins, as for "
+          "large sides), AQE on, 8 shuffle partitions. Each query was executed; the plans below are the adaptive "
           "plans Spark ran (`isFinalPlan=true`).\n")
     for name in NAMES:
         print(f"## {name}\n\n```")
