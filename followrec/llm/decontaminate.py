@@ -197,6 +197,9 @@ class Queries:
     offset: np.ndarray  # its first word in the item
     vectors: np.ndarray
     vocabulary: np.ndarray  # (item << 32 | word), sorted
+    columns: np.ndarray  # (item, column): the item has a word of that column
+    masks: list[dict[int, int]]  # of each item and of each answer, as lcs takes them
+    answer_masks: list[dict[int, int]]
     window: int
 
 
@@ -229,24 +232,45 @@ def queries_of(items: list, space: np.ndarray, p: LeakParams) -> list[Queries]:
             vocabulary = np.unique(np.concatenate([
                 (np.uint64(k) << np.uint64(32)) | w.astype(np.uint64)
                 for k, (_, w, _) in enumerate(mine)]))
+            columns = np.zeros((len(mine), p.columns), bool)
+            for k, (_, words, _) in enumerate(mine):
+                columns[k, words % p.columns] = True
             out.append(Queries([e[0] for e in mine], [e[1] for e in mine], [e[2] for e in mine],
                                np.array(item), np.array(offset), _unit(np.array(vectors)),
-                               vocabulary, window))
+                               vocabulary, columns, [places(e[1]) for e in mine],
+                               [places(e[2]) for e in mine], window))
     return out
 
 
-def lcs(pattern: np.ndarray, region: np.ndarray) -> int:
-    """Length of the longest common subsequence, one bit per pattern word."""
+def places(pattern: np.ndarray) -> dict[int, int]:
+    """Positions of every word of a pattern, one bit each."""
     where: dict[int, int] = {}
     for k, w in enumerate(pattern.tolist()):
         where[w] = where.get(w, 0) | (1 << k)
-    full = (1 << len(pattern)) - 1
+    return where
+
+
+def lcs(where: dict[int, int], n: int, region: list[int], least: float = 0) -> int:
+    """Length of the longest common subsequence of a pattern of ``n`` words and a region.
+
+    It is at most the number of region words that the pattern has, and at most the
+    number of its positions whose word the region has. Where either is below
+    ``least`` the sequence is too, and 0 is returned.
+    """
+    hits = [m for m in map(where.get, region) if m]
+    if len(hits) < least:
+        return 0
+    seen = 0
+    for m in hits:
+        seen |= m
+    if seen.bit_count() < least:
+        return 0
+    full = (1 << n) - 1
     row = full
-    for w in region.tolist():
-        if m := where.get(w):
-            hit = row & m
-            row = ((row + hit) | (row - hit)) & full
-    return len(pattern) - row.bit_count()
+    for m in hits:
+        hit = row & m
+        row = ((row + hit) | (row - hit)) & full
+    return n - row.bit_count()
 
 
 def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
@@ -269,6 +293,7 @@ def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
     sums = _unit(sums)
     begin = np.concatenate([[0], np.cumsum([len(a) // step for a in padded])])
     best: dict[tuple[int, int], tuple] = {}
+    asked: dict[tuple[int, int, int], tuple[float, float]] = {}  # lcs and answer of a region
     for lo in range(0, len(sums), 4096):
         cosine = sums[lo:lo + 4096] @ q.vectors.T
         cell, passage = np.nonzero(cosine >= p.min_cosine)
@@ -280,23 +305,31 @@ def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
         at = cell[:, None] * step + np.arange(q.window)
         inside = (at < len(words)) & (at < (begin[cell_row[cell] + 1] * step)[:, None])
         at = np.minimum(at, len(words) - 1)
-        key = (item.astype(np.uint64)[:, None] << np.uint64(32)) | words[at].astype(np.uint64)
-        place = np.minimum(np.searchsorted(q.vocabulary, key), len(q.vocabulary) - 1)
-        common = ((q.vocabulary[place] == key) & inside & real[at]).sum(1)
         need = np.array([len(w) for w in q.words])[item]
-        for i in np.flatnonzero(common >= p.min_common * np.minimum(q.window, need)):
+        floor = p.min_common * np.minimum(q.window, need)
+        inside &= real[at]
+        # columns hold every word of an item, so their count is a bound of the exact one
+        maybe = np.flatnonzero((q.columns[item[:, None], words[at] % p.columns] & inside).sum(1)
+                               >= floor)
+        key = ((item[maybe].astype(np.uint64)[:, None] << np.uint64(32))
+               | words[at[maybe]].astype(np.uint64))
+        place = np.minimum(np.searchsorted(q.vocabulary, key), len(q.vocabulary) - 1)
+        common = ((q.vocabulary[place] == key) & inside[maybe]).sum(1)
+        for i in maybe[common >= floor[maybe]]:
             row, k = int(cell_row[cell[i]]), int(item[i])
             first = int(cell[i] - begin[row]) * step
-            doc, n = rows[row], len(q.words[k])
+            n = len(q.words[k])
             # the item may have grown or shrunk by inserted or dropped words
             slack = q.window // 2 + n // 2
-            a = max(0, first - int(q.offset[passage[i]]) - slack)
-            region = doc[a:first - int(q.offset[passage[i]]) + n + slack]
-            share = lcs(q.words[k], region) / n
-            if share < p.min_lcs:
-                continue
-            answer = lcs(q.answers[k], region) / max(len(q.answers[k]), 1)
-            if share >= p.verbatim or answer >= p.min_answer:
+            begins = first - int(q.offset[passage[i]])
+            if (row, k, begins) not in asked:  # windows of one alignment share a region
+                region = rows[row][max(0, begins - slack):begins + n + slack].tolist()
+                share = lcs(q.masks[k], n, region, p.min_lcs * n) / n
+                m = len(q.answers[k])
+                asked[row, k, begins] = (share, 0.0 if share < p.min_lcs else
+                                         lcs(q.answer_masks[k], m, region) / max(m, 1))
+            share, answer = asked[row, k, begins]
+            if share >= p.min_lcs and (share >= p.verbatim or answer >= p.min_answer):
                 found = (share, float(close[i]), answer, first)
                 best[row, k] = max(best.get((row, k), (0.0,)), found)
     for (row, k), (share, close_, answer, first) in best.items():
