@@ -232,7 +232,7 @@ def queries_of(items: list, space: np.ndarray, p: LeakParams) -> list[Queries]:
             vocabulary = np.unique(np.concatenate([
                 (np.uint64(k) << np.uint64(32)) | w.astype(np.uint64)
                 for k, (_, w, _) in enumerate(mine)]))
-            columns = np.zeros((len(mine), p.columns), bool)
+            columns = np.zeros((len(mine), p.columns + 1), bool)  # the last one is padding
             for k, (_, words, _) in enumerate(mine):
                 columns[k, words % p.columns] = True
             out.append(Queries([e[0] for e in mine], [e[1] for e in mine], [e[2] for e in mine],
@@ -280,7 +280,9 @@ def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
     padded = [np.concatenate([r, np.zeros(-len(r) % step, np.uint32)]) for r in rows]
     words = np.concatenate(padded)
     real = np.concatenate([np.arange(len(a)) < len(r) for a, r in zip(padded, rows, strict=True)])
-    vectors = space[words % p.columns] * real[:, None]
+    # padding has a column of its own that is zero in the space and in no item
+    column = np.where(real, words % p.columns, p.columns)
+    vectors = np.concatenate([space, np.zeros_like(space[:1])])[column]
     cells = vectors.reshape(-1, step, vectors.shape[1]).sum(1)
     cell_row = np.repeat(np.arange(len(rows)), [len(a) // step for a in padded])
     sums = cells.copy()
@@ -296,25 +298,25 @@ def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
     asked: dict[tuple[int, int, int], tuple[float, float]] = {}  # lcs and answer of a region
     for lo in range(0, len(sums), 4096):
         cosine = sums[lo:lo + 4096] @ q.vectors.T
-        cell, passage = np.nonzero(cosine >= p.min_cosine)
+        cell, passage = np.divmod(np.flatnonzero(cosine >= p.min_cosine), cosine.shape[1])
         if not len(cell):
             continue
         close = cosine[cell, passage]
         cell = cell + lo
         item = q.item[passage]
         at = cell[:, None] * step + np.arange(q.window)
-        inside = (at < len(words)) & (at < (begin[cell_row[cell] + 1] * step)[:, None])
+        inside = at < (begin[cell_row[cell] + 1] * step)[:, None]
         at = np.minimum(at, len(words) - 1)
         need = np.array([len(w) for w in q.words])[item]
         floor = p.min_common * np.minimum(q.window, need)
-        inside &= real[at]
         # columns hold every word of an item, so their count is a bound of the exact one
-        maybe = np.flatnonzero((q.columns[item[:, None], words[at] % p.columns] & inside).sum(1)
-                               >= floor)
+        maybe = np.flatnonzero(np.count_nonzero(
+            q.columns.take(item[:, None] * q.columns.shape[1] + column[at]) & inside, axis=1)
+            >= floor)
         key = ((item[maybe].astype(np.uint64)[:, None] << np.uint64(32))
                | words[at[maybe]].astype(np.uint64))
         place = np.minimum(np.searchsorted(q.vocabulary, key), len(q.vocabulary) - 1)
-        common = ((q.vocabulary[place] == key) & inside[maybe]).sum(1)
+        common = ((q.vocabulary[place] == key) & inside[maybe] & real[at[maybe]]).sum(1)
         for i in maybe[common >= floor[maybe]]:
             row, k = int(cell_row[cell[i]]), int(item[i])
             first = int(cell[i] - begin[row]) * step
