@@ -116,13 +116,13 @@ def _chunks(batch: pa.RecordBatch, at: int, limit: int = 200_000) -> Iterator[tu
         yield first, rows
 
 
-def _passages(rows: list[np.ndarray], p: LeakParams) -> tuple[np.ndarray, np.ndarray]:
-    """Columns of all words and the first word of each passage."""
-    size = np.array([len(r) for r in rows])
-    start = np.cumsum(size) - size
-    first = np.concatenate([np.arange(a, a + n, p.window) for a, n in zip(start, size,
-                                                                         strict=True)])
-    return np.concatenate(rows) % p.columns, first
+def _passages(rows: list[np.ndarray], p: LeakParams) -> np.ndarray:
+    """Columns of the words of each passage (a row), filled up with ``p.columns``."""
+    first = np.cumsum([0, *(-(-len(r) // p.window) * p.window for r in rows)])
+    out = np.full(first[-1], p.columns, np.min_scalar_type(p.columns))
+    for r, lo in zip(rows, first[:-1], strict=True):
+        out[lo:lo + len(r)] = r % p.columns
+    return out.reshape(-1, p.window)
 
 
 def _sum_by_column(words: DataFrame, share, width: int, p: LeakParams) -> np.ndarray:
@@ -153,30 +153,33 @@ def latent_space(words: DataFrame, p: LeakParams) -> np.ndarray:
     folded in by ``V / sigma``.
     """
 
+    width = p.columns + 1
+
     def frequency(total: np.ndarray, rows: list[np.ndarray]) -> None:
-        column, first = _passages(rows, p)
-        owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(column))))
-        distinct = np.unique(owner * p.columns + column) % p.columns
-        total[:, 0] += np.bincount(distinct, minlength=p.columns)
-        total[:, 1] += len(first) / p.columns
+        column = _passages(rows, p)
+        key = np.sort((np.arange(len(column))[:, None] * width + column).ravel())
+        distinct = key[np.diff(key, prepend=-1) > 0] % width
+        total[:, 0] += np.bincount(distinct, minlength=width)[:-1]
+        total[:, 1] += len(column) / p.columns
 
     seen = _sum_by_column(words, frequency, 2, p)
     n = max(seen[:, 1].sum(), 1.0)
     idf = np.log((n + 1) / (seen[:, 0] + 1)).astype(np.float32)
-    width = p.rank + p.extra
-    omega = np.random.default_rng(7).standard_normal((p.columns, width)).astype(np.float32)
-    scaled = idf[:, None] * omega
+    sketched = p.rank + p.extra
+    omega = np.random.default_rng(7).standard_normal((p.columns, sketched)).astype(np.float32)
+    scaled = np.concatenate([idf[:, None] * omega, np.zeros((1, sketched), np.float32)])
 
     def sketch(total: np.ndarray, rows: list[np.ndarray]) -> None:
-        column, first = _passages(rows, p)
-        z = np.add.reduceat(scaled[column], first, axis=0)  # rows of A Omega
-        owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(column))))
-        order = np.argsort(column.astype(np.uint16), kind="stable")
-        column = column[order]
-        begins = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]]))
-        total[column[begins]] += np.add.reduceat(z[owner[order]], begins, axis=0)
-
-    y = idf[:, None] * _sum_by_column(words, sketch, width, p)
+        passages = _passages(rows, p)
+        z = scaled[passages].sum(1)  # rows of A Omega
+        order = np.argsort(passages.ravel(), kind="stable")
+        column = passages.ravel()[order]
+        real = np.searchsorted(column, p.columns)
+        column, order = column[:real], order[:real]
+        begins = np.flatnonzero(np.diff(column.astype(np.int64), prepend=-1))
+        total[column[begins]] += np.add.reduceat(z[order // p.window], begins, axis=0)
+
+    y = idf[:, None] * _sum_by_column(words, sketch, sketched, p)
     q, r = np.linalg.qr(y)
     core = np.linalg.pinv((omega.T @ y + y.T @ omega) / 2, rcond=1e-10, hermitian=True)
     values, vectors = np.linalg.eigh(r @ core @ r.T)
