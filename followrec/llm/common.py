@@ -73,6 +73,25 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             return labels
 
 
+def maybe_among(rows: DataFrame, keys: DataFrame, on: list[str], bits: int = 1 << 24) -> DataFrame:
+    """Rows of ``rows`` without those whose columns ``on`` surely match no row of ``keys``.
+
+    Every key sets one of ``bits`` bits, map-side; the bitmap has ``bits`` / 8 bytes (2 MB)
+    whatever the number of keys and is broadcast. A wrong bit lets a row through, so a
+    join must follow; it drops no match. ``rows`` has no columns of the names added here.
+    """
+    at = F.pmod(F.xxhash64(*on), F.lit(bits)) + 1
+    bitmap = (keys.groupBy(F.bitmap_bucket_number(at).alias("_bucket"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("_bits")))
+    byte = F.substring("_bits", (F.floor(F.col("_bit") / 8) + 1).cast("int"), F.lit(1))
+    return (rows.withColumns({"_bucket": F.bitmap_bucket_number(at),
+                              "_bit": F.bitmap_bit_position(at)})
+            .join(F.broadcast(bitmap), "_bucket")
+            .where(F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"),
+                            (F.col("_bit") % 8).cast("int")) == 1)
+            .drop("_bucket", "_bit", "_bits"))
+
+
 #: A key that holds more than this share of all rows is joined by a broadcast of its group.
 HOT_SHARE = 1000
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from followrec.llm.common import components, stage
+from followrec.llm.common import components, maybe_among, stage
 from followrec.llm.textvec import LOWER, RangeHash, Texts, gram, mix64, slices, words_of
 
 
@@ -266,8 +266,10 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame,
                     [rows.column(0), pa.array(sets, pa.list_(pa.int64()))], ["sig", "items"])
 
     used = pairs.select("sig").union(pairs.select("lead")).distinct()
-    reps = classes.join(used, "sig").select("sig", "rep.doc_id", "rep.text_key")
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    reps = stage(classes.join(used, "sig").select("sig", "rep.doc_id", "rep.text_key"), "reps")
+    # texts of classes in no pair stay where they are
+    rows = maybe_among(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")),
+                       reps, ["doc_id", "text_key"])
     full = (rows.join(reps, rows.doc_id.eqNullSafe(reps.doc_id)
                       & (rows.text_key == reps.text_key))
             # a representative row may be repeated
@@ -383,7 +385,7 @@ def without_near_duplicates(docs: DataFrame, p: SketchParams = SketchParams()) -
     """One row of ``docs`` of each component, and every row with an empty set.
 
     Of several rows with the component's least id (or without any id) one text is
-    taken, and of rows with equal id and text any one.
+    taken, and of rows with equal id and text any one. Columns may have any name.
     """
     kept = (_labelled(docs, p).where("kept")
             .groupBy(F.col("doc_id").alias("d"), "text_key", "comp")
@@ -394,10 +396,12 @@ def without_near_duplicates(docs: DataFrame, p: SketchParams = SketchParams()) -
            .agg(F.min_by(key, "text_key").alias("k")).select("k.*"))
     alone = kept.where("comp is null").select("d", "text_key", F.lit(False).alias("many"))
     kept = stage(one.unionByName(alone), "kept")
-    found = docs.join(kept, docs.doc_id.eqNullSafe(kept.d)
-                      & (F.xxhash64(docs.text) == kept.text_key))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"))
+    found = rows.join(kept, F.col("id").eqNullSafe(F.col("d"))
+                      & (F.col("key") == F.col("text_key")))
     several = found.where("many").dropDuplicates(["d", "text_key"])
-    return found.where("not many").select(docs.columns).unionByName(several.select(docs.columns))
+    return found.where("not many").select("row.*").unionByName(several.select("row.*"))
 
 
 def _labelled(docs: DataFrame, p: SketchParams) -> DataFrame:
