@@ -7,11 +7,14 @@ with fewer than ``min_pages`` pages keep all lines, since a ratio of a few pages
 says nothing. Rows with a null host are one host; a null text has no lines and
 stays null.
 
-With ``distinct`` the copies of a page (equal whole texts) of one host count as
-one page, in the line's count and in the host's: copies are no evidence of
-boilerplate, and a group of them would else lose its lines in every copy, the one
-to be kept included. ``least`` is the number of pages that a line must stand on
-whatever the ratio says.
+With ``distinct`` the copies and near copies of a page count as one page of their
+host, in the line's count and in the host's: they are no evidence of boilerplate,
+and a group of them would else lose its lines in every copy, the one to be kept
+included. Pages are told apart by the least hash of their five-word shingles, which
+two pages share with the probability of their similarity: exact copies are always
+one, and of near copies of similarity s to the first about 1 - s count again.
+``least`` is the number of pages that a line must stand on whatever the ratio says.
+Texts are hashed whole, in slices of about 1 MB or one longer text.
 
 Counting is map-side aggregated, so neither a large host nor a common line is
 ever gathered. The lines dropped for one host number at most the distinct lines
@@ -21,12 +24,17 @@ second pass looks them up in.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from followrec.llm.common import stage
+from followrec.llm.setsketch import shingle_sets
+from followrec.llm.textvec import mix64, slices
 
 
 @dataclass(frozen=True)
@@ -34,7 +42,8 @@ class SiteParams:
     max_ratio: float = 0.1
     min_pages: int = 10
     least: int = 1  # pages with the line
-    distinct: bool = False  # copies of a page count once
+    distinct: bool = False  # copies and near copies of a page count once
+    words: int = 5  # of a shingle
 
 
 def host_of(url: Column) -> Column:
@@ -55,12 +64,26 @@ def _key(line: Column) -> Column:
     return F.when(bare != "", F.unhex(F.md5(bare)))
 
 
+def with_page(pages: DataFrame, words: int) -> DataFrame:
+    """host, text, page: the least hash of the page's shingles, 0 for a page without words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, texts in slices(batch):
+                page = [int(mix64(s).min()) if len(s) else 0 for s in shingle_sets(texts, words)]
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(np.array(page, np.uint64).view(np.int64))],
+                    ["host", "text", "page"])
+
+    return (pages.select(F.col("host").cast("string"), "text")
+            .mapInArrow(run, "host string, text string, page bigint"))
+
+
 def boilerplate(pages: DataFrame, p: SiteParams = SiteParams()) -> DataFrame:
     """(host, drop) per host with boilerplate lines in ``pages(host, text)``."""
-    # null texts are one page too
-    page = F.coalesce(F.unhex(F.md5("text")), F.lit(b"")) if p.distinct else F.lit(1)
     count = (F.count_distinct if p.distinct else F.count)(F.col("page"))
-    pages = pages.withColumn("page", page)
+    pages = (stage(with_page(pages, p.words), "site-pages") if p.distinct
+             else pages.withColumn("page", F.lit(1)))
     total = pages.groupBy("host").agg(count.alias("pages"))
     keys = F.array_distinct(F.transform(F.split("text", "\n"), _key))
     seen = (pages.select("host", "page", F.explode(keys).alias("key")).where("key is not null")
