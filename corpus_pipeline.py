@@ -20,23 +20,35 @@ from followrec.llm.setsketch import SketchParams, without_near_duplicates
 NEAR = SketchParams(percent=80, bands=35, near=0.1, maybe=0.62)
 
 
+#: Columns that the stages read.
+DOCUMENTS = {"doc_id", "text", "lang", "source", "n_chars"}
+
+
+def _set_aside(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with all other columns under names that no operator adds, and these names."""
+    names = [c if c in DOCUMENTS else f"aside_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), names
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts."""
+    """Documents that the classifier accepts, with all their columns as they were."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    scored = nbsvm.score_documents(docs, labels)
-    return scored.where("predicted = 1").select(docs.columns)
+    rows, names = _set_aside(docs)
+    scored = nbsvm.score_documents(rows, labels)
+    return scored.where("predicted = 1").select(names).toDF(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that are boilerplate of their source.
 
-    Copies count once and a line must stand on three different documents, so that
-    copies reach the next stage whole.
+    Copies and near copies count once and a line must stand on three different
+    documents, so that they reach the next stage whole.
     """
-    cleaned = sitelines.drop_site_lines(docs, F.col("source"),
+    rows, names = _set_aside(docs)
+    cleaned = sitelines.drop_site_lines(rows, F.col("source"),
                                         p=sitelines.SiteParams(least=3, distinct=True))
     return (cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-            .select(docs.columns))
+            .select(names).toDF(*docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,6 +79,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all stages over ``documents``: doc_id, size, source_size, target, taken.
+
+    Null and empty texts are scored like others and, where the classifier keeps them, pass
+    every later stage: they have no lines, near copies or benchmark items, and a size of 0.
+    Of repeated rows one stays. Long texts are read whole. Further columns, whatever their
+    names, come through all stages but the last unchanged. Empty tables give no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
