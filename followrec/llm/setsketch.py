@@ -164,8 +164,9 @@ def sketches(docs: DataFrame, p: SketchParams) -> DataFrame:
 
 def _estimates(pairs: DataFrame, classes: DataFrame, p: SketchParams) -> DataFrame:
     """Adds ``est`` to pairs (lead, sig) from the registers of both classes."""
-    c = classes.select("sig", "regs", F.col("n_shingles").alias("n"))
-    both = (pairs.join(c, "sig")
+    used = pairs.select("sig").union(pairs.select("lead"))
+    c = maybe_among(classes.select("sig", "regs", F.col("n_shingles").alias("n")), used, ["sig"])
+    both = (pairs.distinct().join(c, "sig")
             .join(c.select(F.col("sig").alias("lead"), F.col("regs").alias("lead_regs"),
                            F.col("n").alias("lead_n")), "lead"))
 
@@ -210,8 +211,8 @@ def far_pairs(far: DataFrame, classes: DataFrame, p: SketchParams) -> DataFrame:
     Members are cut into blocks of bounded size and every two blocks of a bucket
     are compared; only pairs that may be linked leave a task.
     """
-    rows = far.drop("n").join(
-        classes.select("sig", "regs", F.col("n_shingles").alias("n")), "sig")
+    regs = maybe_among(classes.select("sig", "regs", F.col("n_shingles").alias("n")), far, ["sig"])
+    rows = far.drop("n").join(regs, "sig")
     blocks = F.ceil(F.col("n_far") / p.block).cast("int")
     rows = (rows.withColumn("block", F.pmod(F.xxhash64("sig"), blocks).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -234,8 +235,11 @@ def star_pairs(classes: DataFrame, p: SketchParams) -> tuple[DataFrame, DataFram
     while True:
         lead = members.groupBy("bucket", "depth").agg(
             F.min("sig").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        star = stage(members.drop("depth").join(lead, "bucket").where("sig <> lead"), "star")
-        est = stage(_estimates(star.select("lead", "sig").distinct(), classes, p), "est")
+        lead = stage(lead, "leads")
+        # most buckets have one member, which needs no shuffle to meet nobody
+        shared = maybe_among(members.drop("depth"), lead, ["bucket"])
+        star = stage(shared.join(lead, "bucket").where("sig <> lead"), "star")
+        est = stage(_estimates(star.select("lead", "sig"), classes, p), "est")
         star = star.join(est, ["lead", "sig"])
         near = star.where(F.col("est") >= p.near).select("bucket", "depth", "lead", "sig")
         found = est.where(F.col("est") >= p.near).select("lead", "sig")
@@ -265,8 +269,11 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame,
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array(sets, pa.list_(pa.int64()))], ["sig", "items"])
 
-    used = pairs.select("sig").union(pairs.select("lead")).distinct()
-    reps = stage(classes.join(used, "sig").select("sig", "rep.doc_id", "rep.text_key"), "reps")
+    # every lead also meets its own set, as the row that its members are compared with
+    wanted = pairs.select("lead", "sig").union(
+        pairs.select("lead", F.col("lead").alias("sig")).distinct())
+    used = wanted.select("sig").distinct()
+    reps = stage(maybe_among(classes, used, ["sig"]).join(used, "sig").select("sig", "rep.doc_id", "rep.text_key"), "reps")
     # texts of classes in no pair stay where they are
     rows = maybe_among(docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")),
                        reps, ["doc_id", "text_key"])
@@ -275,9 +282,9 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame,
             # a representative row may be repeated
             .select("sig", "text").dropDuplicates(["sig"])
             .mapInArrow(run, "sig binary, items array<bigint>"))
-    full = stage(full, "sets")
-    lead = full.select(F.col("sig").alias("lead"), F.col("items").alias("lead_items"))
-    return (pairs.join(full, "sig").join(lead, "lead")
+    full = stage(wanted.join(full, "sig"), "sets")
+    lead = full.where("sig = lead").select("lead", F.col("items").alias("lead_items"))
+    return (full.where("sig <> lead").join(lead, "lead")
             .select("lead", "sig", F.size("lead_items").alias("lead_n"), F.size("items").alias("n"),
                     F.concat(F.array_except("items", "lead_items"),
                              F.array_except("lead_items", "items")).alias("delta")))
