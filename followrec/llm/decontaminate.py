@@ -299,8 +299,8 @@ def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
     begin = np.concatenate([[0], np.cumsum([len(a) // step for a in padded])])
     best: dict[tuple[int, int], tuple] = {}
     asked: dict[tuple[int, int, int], tuple[float, float]] = {}  # lcs and answer of a region
-    for lo in range(0, len(sums), 4096):
-        cosine = sums[lo:lo + 4096] @ q.vectors.T
+    for lo in range(0, len(sums), 512):
+        cosine = sums[lo:lo + 512] @ q.vectors.T
         cell, passage = np.divmod(np.flatnonzero(cosine >= p.min_cosine), cosine.shape[1])
         if not len(cell):
             continue
