@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +93,42 @@ def maybe_among(rows: DataFrame, keys: DataFrame, on: list[str], bits: int = 1 <
             .drop("_bucket", "_bit", "_bits"))
 
 
+def marked_among(rows: DataFrame, keys: DataFrame, on: list[str], name: str,
+                 bits: int = 1 << 24) -> DataFrame:
+    """``rows`` with a column ``name``: false if ``on`` surely matches no row of ``keys``.
+
+    As :func:`maybe_among`, but no row is left out. Equal keys get equal marks.
+    """
+    at = F.pmod(F.xxhash64(*on), F.lit(bits)) + 1
+    bitmap = (keys.groupBy(F.bitmap_bucket_number(at).alias("_bucket"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("_bits")))
+    byte = F.substring("_bits", (F.floor(F.col("_bit") / 8) + 1).cast("int"), F.lit(1))
+    mark = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (F.col("_bit") % 8).cast("int")) == 1
+    return (rows.withColumns({"_bucket": F.bitmap_bucket_number(at),
+                              "_bit": F.bitmap_bit_position(at)})
+            .join(F.broadcast(bitmap), "_bucket", "left")
+            .withColumn(name, F.coalesce(mark, F.lit(False)))
+            .drop("_bucket", "_bit", "_bits"))
+
+
+def bitmap_of(rows: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Bitmap of the lowest bits of a bigint column (``bits``, a power of two, / 8 bytes)."""
+    at = F.pmod(F.col(column), F.lit(bits)) + 1
+    parts = rows.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
+    size = len(parts[0].bits) if parts else 1
+    out = np.zeros((max(bits // 8 // size, 1), size), np.uint8)
+    for part in parts:  # at most bits / 8 bytes together
+        out[part.b - 1] = np.frombuffer(part.bits, np.uint8)
+    return out.ravel()
+
+
+def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether the lowest bits of each value are set in a bitmap of :func:`bitmap_of`."""
+    at = values.astype(np.int64) & (len(bitmap) * 8 - 1)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 #: A key that holds more than this share of all rows is joined by a broadcast of its group.
 HOT_SHARE = 1000
 

@@ -4,14 +4,18 @@ Every byte covered by a string of ``length`` bytes that also starts anywhere
 else, in the same document or another, is removed; overlaps count, and all
 strings are judged on the input.
 
-1. The *anchor* of a string is the position of its least 16-byte hash (the
+1. The *anchor* of a string is the position of its least 64-byte hash (the
    leftmost one on a tie). It depends on the string alone, so equal strings have
    equal anchors at equal distances. Runs of strings with one anchor form a
-   segment. Spark counts equal segments: all strings of a segment that occurs
-   twice are repeats, which settles whole copies without looking at them.
-2. Different segments with the same anchor are cut into pieces: the strings
-   whose anchor is at one of ``PIECE`` neighbouring distances share a core, and
-   differ in fewer than ``PIECE`` bytes at either side. Pieces with equal cores
+   segment. Anchors that occur once are done. Of the others Spark counts equal
+   segments: all strings of a segment that occurs twice are repeats, which settles
+   whole copies without looking at them.
+2. Different segments with the same anchor are cut into pieces in a second scan of
+   the texts, which never leave the tasks that read them: one occurrence of each such
+   segment is let through by a bitmap of fixed size. (An occurrence let through by
+   chance changes nothing: its pieces are true strings at places of their own.) The
+   strings whose anchor is at one of ``PIECE`` neighbouring distances share a core,
+   and differ in fewer than ``PIECE`` bytes at either side. Pieces with equal cores
    meet in one task, many small groups to a block.
 3. A block is one text: left bytes, one symbol for the core, right bytes, a
    separator, piece by piece. Its suffix array is built without recursive
@@ -19,6 +23,7 @@ strings are judged on the input.
    in ``PIECE`` symbols with a neighbour in the array.
 4. Cores with more pieces than a block takes are settled exactly by counting the
    hashes of their strings, aggregated map-side.
+5. Only texts with a repeat are shuffled, to meet their ranges.
 
 Null texts are empty. Rows with equal id and text get equal results and count as
 two places. Hashes have 64 bits, and equal strings are always judged by two of
@@ -35,12 +40,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from followrec.llm.common import stage
+from followrec.llm.common import bitmap_of, in_bitmap, marked_among, maybe_among, stage
 from followrec.llm.textvec import RangeHash, Texts, mix64, slices
 
 LENGTH = 400
-GRAM = 16
+GRAM = 64
 PIECE = 32
+#: Bits of every bitmap (8 MiB), whatever the size of the input.
+BITS = 1 << 26
 #: Pieces of one block; larger groups are settled by counting.
 BLOCK = 2_000
 
@@ -137,7 +144,9 @@ def segments_of(buf: np.ndarray, grams: np.ndarray, ranged: RangeHash, lo: int,
     at = anchors(grams[lo:hi - GRAM + 1], LENGTH - GRAM + 1)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     last = np.append(first[1:], len(at)) - 1
-    return (grams[lo + at[first]], ranged(lo + first, lo + last + LENGTH), first, last, at[first])
+    lead = (at[first] - first).astype(np.uint64)
+    return (grams[lo + at[first]], mix64(ranged(lo + first, lo + last + LENGTH) + lead), first,
+            last, at[first])
 
 
 def _gram_hashes(texts: Texts, ranged: RangeHash) -> np.ndarray:
@@ -145,77 +154,106 @@ def _gram_hashes(texts: Texts, ranged: RangeHash) -> np.ndarray:
     return ranged(i, i + GRAM)
 
 
+def _slice_segments(texts: Texts, ranged: RangeHash) -> list[np.ndarray] | None:
+    """Segments of a slice of texts, with the text of each in front."""
+    grams = _gram_hashes(texts, ranged)
+    found, owner = [], []
+    for i in range(len(texts)):
+        lo, hi = int(texts.offs[i]), int(texts.offs[i + 1])
+        if hi - lo >= LENGTH:
+            found.append(segments_of(texts.buf, grams, ranged, lo, hi))
+            owner.append(np.full(len(found[-1][0]), i))
+    if not found:
+        return None
+    return [np.concatenate(owner), *map(np.concatenate, zip(*found, strict=True))]
+
+
+#: Multiplier of a position inside a row's hash; positions have fewer than 31 bits.
+_PLACE = 2654435761
+
+
 def segments(docs: DataFrame) -> DataFrame:
-    """Segments of all texts: doc_id, text_key, anchor, segment, first, last, at."""
+    """Segments of all texts: doc_id, text_key, row, anchor, segment, first, more.
+
+    ``docs`` has doc_id, text_key, row (a hash of both) and text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in slices(batch):
-                ranged = RangeHash(texts.buf)
-                grams = _gram_hashes(texts, ranged)
-                found, owner = [], []
-                for i in range(len(texts)):
-                    lo, hi = int(texts.offs[i]), int(texts.offs[i + 1])
-                    if hi - lo >= LENGTH:
-                        found.append(segments_of(texts.buf, grams, ranged, lo, hi))
-                        owner.append(np.full(len(found[-1][0]), i))
-                if not found:
+                found = _slice_segments(texts, RangeHash(texts.buf))
+                if found is None:
                     continue
-                row = pa.array(np.concatenate(owner))
-                anchor, seg, first, last, at = map(np.concatenate, zip(*found, strict=True))
+                owner, anchor, seg, first, last, _ = found
+                row = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).take(row), rows.column(1).take(row),
+                    [*(rows.column(k).take(row) for k in range(3)),
                      pa.array(anchor.view(np.int64)), pa.array(seg.view(np.int64)),
-                     *(pa.array(x.astype(np.int64)) for x in (first, last, at))],
-                    ["doc_id", "text_key", "anchor", "segment", "first", "last", "at"])
+                     pa.array(first.astype(np.int32)), pa.array((last - first).astype(np.int32))],
+                    ["doc_id", "text_key", "row", "anchor", "segment", "first", "more"])
 
-    return docs.select("doc_id", "text_key", "text").mapInArrow(
-        run, "doc_id bigint, text_key bigint, anchor bigint, segment bigint, first bigint, "
-             "last bigint, at bigint")
+    return docs.select("doc_id", "text_key", "row", "text").mapInArrow(
+        run, "doc_id bigint, text_key bigint, row bigint, anchor bigint, segment bigint, "
+             "first int, more int")
 
 
 def pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Pieces of ``wanted`` segments (doc_id, text_key, cuts of anchor, first, last, at, single).
+    """Pieces of the segments at the places ``wanted(place, single)``.
 
     Rows: anchor, core (hash), left and right bytes, the strings it covers as a
-    range of bytes taken from the left, and where the first string starts.
+    range of bytes taken from the left, and where the first string starts. A task
+    cuts equal places (repeated rows) once, unless the segment is single.
     """
+    spark = docs.sparkSession
+    every = spark.sparkContext.broadcast(bitmap_of(wanted, "place", BITS))
+    alone = spark.sparkContext.broadcast(bitmap_of(wanted.where("single"), "place", BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            out: list[list] = [[] for _ in range(10)]
             for rows, texts in slices(batch):
                 ranged = RangeHash(texts.buf)
+                found = _slice_segments(texts, ranged)
+                if found is None:
+                    continue
+                owner, anchor, _, first, last, at = found
+                place = rows.column(2).to_numpy()[owner] ^ (first * _PLACE)
+                hit = np.flatnonzero(in_bitmap(every.value, place))
+                single = in_bitmap(alone.value, place)
                 ids, keys = rows.column(0).to_pylist(), rows.column(1).to_pylist()
-                for i, cuts in enumerate(rows.column(3).to_pylist()):
-                    lo, text = int(texts.offs[i]), texts.bytes_of(i)
-                    for c in cuts:
-                        a, i0, i1 = c["at"], c["first"], c["last"]
-                        p = np.arange((a - i1) // PIECE, (a - i0) // PIECE + 1)
-                        begin = a - PIECE * p  # first byte of the core
-                        end = begin - (PIECE - 1) + LENGTH
-                        core = mix64(ranged(lo + begin, lo + end) + p.astype(np.uint64))
-                        for b, e, h in zip(begin.tolist(), end.tolist(),
-                                           core.view(np.int64).tolist(), strict=True):
-                            start = max(i0, b - PIECE + 1)
-                            stop = min(i1, b)
-                            for column, value in zip(out, (
-                                    ids[i], keys[i], c["anchor"], h, c["single"],
-                                    text[start:b], text[e:stop + LENGTH], b - stop, b - start, b),
-                                    strict=True):
-                                column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(),
-                     pa.binary(), pa.int32(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(out, kinds, strict=True)],
-                ["doc_id", "text_key", "anchor", "core", "single", "lhs", "rhs", "fewest", "most",
-                 "begin"])
+                out: list[list] = [[] for _ in range(10)]
+                for k in hit.tolist():
+                    if not single[k]:
+                        if int(place[k]) in seen:
+                            continue
+                        seen.add(int(place[k]))
+                    i, a, i0, i1 = int(owner[k]), int(at[k]), int(first[k]), int(last[k])
+                    lo, hi = int(texts.offs[i]), int(texts.offs[i + 1])
+                    p = np.arange((a - i1) // PIECE, (a - i0) // PIECE + 1)
+                    begin = a - PIECE * p  # first byte of the core
+                    end = begin - (PIECE - 1) + LENGTH
+                    core = mix64(ranged(lo + begin, lo + end) + p.astype(np.uint64))
+                    part = texts.buf[lo + i0:min(lo + i1 + LENGTH, hi)].tobytes()
+                    for b, e, h in zip(begin.tolist(), end.tolist(),
+                                       core.view(np.int64).tolist(), strict=True):
+                        start = max(i0, b - PIECE + 1)
+                        stop = min(i1, b)
+                        for column, value in zip(out, (
+                                ids[i], keys[i], int(anchor[k].view(np.int64)), h,
+                                bool(single[k]), part[start - i0:b - i0],
+                                part[e - i0:stop + LENGTH - i0], b - stop, b - start, b),
+                                strict=True):
+                            column.append(value)
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(),
+                         pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, t) for v, t in zip(out, kinds, strict=True)],
+                    ["doc_id", "text_key", "anchor", "core", "single", "lhs", "rhs", "fewest",
+                     "most", "begin"])
 
-    rows = docs.join(wanted.withColumnsRenamed({"doc_id": "d", "text_key": "k"}),
-                     docs.doc_id.eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
-    return rows.select("doc_id", "text_key", "text", "cuts").mapInArrow(
+    return docs.select("doc_id", "text_key", "row", "text").mapInArrow(
         run, "doc_id bigint, text_key bigint, anchor bigint, core bigint, single boolean, "
-             "lhs binary, rhs binary, fewest int, most int, begin bigint")
+             "lhs binary, rhs binary, fewest int, most int, begin int")
 
 
 def repeated_in_block(cores: np.ndarray, left: list[bytes], right: list[bytes],
@@ -256,7 +294,7 @@ def repeated_in_block(cores: np.ndarray, left: list[bytes], right: list[bytes],
     return out
 
 
-_FOUND = "doc_id bigint, text_key bigint, begin bigint, strings bigint"
+_FOUND = "doc_id bigint, text_key bigint, begin int, strings bigint"
 
 
 def repeats_by_suffix_array(rows: DataFrame) -> DataFrame:
@@ -315,50 +353,47 @@ def repeats_by_count(rows: DataFrame) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, first, last): runs of starts of repeated strings."""
+    """(doc_id, text_key, first, last, strings): starts of repeated strings.
+
+    They are ``first`` to ``last``, or if ``strings`` is not 0, ``first`` - x for every
+    bit x of it.
+    """
     found = stage(segments(docs), "segments")
-    same = ["anchor", "segment", (F.col("at") - F.col("first")).alias("lead"),
-            (F.col("last") - F.col("first")).alias("more")]
-    found = found.select("*", *same[2:])
-    distinct = stage(found.groupBy("anchor", "segment", "lead", "more").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.struct("doc_id", "text_key", "first")).alias("one")), "distinct")
-    copied = (found.join(distinct.where("n > 1").select("anchor", "segment", "lead", "more"),
-                         ["anchor", "segment", "lead", "more"])
-              .select("doc_id", "text_key", "first", "last"))
-    shared = stage(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
-                   .where("kinds > 1").select("anchor"), "shared")
-    cut = F.struct("anchor", F.col("one.first").alias("first"),
-                   (F.col("one.first") + F.col("more")).alias("last"),
-                   (F.col("one.first") + F.col("lead")).alias("at"),
-                   (F.col("n") == 1).alias("single"))
-    wanted = (distinct.join(shared, "anchor")
-              .groupBy(F.col("one.doc_id").alias("doc_id"),
-                       F.col("one.text_key").alias("text_key"))
-              .agg(F.collect_list(cut).alias("cuts")))
+    often = stage(found.groupBy("anchor").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("segment") < F.max("segment")).alias("shared"))
+        .where("n > 1").drop("n"), "anchors")
+    place = F.col("row").bitwiseXOR(F.col("first").cast("long") * _PLACE)
+    kinds = stage(maybe_among(found, often, ["anchor"], BITS).groupBy("anchor", "segment").agg(
+        F.count(F.lit(1)).alias("n"), F.min(place).alias("place")), "kinds")
+    twice = kinds.where("n > 1").select("anchor", "segment")
+    copied = (maybe_among(found, twice, ["anchor", "segment"], BITS)
+              .join(twice, ["anchor", "segment"])
+              .select("doc_id", "text_key", "first", (F.col("first") + F.col("more")).alias("last"),
+                      F.lit(0).cast("long").alias("strings")))
+    wanted = (maybe_among(kinds, often.where("shared"), ["anchor"], BITS)
+              .select("place", (F.col("n") == 1).alias("single")))
     part = stage(pieces(docs, wanted), "pieces")
     per = stage(part.groupBy("anchor", "core").agg(
         F.count(F.lit(1)).alias("n"), F.max("single").alias("any")).where("n > 1 and any")
         .drop("any"), "cores")
-    part = part.join(per, ["anchor", "core"])
-    strings = repeats_by_suffix_array(part.where(F.col("n") <= BLOCK).drop("n"))
-    crowded = part.where(F.col("n") > BLOCK).drop("n")
+    part = marked_among(maybe_among(part, per, ["anchor", "core"], BITS),
+                        per.where(F.col("n") > BLOCK), ["anchor", "core"], "crowded", BITS)
+    strings = repeats_by_suffix_array(part.where("not crowded").drop("crowded"))
     if not per.where(F.col("n") > BLOCK).isEmpty():
-        strings = strings.unionByName(repeats_by_count(crowded))
-    runs = strings.select("doc_id", "text_key", F.explode(F.filter(
-        F.transform(F.sequence(F.lit(0), F.lit(PIECE - 1)),
-                    lambda x: F.when(F.getbit("strings", x) == 1, F.col("begin") - x)),
-        lambda x: x.isNotNull())).alias("first"))
-    return copied.unionByName(runs.withColumn("last", F.col("first")))
+        strings = strings.unionByName(repeats_by_count(part.where("crowded").drop("crowded")))
+    return copied.unionByName(strings.select(
+        "doc_id", "text_key", F.col("begin").alias("first"), F.col("begin").alias("last"),
+        "strings"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 per row of ``docs(doc_id, text)``."""
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_key"),
+                       F.xxhash64("doc_id", "text").alias("row"),
                        F.coalesce("text", F.lit("")).alias("text"))
     ranges = (repeated_ranges(docs).groupBy("doc_id", "text_key")
-              .agg(F.collect_list(F.struct("first", "last")).alias("ranges")))
-    ranges = stage(ranges, "ranges").withColumnsRenamed({"doc_id": "d", "text_key": "k"})
+              .agg(F.collect_list(F.struct("first", "last", "strings")).alias("ranges")))
+    ranges = stage(ranges, "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -369,8 +404,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 gone = np.zeros(len(data) + 1, np.int32)
                 if cuts.is_valid:
                     flat = cuts.values
-                    np.add.at(gone, flat.field("first").to_numpy(), 1)
-                    np.add.at(gone, flat.field("last").to_numpy() + LENGTH, -1)
+                    first, last, strings = (flat.field(c).to_numpy()
+                                            for c in ("first", "last", "strings"))
+                    whole = strings == 0
+                    k, x = np.nonzero(strings[:, None] >> np.arange(PIECE) & 1)
+                    start = np.concatenate([first[whole], first[k] - x])
+                    stop = np.concatenate([last[whole], first[k] - x]) + LENGTH
+                    np.add.at(gone, start, 1)
+                    np.add.at(gone, stop, -1)
                 gone = np.cumsum(gone)[:-1] > 0
                 size.append(len(data))
                 removed.append(int(gone.sum()))
@@ -381,8 +422,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                  pa.array(digest, pa.string())],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return (docs.join(ranges, docs.doc_id.eqNullSafe(F.col("d"))
-                      & (F.col("text_key") == F.col("k")), "left")
+    docs = marked_among(docs.drop("row"), ranges, ["doc_id", "text_key"], "repeats", BITS)
+    met = ranges.withColumnsRenamed({"doc_id": "d", "text_key": "k"})
+    return (docs.where("repeats")
+            .join(met, docs.doc_id.eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")),
+                  "left")
             .select("doc_id", "text", "ranges")
+            .unionByName(docs.where("not repeats").select("doc_id", "text"),
+                         allowMissingColumns=True)
             .mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
                              "kept_sha256 string"))
