@@ -40,7 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from followrec.llm.common import bitmap_of, in_bitmap, marked_among, maybe_among, stage
+from followrec.llm.common import (bitmap_of, in_bitmap, join_groups, marked_among, maybe_among,
+                                  stage)
 from followrec.llm.textvec import RangeHash, Texts, mix64, slices
 
 LENGTH = 400
@@ -365,9 +366,9 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     place = F.col("row").bitwiseXOR(F.col("first").cast("long") * _PLACE)
     kinds = stage(maybe_among(found, often, ["anchor"], BITS).groupBy("anchor", "segment").agg(
         F.count(F.lit(1)).alias("n"), F.min(place).alias("place")), "kinds")
-    twice = kinds.where("n > 1").select("anchor", "segment")
-    copied = (maybe_among(found, twice, ["anchor", "segment"], BITS)
-              .join(twice, ["anchor", "segment"])
+    twice = kinds.where("n > 1").select("anchor", "segment", "n")
+    copied = (join_groups(maybe_among(found, twice, ["anchor", "segment"], BITS), twice,
+                          ["anchor", "segment"], "n", found.count())
               .select("doc_id", "text_key", "first", (F.col("first") + F.col("more")).alias("last"),
                       F.lit(0).cast("long").alias("strings")))
     wanted = (maybe_among(kinds, often.where("shared"), ["anchor"], BITS)
