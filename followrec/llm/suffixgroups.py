@@ -333,7 +333,9 @@ def repeats_by_suffix_array(rows: DataFrame) -> DataFrame:
                 "strings", pa.array(found)).filter(keep)
             yield from out.to_batches()
 
-    return (rows.repartition("anchor", "core").sortWithinPartitions("anchor", "core")
+    # a stated number: suffix arrays cost far more than their bytes, so tasks are not merged
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.repartition(parts, "anchor", "core").sortWithinPartitions("anchor", "core")
             .mapInArrow(run, _FOUND))
 
 
