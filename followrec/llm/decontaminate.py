@@ -201,6 +201,8 @@ class Queries:
     vectors: np.ndarray
     vocabulary: np.ndarray  # (item << 32 | word), sorted
     columns: np.ndarray  # (item, column): the item has a word of that column
+    slots: np.ndarray  # (item, column): the column's number in the item, from 1; 0 for none
+    times: list[np.ndarray]  # how often each numbered column stands in the item
     masks: list[dict[int, int]]  # of each item and of each answer, as lcs takes them
     answer_masks: list[dict[int, int]]
     window: int
@@ -235,12 +237,16 @@ def queries_of(items: list, space: np.ndarray, p: LeakParams) -> list[Queries]:
             vocabulary = np.unique(np.concatenate([
                 (np.uint64(k) << np.uint64(32)) | w.astype(np.uint64)
                 for k, (_, w, _) in enumerate(mine)]))
-            columns = np.zeros((len(mine), p.columns + 1), bool)  # the last one is padding
+            slots = np.zeros((len(mine), p.columns + 1), np.int32)  # the last one is padding
+            times = []
             for k, (_, words, _) in enumerate(mine):
-                columns[k, words % p.columns] = True
+                used, n = np.unique(words % p.columns, return_counts=True)
+                slots[k, used] = np.arange(1, len(used) + 1)
+                times.append(n)
             out.append(Queries([e[0] for e in mine], [e[1] for e in mine], [e[2] for e in mine],
                                np.array(item), np.array(offset), _unit(np.array(vectors)),
-                               vocabulary, columns, [places(e[1]) for e in mine],
+                               vocabulary, slots > 0, slots, times,
+                               [places(e[1]) for e in mine],
                                [places(e[2]) for e in mine], window))
     return out
 
@@ -297,6 +303,8 @@ def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
         sums += more
     sums = _unit(sums)
     begin = np.concatenate([[0], np.cumsum([len(a) // step for a in padded])])
+    size = np.array([len(r) for r in rows])
+    lengths = np.array([len(w) for w in q.words])
     best: dict[tuple[int, int], tuple] = {}
     asked: dict[tuple[int, int, int], tuple[float, float]] = {}  # lcs and answer of a region
     for lo in range(0, len(sums), 512):
@@ -310,7 +318,7 @@ def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
         at = cell[:, None] * step + np.arange(q.window)
         inside = at < (begin[cell_row[cell] + 1] * step)[:, None]
         at = np.minimum(at, len(words) - 1)
-        need = np.array([len(w) for w in q.words])[item]
+        need = lengths[item]
         floor = p.min_common * np.minimum(q.window, need)
         # columns hold every word of an item, so their count is a bound of the exact one
         maybe = np.flatnonzero(np.count_nonzero(
@@ -320,27 +328,74 @@ def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
                | words[at[maybe]].astype(np.uint64))
         place = np.minimum(np.searchsorted(q.vocabulary, key), len(q.vocabulary) - 1)
         common = ((q.vocabulary[place] == key) & inside[maybe] & real[at[maybe]]).sum(1)
-        for i in maybe[common >= floor[maybe]]:
-            row, k = int(cell_row[cell[i]]), int(item[i])
-            first = int(cell[i] - begin[row]) * step
-            n = len(q.words[k])
-            # the item may have grown or shrunk by inserted or dropped words
-            slack = q.window // 2 + n // 2
-            begins = first - int(q.offset[passage[i]])
-            if (row, k, begins) not in asked:  # windows of one alignment share a region
-                region = rows[row][max(0, begins - slack):begins + n + slack].tolist()
-                share = lcs(q.masks[k], n, region, p.min_lcs * n) / n
-                m = len(q.answers[k])
-                asked[row, k, begins] = (share, 0.0 if share < p.min_lcs else
-                                         lcs(q.answer_masks[k], m, region) / max(m, 1))
-            share, answer = asked[row, k, begins]
-            if share >= p.min_lcs and (share >= p.verbatim or answer >= p.min_answer):
-                found = (share, float(close[i]), answer, first)
-                best[row, k] = max(best.get((row, k), (0.0,)), found)
+        hit = maybe[common >= floor[maybe]]
+        row, k, n = cell_row[cell[hit]], item[hit], need[hit]
+        first = (cell[hit] - begin[row]) * step
+        begins = first - q.offset[passage[hit]]
+        # the item may have grown or shrunk by inserted or dropped words
+        slack = q.window // 2 + n // 2
+        start, stop = np.maximum(begins - slack, 0), np.minimum(begins + n + slack, size[row])
+        likely = _item_words(column, q, k, begin[row] * step + start, stop - start)
+        for j in np.flatnonzero(likely >= p.min_lcs * n):
+            _keep_best(best, asked, rows, q, p, int(row[j]), int(k[j]), int(begins[j]),
+                       (int(start[j]), int(stop[j])), float(close[hit[j]]), int(first[j]))
     for (row, k), (share, close_, answer, first) in best.items():
         yield row, q.ids[k], close_, share, answer, first
 
 
+def _item_words(column: np.ndarray, q: Queries, item: np.ndarray, start: np.ndarray,
+                size: np.ndarray, limit: int = 1_000_000) -> np.ndarray:
+    """For each region ``start``, ``size`` how many words it and its item may share.
+
+    Of each column the smaller of its two counts; columns hold every word, so no longest
+    common subsequence is longer. Equal regions are counted once, about ``limit`` words
+    at a time.
+    """
+    out = np.zeros(len(item), np.int64)
+    order = np.lexsort((size, start, item))
+    same = np.zeros(len(order), bool)
+    same[1:] = ((np.diff(item[order]) == 0) & (np.diff(start[order]) == 0)
+                & (np.diff(size[order]) == 0))
+    which = np.cumsum(~same) - 1
+    one = order[~same]
+    upto = np.cumsum(size[one])
+    count = np.zeros(len(one), np.int64)
+    lo = 0
+    while lo < len(one):
+        done = upto[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(upto, done + limit, side="right")))
+        length = size[one[lo:hi]]
+        at = np.cumsum(length) - length
+        words = np.arange(at[-1] + length[-1]) + np.repeat(start[one[lo:hi]] - at, length)
+        has = q.slots.ravel().take(
+            np.repeat(item[one[lo:hi]] * q.slots.shape[1], length) + column[words])
+        times = [q.times[k] for k in item[one[lo:hi]].tolist()]
+        slots = np.array([len(t) for t in times])
+        base = np.cumsum(slots) - slots
+        seen = np.flatnonzero(has)
+        cell = np.repeat(base, length)[seen] + has[seen] - 1
+        count[lo:hi] = np.add.reduceat(np.minimum(
+            np.bincount(cell, minlength=slots.sum()), np.concatenate(times)), base)
+        lo = hi
+    out[order] = count[which]
+    return out
+
+
+def _keep_best(best: dict, asked: dict, rows: list[np.ndarray], q: Queries, p: LeakParams,
+               row: int, k: int, begins: int, bounds: tuple[int, int], close: float,
+               first: int) -> None:
+    """Ask for one alignment of item ``k`` with a text; windows of one alignment ask once."""
+    n, m = len(q.words[k]), len(q.answers[k])
+    if (row, k, begins) not in asked:
+        region = rows[row][bounds[0]:bounds[1]].tolist()
+        share = lcs(q.masks[k], n, region, p.min_lcs * n) / n
+        asked[row, k, begins] = (share, 0.0 if share < p.min_lcs else
+                                 lcs(q.answer_masks[k], m, region) / max(m, 1))
+    share, answer = asked[row, k, begins]
+    if share >= p.min_lcs and (share >= p.verbatim or answer >= p.min_answer):
+        best[row, k] = max(best.get((row, k), (0.0,)), (share, close, answer, first))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -> DataFrame:
     """One row per document and benchmark item that it holds.
 
