@@ -313,21 +313,23 @@ def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
         if not len(cell):
             continue
         close = cosine[cell, passage]
-        cell = cell + lo
         item = q.item[passage]
-        at = cell[:, None] * step + np.arange(q.window)
-        inside = at < (begin[cell_row[cell] + 1] * step)[:, None]
-        at = np.minimum(at, len(words) - 1)
         need = lengths[item]
         floor = p.min_common * np.minimum(q.window, need)
+        # words and columns of the block's windows, beyond a text's end padding
+        here = np.arange(lo, min(lo + 512, len(sums)))
+        at = here[:, None] * step + np.arange(q.window)
+        inside = at < (begin[cell_row[here] + 1] * step)[:, None]
+        at = np.minimum(at, len(words) - 1)
+        wide = np.where(inside, column[at], p.columns).astype(np.intp)
         # columns hold every word of an item, so their count is a bound of the exact one
         maybe = np.flatnonzero(np.count_nonzero(
-            q.columns.take(item[:, None] * q.columns.shape[1] + column[at]) & inside, axis=1)
-            >= floor)
+            q.columns.take(wide[cell] + (item * q.columns.shape[1])[:, None]), axis=1) >= floor)
         key = ((item[maybe].astype(np.uint64)[:, None] << np.uint64(32))
-               | words[at[maybe]].astype(np.uint64))
+               | words[at][cell[maybe]].astype(np.uint64))
         place = np.minimum(np.searchsorted(q.vocabulary, key), len(q.vocabulary) - 1)
-        common = ((q.vocabulary[place] == key) & inside[maybe] & real[at[maybe]]).sum(1)
+        common = ((q.vocabulary[place] == key) & (inside & real[at])[cell[maybe]]).sum(1)
+        cell = cell + lo
         hit = maybe[common >= floor[maybe]]
         row, k, n = cell_row[cell[hit]], item[hit], need[hit]
         first = (cell[hit] - begin[row]) * step
