@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from followrec.llm.common import stage
@@ -157,12 +157,14 @@ def references(docs: DataFrame, p: DivergenceParams) -> dict[str, dict]:
         else:
             ref["classes"][r["item"]] = r.n
     refs = {k: v for k, v in refs.items() if v["docs"] >= p.min_reference}
+    order = Window.partitionBy("lang").orderBy(F.desc("n_docs"), F.desc("n"), "item")
+    top: dict[str, list] = {}
+    for r in (got.where("word").withColumn("place", F.row_number().over(order))
+              .where(F.col("place") <= p.common_words).orderBy("lang", "item").collect()):
+        top.setdefault(r.lang, []).append(r)
     for lang, ref in refs.items():
-        top = (got.where(F.col("word") & (F.col("lang") == lang))
-               .orderBy(F.desc("n_docs"), F.desc("n"), "item").limit(p.common_words).collect())
-        order = np.argsort([r["item"] for r in top])
-        ref["words"] = np.array([r["item"] for r in top], np.int64)[order]
-        ref["counts"] = np.array([r.n for r in top], float)[order]
+        ref["words"] = np.array([r["item"] for r in top.get(lang, [])], np.int64)
+        ref["counts"] = np.array([r.n for r in top.get(lang, [])], float)
     return refs
 
 
