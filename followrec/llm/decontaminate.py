@@ -55,6 +55,9 @@ class LeakParams:
     items: int = 1000  # benchmark items searched at a time
 
 
+#: Windows compared with all passages at a time.
+BLOCK = 1024
+
 #: ASCII marks, which are stripped from the ends of words.
 _MARK = np.zeros(256, bool)
 _MARK[[ord(c) for c in string.punctuation]] = True
@@ -291,8 +294,10 @@ def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
     real = np.concatenate([np.arange(len(a)) < len(r) for a, r in zip(padded, rows, strict=True)])
     # padding has a column of its own that is zero in the space and in no item
     column = np.where(real, words % p.columns, p.columns)
-    vectors = np.concatenate([space, np.zeros_like(space[:1])])[column]
-    cells = vectors.reshape(-1, step, vectors.shape[1]).sum(1)
+    padded_space = np.concatenate([space, np.zeros_like(space[:1])])
+    cells = padded_space.take(column[::step], axis=0)
+    for k in range(1, step):
+        cells += padded_space.take(column[k::step], axis=0)
     cell_row = np.repeat(np.arange(len(rows)), [len(a) // step for a in padded])
     sums = cells.copy()
     for k in range(1, 4):  # a window is four cells of one text, fewer at its end
@@ -307,8 +312,8 @@ def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
     lengths = np.array([len(w) for w in q.words])
     best: dict[tuple[int, int], tuple] = {}
     asked: dict[tuple[int, int, int], tuple[float, float]] = {}  # lcs and answer of a region
-    for lo in range(0, len(sums), 512):
-        cosine = sums[lo:lo + 512] @ q.vectors.T
+    for lo in range(0, len(sums), BLOCK):
+        cosine = sums[lo:lo + BLOCK] @ q.vectors.T
         cell, passage = np.divmod(np.flatnonzero(cosine >= p.min_cosine), cosine.shape[1])
         if not len(cell):
             continue
@@ -317,7 +322,7 @@ def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
         need = lengths[item]
         floor = p.min_common * np.minimum(q.window, need)
         # words and columns of the block's windows, beyond a text's end padding
-        here = np.arange(lo, min(lo + 512, len(sums)))
+        here = np.arange(lo, min(lo + BLOCK, len(sums)))
         at = here[:, None] * step + np.arange(q.window)
         inside = at < (begin[cell_row[here] + 1] * step)[:, None]
         at = np.minimum(at, len(words) - 1)
