@@ -112,7 +112,7 @@ def marked_among(rows: DataFrame, keys: DataFrame, on: list[str], name: str,
 
 
 def bitmap_of(rows: DataFrame, column: str, bits: int) -> np.ndarray:
-    """Bitmap of the lowest bits of a bigint column (``bits``, a power of two, / 8 bytes)."""
+    """Bitmap of the lowest bits of a bigint column (``bits`` / 8 bytes; a power of two from 2^15 on)."""
     at = F.pmod(F.col(column), F.lit(bits)) + 1
     parts = rows.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()

@@ -16,8 +16,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from followrec.llm import (decontaminate, divergence, mixing, nbsvm, secrets, setsketch, sitelines,
-                           stringkernel, suffixgroups, wordpiece)
+from followrec.llm import (common, decontaminate, divergence, mixing, nbsvm, secrets, setsketch,
+                           sitelines, stringkernel, suffixgroups, wordpiece)
 from followrec.llm.common import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -181,6 +181,58 @@ def test_repeats_equal_brute_force(docs, rows, block, monkeypatch):
     assert got == removed(rows)
 
 
+def test_repeats_do_not_depend_on_bitmaps(docs, rows, monkeypatch):
+    """Small bitmaps let wrong segments and pieces through; the result stays the same."""
+    monkeypatch.setattr(suffixgroups, "BITS", 1 << 15)
+    got = Counter(tuple(r) for r in suffixgroups.remove_repeats(docs).collect())
+    assert got == removed(rows)
+
+
+def test_repeated_null_rows_and_hot_copies_are_removed(spark):
+    rng = random.Random(8)
+    one, other = (" ".join(prose(rng, 120)) for _ in range(2))
+    data = [(None, one)] * 40 + [(k, one) for k in range(40)] + [
+        (100, "x " + one[:450] + " y"), (101, other), (102, None), (103, "")]
+    frame = spark.createDataFrame(data, "doc_id bigint, text string")
+    got = Counter(tuple(r) for r in suffixgroups.remove_repeats(frame).collect())
+    assert got == removed(data)
+
+
+def test_bitmaps_hold_every_key(spark):
+    keys = spark.range(0, 5000).select((F.col("id") * 7919 - 11).alias("v"))
+    bitmap = common.bitmap_of(keys, "v", 1 << 20)
+    assert len(bitmap) == 1 << 17
+    values = np.arange(-11, 5000 * 7919, 997)
+    want = np.isin(values & ((1 << 20) - 1),
+                   (np.arange(5000) * 7919 - 11) & ((1 << 20) - 1))
+    assert (common.in_bitmap(bitmap, values) == want).all()
+    assert not common.in_bitmap(common.bitmap_of(keys.limit(0), "v", 1 << 15), values).any()
+    rows = spark.createDataFrame([(1,), (None,), (3,)], "k bigint")
+    marked = common.marked_among(rows, rows.where("k is null or k = 3"), ["k"], "hit")
+    assert {(r.k, r.hit) for r in marked.collect()} == {(1, False), (None, True), (3, True)}
+
+
+def test_multiset_bound_of_regions_is_exact():
+    """No region is ruled out whose common subsequence with its item is long enough."""
+    rng = np.random.default_rng(3)
+    p = decontaminate.LeakParams()
+    words = rng.integers(0, 40, 400).astype(np.uint32)
+    items = [rng.integers(0, 40, n).astype(np.uint32) for n in (10, 60)]
+    slots, times = np.zeros((2, p.columns + 1), np.int32), []
+    for k, item in enumerate(items):
+        used, n = np.unique(item, return_counts=True)
+        slots[k, used] = np.arange(1, len(used) + 1)
+        times.append(n)
+    q = decontaminate.Queries([0, 1], items, items, None, None, None, None, slots > 0, slots,
+                              times, [], [], 8)
+    item, start = rng.integers(0, 2, 50), rng.integers(0, 300, 50)
+    size = rng.integers(1, 100, 50)
+    got = decontaminate._item_words(words.astype(np.intp), q, item, start, size, limit=150)
+    for k, a, n, bound in zip(item, start, size, got, strict=True):
+        have, want = Counter(words[a:a + n].tolist()), Counter(items[k].tolist())
+        assert bound == sum((have & want).values())
+
+
 def test_base_counts_equal_brute_force(docs, rows):
     got = Counter(tuple(r)[:7] for r in divergence.quality_rules(docs).collect())
     want = Counter()
