@@ -1,9 +1,9 @@
 """Step 3: friends-of-friends recommendations and the reasons behind them.
 
 Plan shape: closest (top-k per user, so at most k*k paths per user) joined to
-itself on the intermediary (a popular intermediary is salted over many tasks,
-see operators.skew) -> self filter -> one aggregate per (user, candidate) that
-carries sums only -> anti join on follows (co-partitioned on (user, candidate),
+its intermediaries' lists (a popular intermediary is salted over many tasks,
+see operators.skew), sent to the user's partition and unnested there -> self
+filter -> one aggregate per (user, candidate), in place, that carries sums only -> anti join on follows (co-partitioned on (user, candidate),
 so only the follows move) -> per-user top-n window -> left-semi join on high
 scores.
 
@@ -50,6 +50,17 @@ def _second_hops(active: DataFrame) -> DataFrame:
                          F.col("engaged_with_user_id").alias("rec_id"), "w8")
 
 
+def _hop_lists(active: DataFrame) -> DataFrame:
+    """The second hops of an intermediary as one row of at most n_closest entries
+    (two parallel arrays), written once to the shared scratch folder."""
+    spark = active.sparkSession
+    hops = (_second_hops(active).filter(F.col("reason_id").isNotNull())
+            .groupBy("reason_id").agg(F.collect_list(F.struct("rec_id", "w8")).alias("hops"))
+            .select("reason_id", F.col("hops.rec_id").alias("recs"),
+                    F.col("hops.w8").alias("weights")))
+    return cut_lineage(spark, hops, scratch_path(spark, "hop-lists"))
+
+
 def second_degree_paths(active: DataFrame, hot_rows: int = HOT_ROWS,
                         buckets: int = SALT_BUCKETS) -> DataFrame:
     """user -> reason -> rec paths.
@@ -58,14 +69,25 @@ def second_degree_paths(active: DataFrame, hot_rows: int = HOT_ROWS,
     reason -> rec only; the first hop's weight does not count.
     Output: user_id, reason_id, reason_rank, rec_id, w8.
 
-    Skew: the right side holds at most k rows per intermediary, the left side
+    A first hop meets its intermediary's second hops as one list and goes to its
+    user's partition with it; paths are formed there. What is grouped by user
+    or by (user, rec) afterwards moves no path: a shuffle carries one row per
+    first hop instead of up to n_closest.
+
+    Skew: the right side holds one row per intermediary, the left side
     one row per user reaching it, so a popular intermediary is a hot key: its
-    left rows are salted by user over `buckets` tasks and its at most k right
-    rows copied once per salt (operators.skew).
+    left rows are salted by user over `buckets` tasks and its right
+    row copied once per salt (operators.skew).
     """
-    return salted_join(_first_hops(active), _second_hops(active), ["reason_id"], "inner",
-                       ["user_id"], min_rows=hot_rows, buckets=buckets).select(
-        "user_id", "reason_id", "reason_rank", "rec_id", "w8")
+    lists = salted_join(_first_hops(active), _hop_lists(active), ["reason_id"], "inner",
+                        ["user_id"], min_rows=hot_rows, buckets=buckets)
+    # a fixed number: lists are small before they become paths, merging would undo the split
+    n = int(active.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (lists.repartition(n, "user_id")
+            .select("user_id", "reason_id", "reason_rank", "weights",
+                    F.posexplode("recs").alias("_at", "rec_id"))
+            .select("user_id", "reason_id", "reason_rank", "rec_id",
+                    F.get("weights", F.col("_at")).alias("w8")))
 
 
 def exclude_self(df: DataFrame) -> DataFrame:
@@ -126,7 +148,19 @@ def exclude_followed_split(df: DataFrame, follow: DataFrame,
 
 
 def exclude_followed_self(df: DataFrame, follow: DataFrame) -> DataFrame:
-    return exclude_followed_split(exclude_self(df), follow)
+    """Paths to the user or to someone followed dropped, without moving a path.
+
+    Only distinct (user, rec) pairs meet the follows. Those that are followed come
+    back as one list per user, at most one entry per candidate, to the user's
+    partition, where `second_degree_paths` has formed the paths; the lists are the
+    hashed side of that join, so paths are not sorted either.
+    """
+    kept = exclude_self(df)
+    f = follow.select("user_id", F.col("engaged_with_user_id").alias("rec_id")).distinct()
+    followed = kept.select("user_id", "rec_id").distinct().join(f, ["user_id", "rec_id"])
+    lists = followed.groupBy("user_id").agg(F.collect_list("rec_id").alias("_followed"))
+    own = F.coalesce(F.array_contains("_followed", F.col("rec_id")), F.lit(False))
+    return kept.join(lists.hint("shuffle_hash"), "user_id", "left").filter(~own).select(df.columns)
 
 
 def second_degree_sums(paths: DataFrame) -> DataFrame:

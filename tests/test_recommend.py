@@ -116,6 +116,34 @@ def test_split_exclusion_equals_the_anti_join(spark):
     assert maybe <= followed + 5  # with a large bitmap hardly any other pair is shuffled
 
 
+def test_paths_are_not_shuffled_once_formed(spark):
+    rows = [(u, (u * k) % 23, TS) for u in range(40) for k in range(1, 9)] + [(3, None, TS)] * 2
+    follows = [(u, (u + 3) % 23, TS) for u in range(40)] * 2 + [(None, 1, TS), (1, None, TS)]
+    f = make_feeds(spark, reply=rows, follow=follows, users=[(5, 1)])
+    active = rc.active_sources(cl.closest_connections(f, P), f.user)
+    active = spark.createDataFrame(active.collect(), active.schema)
+    paths = rc.second_degree_paths(active)
+    a, b = active.alias("a"), active.alias("b")
+    plain = a.join(b, F.col("a.engaged_with_user_id") == F.col("b.user_id")).select(
+        "a.user_id", F.col("b.user_id").alias("reason_id"), F.col("a.rank").alias("reason_rank"),
+        F.col("b.engaged_with_user_id").alias("rec_id"), "b.w8")
+    assert sorted(map(str, paths.collect())) == sorted(map(str, plain.collect()))
+    kept = rc.exclude_followed_self(paths, f.follow)
+    want = rc.exclude_followed(rc.exclude_self(plain), f.follow)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, want.collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for agg in (rc.second_degree_sums, rc.second_degree_agg):
+            df = agg(rc.exclude_followed_self(rc.second_degree_paths(active), f.follow))
+            tree = df._jdf.queryExecution().executedPlan().toString()
+            # from the forming of the paths up to the result there is no exchange
+            formed = next(i for i, x in enumerate(tree.splitlines()) if "posexplode" in x)
+            assert "Exchange" not in "".join(tree.splitlines()[:formed]), tree
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_second_hop_ranks_on_8_decimal_weights(spark):
     # L = 1200 days: 1 s of age is below 1e-8 of weight. 2 -> 9 has rem 1001,
     # 2 -> 10 rem 1000: step 1 ranks 9 first, but both publish 0.00000965,
