@@ -253,14 +253,22 @@ def ranked_candidates(closest: DataFrame, follow: DataFrame, user: DataFrame,
 
 
 def recommendations(closest: DataFrame, follow: DataFrame, user: DataFrame,
-                    scores: DataFrame, params: Params):
+                    scores: DataFrame, params: Params, active: DataFrame | None = None,
+                    ranked: DataFrame | None = None):
     """X3: (recommendations, reasons) after the score filter.
 
-    Active connections, read by both hops, are written to the shared scratch folder.
+    Active connections, read by both hops, and the final candidates, read by both
+    results, are written to the shared scratch folder. `active` and `ranked` (of
+    `ranked_from_active`) may be passed in when already written.
     """
     spark = closest.sparkSession
-    active = cut_lineage(spark, active_sources(closest, user), scratch_path(spark, "active"))
-    top = final_candidates(active, follow, scores, params)
+    if active is None:
+        active = cut_lineage(spark, active_sources(closest, user), scratch_path(spark, "active"))
+    if ranked is None:
+        top = final_candidates(active, follow, scores, params)
+    else:
+        top = keep_high_scores(ranked, scores, params)
+    top = cut_lineage(spark, top, scratch_path(spark, "final-candidates"))
     return rec_rows(top), reason_rows(winners_reasons(top, active))
 
 

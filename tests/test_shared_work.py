@@ -32,3 +32,11 @@ def test_run_days_are_shared_by_the_published_tables(spark, calls):
     rows = {r.check_name: r.actual for r in q.REGISTRY["dq_report"](spark, SF).collect()}
     assert len(rows) == 9 and set(rows.values()) == {0}
     assert (len(closest), len(ranked), len(scores)) == (3, 3, 1)
+
+
+def test_stage_counts_form_candidates_once(spark, calls):
+    ranked, sums = calls(rc, "ranked_from_active"), calls(rc, "second_degree_sums")
+    n = {r.stage: r.n for r in q.REGISTRY["stage_counts"](spark, SF).collect()}
+    assert len(ranked) == 1 and len(sums) == 2
+    assert n["kept_paths"] == q.REGISTRY["exclude_followed_self"](spark, SF).count()
+    assert n["paths"] >= n["kept_paths"] >= n["candidates"] >= n["top_recommendations"]
