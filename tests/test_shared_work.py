@@ -40,3 +40,11 @@ def test_stage_counts_form_candidates_once(spark, calls):
     assert len(ranked) == 1 and len(sums) == 2
     assert n["kept_paths"] == q.REGISTRY["exclude_followed_self"](spark, SF).count()
     assert n["paths"] >= n["kept_paths"] >= n["candidates"] >= n["top_recommendations"]
+
+
+def test_the_classifier_scores_the_model_input_that_it_was_fitted_on(spark, calls):
+    tails, split = calls(rp, "padded_tails"), calls(rp, "tokens")
+    classes = q.REGISTRY["classify_weeks"](spark, SF)
+    assert len(tails) == 1 and len(split) == 1
+    weeks = rp.user_weeks(q._clean(spark, SF))
+    assert classes.count() == weeks.count() == classes.select(*rp.WEEK_KEY).distinct().count()
