@@ -61,8 +61,25 @@ def _hop_lists(active: DataFrame) -> DataFrame:
     return cut_lineage(spark, hops, scratch_path(spark, "hop-lists"))
 
 
+# Paths that one task sends or sums, about. An execution knob: results do not depend on it.
+PATHS_PER_TASK = 2_000_000
+
+
+def _path_tasks(lists: DataFrame, per_task: int) -> int:
+    """Tasks for the paths over `lists`: the session's partitions, or as many as the paths need.
+
+    Every row of `active` is one first and one second hop, so the lists also count the
+    first hops, and each meets at most the longest list. A user has at most n_closest
+    squared paths, so tasks are even.
+    """
+    entries, longest = lists.agg(F.sum(F.size("recs")), F.max(F.size("recs"))).first()
+    n = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(n, -(-(entries or 0) * (longest or 0) // per_task))
+
+
 def second_degree_paths(active: DataFrame, hot_rows: int = HOT_ROWS,
-                        buckets: int = SALT_BUCKETS) -> DataFrame:
+                        buckets: int = SALT_BUCKETS,
+                        per_task: int | None = None) -> DataFrame:
     """user -> reason -> rec paths.
 
     Keeps the rank of user -> reason (the reasons' order) and the weight of
@@ -78,11 +95,17 @@ def second_degree_paths(active: DataFrame, hot_rows: int = HOT_ROWS,
     one row per user reaching it, so a popular intermediary is a hot key: its
     left rows are salted by user over `buckets` tasks and its right
     row copied once per salt (operators.skew).
+
+    Memory: a join task holds the lists it sends and a user's task the sums of its paths.
+    First hops are small before they meet their lists, so partitions of a size that suits
+    them would not do: the number of both tasks grows with the paths, about `per_task`
+    (default PATHS_PER_TASK) in each.
     """
-    lists = salted_join(_first_hops(active), _hop_lists(active), ["reason_id"], "inner",
-                        ["user_id"], min_rows=hot_rows, buckets=buckets)
+    hops = _hop_lists(active)
+    n = _path_tasks(hops, per_task or PATHS_PER_TASK)
+    lists = salted_join(_first_hops(active), hops, ["reason_id"], "inner",
+                        ["user_id"], min_rows=hot_rows, buckets=buckets, partitions=n)
     # a fixed number: lists are small before they become paths, merging would undo the split
-    n = int(active.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (lists.repartition(n, "user_id")
             .select("user_id", "reason_id", "reason_rank", "weights",
                     F.posexplode("recs").alias("_at", "rec_id"))

@@ -40,12 +40,14 @@ def hot_keys(df: DataFrame, keys, min_rows: int = HOT_ROWS,
 
 def salted_join(left: DataFrame, right: DataFrame, on, how: str, spread_by,
                 min_rows: int = HOT_ROWS, share: int = HOT_SHARE,
-                buckets: int = SALT_BUCKETS, counted: DataFrame | None = None) -> DataFrame:
+                buckets: int = SALT_BUCKETS, counted: DataFrame | None = None,
+                partitions: int | None = None) -> DataFrame:
     """`left.join(right, on, how)` with the left side's hot keys salted.
 
     `on` names key columns present in both; `spread_by` are left columns
     whose hash spreads a hot key's rows; `how` is one of inner, left,
     left_semi, left_anti. `counted` (default: `left`) is where keys are counted.
+    With `partitions` the left side goes to that many tasks, which are not merged.
     """
     on = list(on)
     hot = hot_keys(left if counted is None else counted, on, min_rows, share)
@@ -55,6 +57,8 @@ def salted_join(left: DataFrame, right: DataFrame, on, how: str, spread_by,
     lhs = (left.join(hot, on, "left")
            .withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0)).cast("int"))
            .drop("_hot"))
+    if partitions:
+        lhs = lhs.repartition(partitions, *on, "_salt")
     rhs = (right.join(hot, on, "left")
            .withColumn("_salt", F.explode(
                F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1)))

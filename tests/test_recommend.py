@@ -180,3 +180,31 @@ def test_hot_intermediary_is_spread(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_b)
+
+
+def test_tasks_of_paths_grow_with_the_paths(spark):
+    # 12 users reach each of 3 intermediaries, whose lists have 4 entries
+    rows = [(u, r, 1, 1) for u in range(10, 22) for r in (1, 2, 3)]
+    rows += [(r, 100 + k, 1 + k, 5) for r in (1, 2, 3) for k in range(4)]
+    active = spark.createDataFrame(
+        rows, "user_id long, engaged_with_user_id long, rank int, w8 long")
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    few = rc.second_degree_paths(active)
+    many = rc.second_degree_paths(active, per_task=10)
+    assert few.rdd.getNumPartitions() == session
+    # at most 48 first hops of 4 entries, 10 in a task
+    assert many.rdd.getNumPartitions() == max(session, 20)
+    assert sorted(many.collect()) == sorted(few.collect())
+    assert many.count() == 12 * 3 * 4
+
+
+def test_join_may_be_given_its_tasks(spark):
+    from followrec.operators.skew import salted_join
+
+    left = spark.createDataFrame([(k % 7, k) for k in range(200)], "k long, v long")
+    right = spark.createDataFrame([(k, -k) for k in range(5)], "k long, w long")
+    plain = salted_join(left, right, ["k"], "inner", ["v"], min_rows=20, buckets=4)
+    given = salted_join(left, right, ["k"], "inner", ["v"], min_rows=20, buckets=4,
+                        partitions=31)
+    assert given.rdd.getNumPartitions() == 31
+    assert sorted(given.collect()) == sorted(plain.collect())
