@@ -346,15 +346,12 @@ def _block_links(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
 def residual_links(stars: DataFrame, exact: DataFrame, comps: DataFrame,
                    p: SketchParams) -> DataFrame:
     """Links inside buckets between members that the leaders did not connect."""
-    members = (stars.join(exact.select("lead", "sig", "n", "delta"), ["lead", "sig"])
-               .unionByName(stars.join(exact, ["lead", "sig"])
-                            .select("lead", "bucket", "depth", F.col("lead").alias("sig"),
-                                    F.col("lead_n").alias("n"),
-                                    F.array().cast("array<bigint>").alias("delta"))
-                            .dropDuplicates(["bucket", "depth"])))
+    confirmed_stars = stars.join(exact.select("lead", "sig"), ["lead", "sig"])
+    members = confirmed_stars.unionByName(
+        confirmed_stars.withColumn("sig", F.col("lead")).dropDuplicates(["bucket", "depth"]))
     members = (members.join(comps.select(F.col("node").alias("sig"), "comp"), "sig", "left")
                .withColumn("comp", F.coalesce("comp", "sig")))
-    members = stage(members.select("bucket", "depth", "sig", "n", "delta", "comp"), "members")
+    members = stage(members.select("bucket", "depth", "lead", "sig", "comp"), "members")
     per = members.groupBy("bucket", "depth", "comp").agg(F.count(F.lit(1)).alias("k"))
     bucket = (per.groupBy("bucket", "depth")
               .agg(F.count(F.lit(1)).alias("comps"), F.sum("k").alias("n_all"),
@@ -377,12 +374,25 @@ def residual_links(stars: DataFrame, exact: DataFrame, comps: DataFrame,
     every = (rows.withColumn("j", own("n_all"))
              .withColumn("i", F.explode(F.sequence(F.lit(0), blocks("n_rest") - 1)))
              .withColumn("side", F.lit(1)))
+    cols = ["bucket", "depth", "i", "j", "side", "lead", "sig", "comp"]
+    cells = stage(rest.select(cols).unionByName(every.select(cols)), "blocks")
+    # differences are long: only rows of blocks get theirs
     percent = p.percent
-    cols = ["bucket", "depth", "i", "j", "side", "sig", "n", "delta", "comp"]
-    return (rest.select(cols).unionByName(every.select(cols)).groupBy("bucket", "depth", "i", "j")
+    return (cells.join(differences(exact, cells), ["lead", "sig"])
+            .select("bucket", "depth", "i", "j", "side", "sig", "n", "delta", "comp")
+            .groupBy("bucket", "depth", "i", "j")
             .applyInPandas(lambda pdf: _block_links(pdf, percent), "a binary, b binary"))
 
 
+def differences(exact: DataFrame, used: DataFrame) -> DataFrame:
+    """lead, sig, n, delta of the pairs ``used(lead, sig)``; a leader has no difference to itself."""
+    pairs = exact.select("lead", "sig", "n", "delta")
+    own = (exact.select("lead", F.col("lead").alias("sig"), F.col("lead_n").alias("n"),
+                        F.array().cast("array<bigint>").alias("delta"))
+           .dropDuplicates(["lead"]))
+    return maybe_among(pairs, used, ["lead", "sig"]).unionByName(own)
+
+
 def near_duplicates(docs: DataFrame, p: SketchParams = SketchParams()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs(doc_id, text)``."""
     return _labelled(docs, p).drop("text_key", "comp")

@@ -405,6 +405,24 @@ def test_mix_ties_equal_sql(spark):
     assert Counter(map(tuple, mixing.mix(docs).collect())) == Counter(want)
 
 
+def test_rows_of_blocks_alone_get_differences(spark, monkeypatch):
+    staged, write = {}, setsketch.stage
+    monkeypatch.setattr(setsketch, "stage", lambda df, name: (
+        staged.setdefault(name, df.columns), write(df, name))[1])
+    # of leader a, b and c are far from it and near each other; d is linked with it
+    a, b, c, d = (bytearray(x) for x in (b"a", b"b", b"c", b"d"))
+    far = list(range(80, 120))
+    stars = spark.createDataFrame([(1, 0, a, b), (1, 0, a, c), (2, 0, a, d)],
+                                  "bucket long, depth int, lead binary, sig binary")
+    exact = spark.createDataFrame(
+        [(a, b, 100, 100, far), (a, c, 100, 100, [*far[:-1], 200]), (a, d, 100, 100, [1, 300])],
+        "lead binary, sig binary, lead_n int, n int, delta array<bigint>")
+    comps = spark.createDataFrame([(a, a), (d, a)], "node binary, comp binary")
+    links = setsketch.residual_links(stars, exact, comps, setsketch.SketchParams()).collect()
+    assert [{bytes(x) for x in r} for r in links] == [{b"b", b"c"}]
+    assert "delta" not in staged["members"] and "delta" not in staged["blocks"]
+
+
 def test_leaks_are_found_and_clean_documents_left(spark):
     rng = random.Random(4)
     items = [" ".join(prose(rng, n)) + ". " + " ".join(prose(rng, 8)) + "." for n in (12, 30, 70)]
