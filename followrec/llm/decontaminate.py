@@ -128,6 +128,14 @@ def _passages(rows: list[np.ndarray], p: LeakParams) -> np.ndarray:
     return out.reshape(-1, p.window)
 
 
+def row_sums(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """``table[rows].sum(1)``, added up in place without an array of all rows."""
+    total = table.take(rows[:, 0], axis=0)
+    for k in range(1, rows.shape[1]):
+        total += table.take(rows[:, k], axis=0)
+    return total
+
+
 def _sum_by_column(words: DataFrame, share, width: int, p: LeakParams) -> np.ndarray:
     """Sum over all tasks of the (columns, width) matrix that ``share`` gives a batch."""
 
@@ -174,7 +182,7 @@ def latent_space(words: DataFrame, p: LeakParams) -> np.ndarray:
 
     def sketch(total: np.ndarray, rows: list[np.ndarray]) -> None:
         passages = _passages(rows, p)
-        z = scaled[passages].sum(1)  # rows of A Omega
+        z = row_sums(scaled, passages)  # rows of A Omega
         order = np.argsort(passages.ravel(), kind="stable")
         column = passages.ravel()[order]
         real = np.searchsorted(column, p.columns)

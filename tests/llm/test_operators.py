@@ -423,6 +423,14 @@ def test_rows_of_blocks_alone_get_differences(spark, monkeypatch):
     assert "delta" not in staged["members"] and "delta" not in staged["blocks"]
 
 
+def test_row_sums_equal_summed_rows():
+    rng = np.random.default_rng(3)
+    table = rng.standard_normal((50, 6)).astype(np.float32)
+    rows = rng.integers(0, 50, (17, 8)).astype(np.uint16)
+    assert (decontaminate.row_sums(table, rows) == table[rows].sum(1)).all()
+    assert decontaminate.row_sums(table, rows[:0]).shape == (0, 6)
+
+
 def test_leaks_are_found_and_clean_documents_left(spark):
     rng = random.Random(4)
     items = [" ".join(prose(rng, n)) + ". " + " ".join(prose(rng, 8)) + "." for n in (12, 30, 70)]
