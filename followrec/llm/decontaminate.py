@@ -149,10 +149,10 @@ def _sum_by_column(words: DataFrame, share, width: int, p: LeakParams) -> np.nda
             [pa.array(used), pa.array(list(total[used]), pa.list_(pa.float64()))], ["c", "v"])
 
     sums = (words.select("words").mapInArrow(run, "c bigint, v array<double>").groupBy("c")
-            .agg(*(F.sum(F.col("v")[k]).alias(f"v{k}") for k in range(width))).toPandas())
+            .agg(*(F.sum(F.col("v")[k]).alias(f"v{k}") for k in range(width))).toArrow())
     out = np.zeros((p.columns, width))  # ``columns`` rows at most came to the driver
-    if len(sums):
-        out[sums["c"].to_numpy()] = sums.drop(columns="c").to_numpy()
+    for k in range(width):
+        out[sums["c"].to_numpy(), k] = sums[f"v{k}"].to_numpy()
     return out
 
 
@@ -211,7 +211,7 @@ class Queries:
     offset: np.ndarray  # its first word in the item
     vectors: np.ndarray
     vocabulary: np.ndarray  # (item << 32 | word), sorted
-    columns: np.ndarray  # (item, column): the item has a word of that column
+    columns: np.ndarray  # (column, item): 1 if the item has a word of that column
     slots: np.ndarray  # (item, column): the column's number in the item, from 1; 0 for none
     times: list[np.ndarray]  # how often each numbered column stands in the item
     masks: list[dict[int, int]]  # of each item and of each answer, as lcs takes them
@@ -256,7 +256,9 @@ def queries_of(items: list, space: np.ndarray, p: LeakParams) -> list[Queries]:
                 times.append(n)
             out.append(Queries([e[0] for e in mine], [e[1] for e in mine], [e[2] for e in mine],
                                np.array(item), np.array(offset), _unit(np.array(vectors)),
-                               vocabulary, slots > 0, slots, times,
+                               vocabulary,
+                               (slots.T > 0).astype(np.min_scalar_type(window), order="C"),
+                               slots, times,
                                [places(e[1]) for e in mine],
                                [places(e[2]) for e in mine], window))
     return out
@@ -297,67 +299,71 @@ def _search(rows: list[np.ndarray], q: Queries, space: np.ndarray,
             p: LeakParams) -> Iterator[tuple[int, int, float, float, float, int]]:
     """(row, item id, cosine, lcs share, answer share, first word) of confirmed matches."""
     step = q.window // 4
-    padded = [np.concatenate([r, np.zeros(-len(r) % step, np.uint32)]) for r in rows]
+    # three empty cells end each text, so that none of its windows reaches into the next one
+    padded = [np.concatenate([r, np.zeros(-len(r) % step + 3 * step, np.uint32)]) for r in rows]
     words = np.concatenate(padded)
     real = np.concatenate([np.arange(len(a)) < len(r) for a, r in zip(padded, rows, strict=True)])
     # padding has a column of its own that is zero in the space and in no item
     column = np.where(real, words % p.columns, p.columns)
     padded_space = np.concatenate([space, np.zeros_like(space[:1])])
-    cells = padded_space.take(column[::step], axis=0)
-    for k in range(1, step):
-        cells += padded_space.take(column[k::step], axis=0)
+    cells = row_sums(padded_space, column.reshape(-1, step))
     cell_row = np.repeat(np.arange(len(rows)), [len(a) // step for a in padded])
     sums = cells.copy()
-    for k in range(1, 4):  # a window is four cells of one text, fewer at its end
-        more = np.zeros_like(cells)
-        if len(cells) > k:
-            same = cell_row[:-k] == cell_row[k:]
-            more[:-k] = cells[k:] * same[:, None]
-        sums += more
+    for k in range(1, 4):  # a window is four cells
+        sums[:-k] += cells[k:]
+    sums[~real[::step]] = 0  # no window starts in an empty cell
     sums = _unit(sums)
     begin = np.concatenate([[0], np.cumsum([len(a) // step for a in padded])])
     size = np.array([len(r) for r in rows])
     lengths = np.array([len(w) for w in q.words])
+    floor = np.ceil(p.min_common * np.minimum(q.window, lengths)).astype(q.columns.dtype)
     best: dict[tuple[int, int], tuple] = {}
     asked: dict[tuple[int, int, int], tuple[float, float]] = {}  # lcs and answer of a region
     for lo in range(0, len(sums), BLOCK):
         cosine = sums[lo:lo + BLOCK] @ q.vectors.T
-        cell, passage = np.divmod(np.flatnonzero(cosine >= p.min_cosine), cosine.shape[1])
-        if not len(cell):
+        likely = cosine >= p.min_cosine
+        if not likely.any():
             continue
+        # columns hold every word of an item, so their count is a bound of the exact one
+        likely &= (_window_counts(column, q, lo, len(cosine)) >= floor).take(q.item, axis=1)
+        cell, passage = np.divmod(np.flatnonzero(likely), cosine.shape[1])
         close = cosine[cell, passage]
         item = q.item[passage]
         need = lengths[item]
-        floor = p.min_common * np.minimum(q.window, need)
-        # words and columns of the block's windows, beyond a text's end padding
-        here = np.arange(lo, min(lo + BLOCK, len(sums)))
-        at = here[:, None] * step + np.arange(q.window)
-        inside = at < (begin[cell_row[here] + 1] * step)[:, None]
-        at = np.minimum(at, len(words) - 1)
-        wide = np.where(inside, column[at], p.columns).astype(np.intp)
-        # columns hold every word of an item, so their count is a bound of the exact one
-        maybe = np.flatnonzero(np.count_nonzero(
-            q.columns.take(wide[cell] + (item * q.columns.shape[1])[:, None]), axis=1) >= floor)
-        key = ((item[maybe].astype(np.uint64)[:, None] << np.uint64(32))
-               | words[at][cell[maybe]].astype(np.uint64))
-        place = np.minimum(np.searchsorted(q.vocabulary, key), len(q.vocabulary) - 1)
-        common = ((q.vocabulary[place] == key) & (inside & real[at])[cell[maybe]]).sum(1)
         cell = cell + lo
-        hit = maybe[common >= floor[maybe]]
+        at = cell[:, None] * step + np.arange(q.window)
+        key = (item.astype(np.uint64)[:, None] << np.uint64(32)) | words[at].astype(np.uint64)
+        place = np.minimum(np.searchsorted(q.vocabulary, key), len(q.vocabulary) - 1)
+        common = ((q.vocabulary[place] == key) & real[at]).sum(1)
+        hit = np.flatnonzero(common >= floor[item])
         row, k, n = cell_row[cell[hit]], item[hit], need[hit]
         first = (cell[hit] - begin[row]) * step
         begins = first - q.offset[passage[hit]]
         # the item may have grown or shrunk by inserted or dropped words
         slack = q.window // 2 + n // 2
         start, stop = np.maximum(begins - slack, 0), np.minimum(begins + n + slack, size[row])
-        likely = _item_words(column, q, k, begin[row] * step + start, stop - start)
-        for j in np.flatnonzero(likely >= p.min_lcs * n):
+        shared = _item_words(column, q, k, begin[row] * step + start, stop - start)
+        for j in np.flatnonzero(shared >= p.min_lcs * n):
             _keep_best(best, asked, rows, q, p, int(row[j]), int(k[j]), int(begins[j]),
                        (int(start[j]), int(stop[j])), float(close[hit[j]]), int(first[j]))
     for (row, k), (share, close_, answer, first) in best.items():
         yield row, q.ids[k], close_, share, answer, first
 
 
+def _window_counts(column: np.ndarray, q: Queries, lo: int, n: int) -> np.ndarray:
+    """For the ``n`` windows from cell ``lo`` on, how many of their words' columns each item has.
+
+    Counted once for each cell and added up, whatever the number of passages near a window.
+    """
+    step = q.window // 4
+    count = row_sums(q.columns, column[lo * step:(lo + n + 3) * step].reshape(-1, step))
+    total = count[:n].copy()
+    for k in range(1, 4):
+        more = count[k:k + n]  # shorter after the last cell
+        total[:len(more)] += more
+    return total
+
+
 def _item_words(column: np.ndarray, q: Queries, item: np.ndarray, start: np.ndarray,
                 size: np.ndarray, limit: int = 1_000_000) -> np.ndarray:
     """For each region ``start``, ``size`` how many words it and its item may share.

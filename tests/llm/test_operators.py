@@ -8,6 +8,7 @@ import json
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -431,6 +432,24 @@ def test_row_sums_equal_summed_rows():
     assert decontaminate.row_sums(table, rows[:0]).shape == (0, 6)
 
 
+@pytest.mark.parametrize("window", [16, 32])
+def test_window_counts_equal_counted_words(window):
+    """The words of each window whose column an item has, from any cell to the last one."""
+    rng = np.random.default_rng(5)
+    p = decontaminate.LeakParams(columns=60)
+    items = [(k, rng.integers(0, 1000, n).astype(np.uint32)) for k, n in enumerate((20, 31, 70))]
+    space = rng.standard_normal((p.columns, 4)).astype(np.float32)
+    rows = [SimpleNamespace(item_id=k, text=" ".join(map(str, words))) for k, words in items]
+    q = next(q for q in decontaminate.queries_of(rows, space, p) if q.window == window)
+    column = rng.integers(0, p.columns + 1, 40 * window // 4)
+    for lo, n in ((0, 40), (3, 5), (36, 4)):
+        got = decontaminate._window_counts(column, q, lo, n)
+        for i in range(n):
+            words = column[(lo + i) * window // 4:][:window]
+            want = [np.isin(words, w % p.columns).sum() for w in q.words]
+            assert got[i].tolist() == want
+
+
 def test_leaks_are_found_and_clean_documents_left(spark):
     rng = random.Random(4)
     items = [" ".join(prose(rng, n)) + ". " + " ".join(prose(rng, 8)) + "." for n in (12, 30, 70)]
