@@ -92,11 +92,12 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return stage(docs.select("doc_id", "text").join(labels.hint("merge"), "doc_id"), "labelled")
 
 
-def _first_by_hash(train: DataFrame, label: int, n: int) -> list:
-    """The n rows of a label that come first by hash of id and text.
+def _first_by_hash(train: DataFrame, label: int, n: int) -> pa.Table:
+    """label and text of the n rows of a label that come first by hash of id and text.
 
     They are chosen by hashes and row positions of the staged table, so that no
-    task sends texts to the driver that are not chosen.
+    task sends texts to the driver that are not chosen. They come as Arrow batches,
+    without an object for every row in the driver.
     """
     place = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")]
     hashes = [F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t")]
@@ -104,8 +105,8 @@ def _first_by_hash(train: DataFrame, label: int, n: int) -> list:
     keys = ["h", "t", "file", "row"]
     first = rows.select(*hashes, *place).orderBy(*keys).limit(n)
     got = (rows.select("label", F.coalesce("text", F.lit("")).alias("text"), *place)
-           .join(F.broadcast(first), ["file", "row"]).collect())  # n rows
-    return sorted(got, key=lambda r: [r[k] for k in keys])
+           .join(F.broadcast(first), ["file", "row"]).toArrow())  # n rows
+    return got.sort_by([(k, "ascending") for k in keys]).select(["label", "text"])
 
 
 def _log_ratio(train: DataFrame, p: NbsvmParams) -> np.ndarray:
@@ -124,10 +125,10 @@ def _log_ratio(train: DataFrame, p: NbsvmParams) -> np.ndarray:
             ["item", "n0", "n1"])
 
     got = (train.select("label", "text").mapInArrow(run, "item bigint, n0 bigint, n1 bigint")
-           .groupBy("item").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas())
+           .groupBy("item").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow())
     n = np.full((2, 1 << p.bits), p.smooth)  # at most 2**bits rows came to the driver
-    n[0, got["item"]] += got["n0"]
-    n[1, got["item"]] += got["n1"]
+    for k in range(2):
+        n[k, got["item"].to_numpy()] += got[f"n{k}"].to_numpy()
     return np.log((n[1] / n[1].sum()) / (n[0] / n[0].sum()))
 
 
@@ -136,7 +137,7 @@ def _scaled(owner: np.ndarray, column: np.ndarray, ratio: np.ndarray,
     """Per text its columns and their log-count ratios, scaled to length 1."""
     first = np.searchsorted(owner, np.arange(n + 1))
     for i in range(n):
-        at = column[first[i]:first[i + 1]]
+        at = column[first[i]:first[i + 1]].astype(np.int32)
         v = ratio[at]
         yield at, v / (np.sqrt(v @ v) or 1.0)
 
@@ -161,19 +162,17 @@ def fit(docs: DataFrame, labels: DataFrame, p: NbsvmParams = NbsvmParams()) -> N
     """Model of ``labels(doc_id, label)`` on ``docs(doc_id, text)``."""
     train = labelled(docs, labels)
     ratio = _log_ratio(train, p)
-    both = _first_by_hash(train, 0, p.sample) + _first_by_hash(train, 1, p.sample)
-    y = np.array([2 * r.label - 1 for r in both])
+    both = pa.concat_tables([_first_by_hash(train, k, p.sample) for k in (0, 1)])
+    y = 2 * both["label"].to_numpy() - 1
     if len(set(y.tolist())) < 2:
         share = (y > 0).mean() if len(y) else 0.5
         share = np.clip(share, 1e-6, 1 - 1e-6)
         return NbsvmModel(np.zeros(1 << p.bits), ratio, 1.0, float(np.log(share / (1 - share))),
                           p.bits)
     rows: list[tuple[np.ndarray, np.ndarray]] = []
-    for lo in range(0, len(both), 200):
-        raw = [r.text.encode() for r in both[lo:lo + 200]]
-        texts = Texts(np.frombuffer(b"".join(raw), np.uint8),
-                      np.cumsum([0, *map(len, raw)]))
-        rows += _scaled(*indicators(texts, p.bits), ratio, len(raw))
+    for batch in both.to_batches():
+        for _, texts in slices(batch):
+            rows += _scaled(*indicators(texts, p.bits), ratio, len(texts))
     apart = np.arange(len(rows)) % 5 == 0
     learn = np.flatnonzero(~apart)
     cost = np.where(y > 0, p.cost * (y < 0).sum() / (y > 0).sum(), p.cost)

@@ -334,6 +334,17 @@ def test_classifiers_learn_and_score_every_row(spark, module):
     assert len({r.score for r in none}) == 1
 
 
+def test_sample_comes_as_arrow_in_order_of_hashes(spark):
+    """The driver gets the chosen texts without an object for every row."""
+    docs, labels = labelled(spark)
+    train = nbsvm.labelled(docs, labels)
+    rows = (train.where("label = 0").selectExpr("xxhash64(doc_id) AS h", "xxhash64(text) AS t",
+                                                "text").collect())
+    got = nbsvm._first_by_hash(train, 0, 7)
+    assert isinstance(got, pa.Table) and got["label"].to_pylist() == [0] * 7
+    assert got["text"].to_pylist() == [r.text for r in sorted(rows)[:7]]
+
+
 def test_string_kernel_tolerates_insertions(spark):
     model = stringkernel.fit(*labelled(spark))
     raw = [b"the blockhead on", b"the blo-ckh.ead on", b"the bloxckhead on", b"n i t w i t",
