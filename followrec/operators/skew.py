@@ -15,7 +15,8 @@ semi and left anti joins. Which keys are salted never changes the result, so
 the counts may come from any cheap table that holds the left side's keys.
 
 Building the join runs no job and looks at no size: a small right side is
-broadcast by Spark's planner or by AQE from its measured size.
+broadcast by Spark's planner or by AQE from its measured size, unless the number
+of tasks is given.
 """
 
 from __future__ import annotations
@@ -47,7 +48,9 @@ def salted_join(left: DataFrame, right: DataFrame, on, how: str, spread_by,
     `on` names key columns present in both; `spread_by` are left columns
     whose hash spreads a hot key's rows; `how` is one of inner, left,
     left_semi, left_anti. `counted` (default: `left`) is where keys are counted.
-    With `partitions` the left side goes to that many tasks, which are not merged.
+    With `partitions` the left side goes to that many tasks, which are not merged; it
+    is a sort-merge join then, since AQE may broadcast a small left side that is ready
+    first, and the join would run in the right side's tasks.
     """
     on = list(on)
     hot = hot_keys(left if counted is None else counted, on, min_rows, share)
@@ -64,4 +67,6 @@ def salted_join(left: DataFrame, right: DataFrame, on, how: str, spread_by,
                F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1)))
                .otherwise(F.array(F.lit(0)))))
            .drop("_hot"))
+    if partitions:
+        rhs = rhs.hint("merge")
     return lhs.join(rhs, on + ["_salt"], how).drop("_salt")

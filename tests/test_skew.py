@@ -1,5 +1,7 @@
 """Salted joins equal the plain join for every join type."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,3 +35,18 @@ def test_building_a_join_runs_no_job(spark):
     df = spark.createDataFrame([(1, 2)], "k long, id long").withColumn(
         "k", F.raise_error(F.lit("a job ran")).cast("long"))
     skew.salted_join(df, df.select("k"), ["k"], "left_semi", ["id"])
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_given_tasks_hold_whichever_side_is_ready_first(spark, how):
+    # both sides fit a broadcast; of an inner join AQE broadcast the one that was ready first
+    left = spark.createDataFrame(
+        [(None if k % 11 == 0 else k % 7, k) for k in range(200)], "k long, v long")
+    right = spark.createDataFrame([(k, w) for w, k in enumerate((0, 0, 1, 2, 3, None))], "k long, w long")
+    want = sorted(map(tuple, left.join(right, ["k"], how).collect()), key=str)
+    given = skew.salted_join(left, right, ["k"], how, ["v"], min_rows=20, buckets=4,
+                             partitions=31)
+    assert sorted(map(tuple, given.collect()), key=str) == want
+    assert given.rdd.getNumPartitions() == 31
+    final = given._jdf.queryExecution().executedPlan().executedPlan().toString()
+    assert not re.search(r"BroadcastHashJoin \[k#\d+L, _salt", final)
